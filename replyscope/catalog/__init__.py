@@ -1,6 +1,6 @@
 """Runnable queries, each with the SQL that gives the same rows where SQL can."""
 
-from replyscope.catalog import common, joins, tables  # noqa: F401
+from replyscope.catalog import aggregates, common, joins, tables, texts, windows  # noqa: F401
 
 
 def queries():

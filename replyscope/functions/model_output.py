@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,12 +16,20 @@ URGENCY_FIELDS = "sentiment string, urgency string, urgency_score double"
 JUDGE_FIELDS = ", ".join(f"{name} string" for name in fixed.JUDGE_DIMENSIONS) + ", rationale string"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with the value computed once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def unfence(raw: Column) -> Column:
     """Text inside a leading Markdown code fence, without its "json" tag; other text unchanged."""
-    text = strip(raw)
-    inside = F.split_part(text, F.lit("```"), F.lit(2))
-    untagged = F.when(inside.startswith("json"), F.substring(inside, 5, 2**31 - 1)).otherwise(inside)
-    return F.when(text.startswith("```"), untagged).otherwise(text)
+
+    def inner(text: Column) -> Column:
+        inside = F.split_part(text, F.lit("```"), F.lit(2))
+        untagged = F.when(inside.startswith("json"), F.substring(inside, 5, 2**31 - 1)).otherwise(inside)
+        return F.when(text.startswith("```"), untagged).otherwise(text)
+
+    return let(strip(raw), inner)
 
 
 def is_json(text: Column) -> Column:
@@ -27,8 +38,7 @@ def is_json(text: Column) -> Column:
 
 def parse_json(raw: Column, schema: str) -> Column:
     """Typed value of a model answer; null when the answer is not valid JSON."""
-    text = unfence(raw)
-    return F.when(is_json(text), F.from_json(text, schema, {"mode": "PERMISSIVE"}))
+    return let(unfence(raw), lambda text: F.when(is_json(text), F.from_json(text, schema)))
 
 
 def batch_labels(answers: DataFrame, members: DataFrame, batch: str = "batch", raw: str = "raw") -> DataFrame:
@@ -52,35 +62,48 @@ def judge_scores(raw: Column) -> Column:
     A missing dimension scores 3. An answer that is not a JSON object, or that holds a score
     which is not a number, gives the default scores. Scores are not clamped.
     """
-    parsed = parse_json(raw, JUDGE_FIELDS)
-    usable = parsed.isNotNull() & F.startswith(strip(unfence(raw)), F.lit("{"))
-    given = [parsed[name] for name in fixed.JUDGE_DIMENSIONS]
-    numbers = [text.try_cast("double") for text in given]
-    for text, number in zip(given, numbers):
-        usable = usable & (text.isNull() | number.isNotNull())
-    usable = F.coalesce(usable, F.lit(False))
-    scores = [
-        F.when(usable, F.coalesce(number.cast("int"), F.lit(fixed.JUDGE_DEFAULT))).otherwise(fixed.JUDGE_DEFAULT)
-        for number in numbers
-    ]
-    total = sum(scores[1:], scores[0])
-    return F.struct(
-        *[score.alias(name) for name, score in zip(fixed.JUDGE_DIMENSIONS, scores)],
-        F.bround(total / F.lit(float(len(scores))), 2).alias("average"),
-        F.when(usable, F.coalesce(parsed["rationale"], F.lit(""))).otherwise(fixed.JUDGE_FAILURE).alias("rationale"),
-        F.when(~usable, "parse_failure").alias("error"),
-    )
+    dimensions = fixed.JUDGE_DIMENSIONS
+    default = F.lit(fixed.JUDGE_DEFAULT)
+
+    def read(parsed: Column) -> Column:
+        numbers = {name: parsed[name].try_cast("double") for name in dimensions}
+        numeric = [parsed[name].isNull() | numbers[name].isNotNull() for name in dimensions]
+        usable = reduce(lambda left, right: left & right, numeric, parsed.isNotNull())
+        return F.struct(
+            F.coalesce(usable, F.lit(False)).alias("usable"),
+            *[numbers[name].cast("int").alias(name) for name in dimensions],
+            parsed["rationale"].alias("rationale"),
+        )
+
+    def score(row: Column) -> Column:
+        scores = [F.when(row["usable"], F.coalesce(row[name], default)).otherwise(default) for name in dimensions]
+        total = reduce(lambda left, right: left + right, scores)
+        return F.struct(
+            *[column.alias(name) for name, column in zip(dimensions, scores)],
+            F.bround(total / F.lit(float(len(scores))), 2).alias("average"),
+            F.when(row["usable"], F.coalesce(row["rationale"], F.lit("")))
+            .otherwise(fixed.JUDGE_FAILURE)
+            .alias("rationale"),
+            F.when(~row["usable"], "parse_failure").alias("error"),
+        )
+
+    def object_only(text: Column) -> Column:
+        return F.when(is_json(text) & F.startswith(strip(text), F.lit("{")), F.from_json(text, JUDGE_FIELDS))
+
+    return let(let(let(unfence(raw), object_only), read), score)
 
 
 def urgency_signals(raw: Column) -> Column:
     """Struct of sentiment, urgency and urgency_score; neutral, low and 0 when unusable."""
-    parsed = parse_json(raw, URGENCY_FIELDS)
-    failed = parsed.isNull()
-    return F.struct(
-        F.coalesce(parsed["sentiment"], F.lit("neutral")).alias("sentiment"),
-        F.when(failed, "low").otherwise(parsed["urgency"]).alias("urgency"),
-        F.coalesce(parsed["urgency_score"], F.lit(0.0)).alias("urgency_score"),
-    )
+
+    def read(parsed: Column) -> Column:
+        return F.struct(
+            F.coalesce(parsed["sentiment"], F.lit("neutral")).alias("sentiment"),
+            F.when(parsed.isNull(), "low").otherwise(parsed["urgency"]).alias("urgency"),
+            F.coalesce(parsed["urgency_score"], F.lit(0.0)).alias("urgency_score"),
+        )
+
+    return let(parse_json(raw, URGENCY_FIELDS), read)
 
 
 def label_in_answer(answer: Column, fallback: str | None = fixed.FALLBACK_INTENT) -> Column:

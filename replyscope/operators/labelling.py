@@ -14,11 +14,11 @@ def in_batches(df: DataFrame, order: str, bucket: Column, size: int = fixed.LABE
 
     ``bucket`` is a coarse, non-decreasing function of ``order`` (see ``bucket_rank``).
     """
-    place = F.col("_place") - 1
+    place = F.col("_seat") - 1
     return (
-        bucket_rank(df, [], bucket, [order], "_place")
+        bucket_rank(df, [], bucket, [order], "_seat")
         .withColumns({"batch": F.floor(place / size).cast("long"), "index": (place % size + 1).cast("int")})
-        .drop("_place")
+        .drop("_seat")
     )
 
 
