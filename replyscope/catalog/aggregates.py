@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from replyscope import fixed_values as fixed
 from replyscope.catalog import common
-from replyscope.catalog.common import MESSAGES, NAMES, PREDICTIONS, query, sql_redact, sql_text, table
-from replyscope.catalog.tables import CLEAN, NOISY, noisy_labels
+from replyscope.catalog.common import CLEAN, MESSAGES, NAMES, PREDICTIONS, query, sql_redact, sql_text, table
+from replyscope.catalog.tables import NOISY, noisy_labels
 from replyscope.fixed_values import REDACTION_RULES
 from replyscope.functions.gate import escalation_gate, escalation_quality, rule_counts
 from replyscope.functions.model_output import judge_scores

@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from string import Formatter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyscope.fixed_values import INTENT_NAMES, REDACTION_RULES
 from replyscope.operators import similarity, threads
 from replyscope.operators.classify import best_label, neighbour_scores
-from replyscope.plans.jobs import prepare_threads
+from replyscope.plans.jobs import redact_threads
 from replyscope.session import cut_lineage
 from replyscope.sources.messages import conversations_to_messages
 from replyscope.sources.taxonomy import intent_of
@@ -56,9 +56,37 @@ def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared(spark, sf_dir, "paths", lambda: threads.reply_paths(messages(spark, sf_dir)))
 
 
+def raw_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threads of all brands."""
+    return shared(spark, sf_dir, "raw threads", lambda: threads.reconstruct_threads(messages(spark, sf_dir)))
+
+
 def clean_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Redacted threads of all brands."""
-    return shared(spark, sf_dir, "threads", lambda: prepare_threads(messages(spark, sf_dir)).threads)
+    return shared(spark, sf_dir, "threads", lambda: redact_threads(raw_threads(spark, sf_dir)))
+
+
+def vector_id(thread_id: str = "thread_id") -> Column:
+    """Conversation number of a message id, which is also the id of its vector."""
+    return F.floor(F.col(thread_id).cast("long") / 100)
+
+
+def thread_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Redacted threads with the vector whose id is the conversation number."""
+    rows = clean_threads(spark, sf_dir).withColumn("vec_id", vector_id())
+    return rows.join(vectors(spark, sf_dir).select("vec_id", "embedding"), "vec_id")
+
+
+def thread_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(thread_id, match_id, similarity, rank, customer_text, brand_reply): similar resolved threads."""
+
+    def build() -> DataFrame:
+        rows = thread_vectors(spark, sf_dir)
+        corpus = threads.resolved(rows).withColumnRenamed("thread_id", "match_id")
+        found = similarity.knn(rows, corpus, query_key="thread_id", corpus_key="match_id", exclude_same_id=True)
+        return found.join(corpus.select("match_id", "customer_text", "brand_reply"), "match_id")
+
+    return shared(spark, sf_dir, "thread neighbours", build)
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +187,20 @@ def sql_redact(column: str, rules: list[str] | None = None) -> str:
     )
 
 
+CLEAN = f"""{THREADS},
+clean AS (
+  SELECT thread_id, brand, {sql_redact('customer_text')} AS customer_text, {sql_redact('brand_reply')} AS brand_reply,
+         n_turns, CAST(thread_id AS BIGINT) // 100 AS vec_id FROM threads)"""
+
+THREAD_NEIGHBOURS = """thread_pairs AS (
+  SELECT q.thread_id, c.thread_id AS match_id, c.customer_text, c.brand_reply,
+         round(list_cosine_similarity(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[])), 6) AS similarity
+  FROM clean q JOIN embeddings x ON x.vec_id = q.vec_id
+  JOIN clean c ON c.thread_id <> q.thread_id AND regexp_matches(c.brand_reply, '\\S') JOIN embeddings y ON y.vec_id = c.vec_id),
+thread_neighbours AS (
+  SELECT *, row_number() OVER (PARTITION BY thread_id ORDER BY similarity DESC, match_id) AS rank FROM thread_pairs
+  QUALIFY rank <= 5)"""
+
 NEIGHBOURS = """neighbours AS (
   SELECT vec_id, match_id, similarity, rank FROM (
     SELECT q.vec_id, c.vec_id AS match_id, c.label,

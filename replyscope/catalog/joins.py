@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from replyscope.catalog import common
-from replyscope.catalog.common import MESSAGES, NAMES, THREADS, query, sql_text, table
-from replyscope.catalog.tables import CLEAN, thread_vectors
+from replyscope.catalog.common import CLEAN, MESSAGES, NAMES, THREADS, query, sql_text, table
 from replyscope.fixed_values import RANDOM_SEED, TAXONOMY
 from replyscope.operators import brands, similarity, threads
 from replyscope.operators.labelling import labelling_progress, resume_labels
@@ -181,7 +180,7 @@ FROM pairs QUALIFY rank <= 3""",
 )
 def thread_retrieval(spark, sf_dir):
     """Every vector against the resolved threads, text keys, k = 3."""
-    corpus = threads.resolved(thread_vectors(spark, sf_dir))
+    corpus = threads.resolved(common.thread_vectors(spark, sf_dir))
     found = similarity.knn(common.vectors(spark, sf_dir), corpus, 3, query_key="vec_id")
     return found.withColumn("rank", F.col("rank").cast("long"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from replyscope import fixed_values as fixed
 from replyscope.catalog import common
-from replyscope.catalog.common import MESSAGES, NAMES, PREDICTIONS, THREADS, query, sql_redact, table
+from replyscope.catalog.common import CLEAN, MESSAGES, NAMES, PREDICTIONS, THREADS, query, sql_redact, table
 from replyscope.functions.gate import escalation_gate
 from replyscope.functions.language import keep_language, language_detector, language_profiles
 from replyscope.functions.redaction import redact
@@ -20,12 +20,6 @@ from replyscope.sources import sinks, vectors
 from replyscope.sources.messages import MESSAGE_SCHEMA, load_messages
 from replyscope.sources.taxonomy import intent_of, known_intents, taxonomy
 
-CLEAN = f"""{THREADS},
-clean AS (
-  SELECT thread_id, brand, {sql_redact('customer_text')} AS customer_text, {sql_redact('brand_reply')} AS brand_reply,
-         n_turns FROM threads)"""
-
-
 @query(
     "scan_messages",
     f"""WITH {MESSAGES}
@@ -113,7 +107,7 @@ WHERE regexp_matches(c.brand_reply, '\\S')""",
 def vector_store(spark, sf_dir):
     """Resolved pairs with vectors, written as one table and read back."""
     path = scratch_path(spark, "vectors")
-    vectors.write_vectors(thread_vectors(spark, sf_dir), path)
+    vectors.write_vectors(common.thread_vectors(spark, sf_dir), path)
     return vectors.read_vectors(spark, path).select(
         "thread_id",
         F.md5("customer_text").alias("customer_digest"),
@@ -124,12 +118,6 @@ def vector_store(spark, sf_dir):
     )
 
 
-def thread_vectors(spark, sf_dir):
-    """Threads with the vector whose id is the conversation number."""
-    threads = common.clean_threads(spark, sf_dir).withColumn("vec_id", F.floor(F.col("thread_id").cast("long") / 100))
-    return threads.join(common.vectors(spark, sf_dir).select("vec_id", "embedding"), "vec_id").drop("vec_id")
-
-
 @query(
     "taxonomy_dimension",
     f"""WITH names AS (SELECT unnest({NAMES}) AS intent, unnest(range(0, 10)) AS intent_id)

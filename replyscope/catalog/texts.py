@@ -8,9 +8,8 @@ from replyscope import fixed_values as fixed
 from replyscope.catalog import common
 from replyscope.catalog.aggregates import GATED, gated_messages
 from replyscope.catalog.common import (
-    MESSAGES, NAMES, NEIGHBOURS, PREDICTIONS, THREADS, query, sql_fill, sql_redact, sql_replace, sql_text, table,
+    CLEAN, MESSAGES, NAMES, NEIGHBOURS, PREDICTIONS, THREADS, query, sql_fill, sql_redact, sql_replace, sql_text, table,
 )
-from replyscope.catalog.tables import CLEAN
 from replyscope.fixed_values import REDACTION_RULES
 from replyscope.functions import prompts
 from replyscope.functions.guardrails import guardrail_flags, reply_safety

@@ -52,6 +52,11 @@ def has_text(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit("")).rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
+def redact_threads(threads: DataFrame) -> DataFrame:
+    """Redact the texts of threads, also inside the turns."""
+    return redact_columns(threads, ["customer_text", "brand_reply"]).withColumn("turns", redact_turns(F.col("turns")))
+
+
 def prepare_threads(
     messages: DataFrame,
     brand: str | None = None,
@@ -59,9 +64,8 @@ def prepare_threads(
     min_length: int = fixed.MIN_THREAD_LENGTH,
     seed: int = fixed.RANDOM_SEED,
 ) -> PreparedThreads:
-    """Reconstruct threads and redact them; the turns are redacted as well."""
-    threads = reconstruct_threads(messages, brand, min_length, sample_size, seed)
-    clean = redact_columns(threads, ["customer_text", "brand_reply"]).withColumn("turns", redact_turns(F.col("turns")))
+    """Reconstruct threads and redact them."""
+    clean = redact_threads(reconstruct_threads(messages, brand, min_length, sample_size, seed))
     return PreparedThreads(
         clean,
         clean.select("thread_id", "customer_text").dropna(),
