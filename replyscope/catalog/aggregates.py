@@ -385,7 +385,7 @@ def cohens_kappa(spark, sf_dir):
 def gated_messages(spark, sf_dir):
     """Gate decisions with signals derived from predictions, neighbours and documents."""
     best = common.neighbours(spark, sf_dir).where("rank = 1").select("vec_id", "similarity")
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text", "lang")
+    texts = common.documents(spark, sf_dir, "doc_id", "text", "lang").withColumnRenamed("doc_id", "vec_id")
     number = F.col("vec_id")
     rows = (
         common.predictions(spark, sf_dir)
@@ -469,7 +469,7 @@ def gate_quality(spark, sf_dir):
 
 def reply_pairs(spark, sf_dir):
     """Each document as draft, with its neighbours' documents as precedents; some drafts are markers."""
-    docs = table(spark, sf_dir, "documents")
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
     drafts = docs.select(
         F.col("doc_id").alias("vec_id"),
         F.when(F.col("doc_id") % 10 == 0, fixed.ESCALATED_MARKER).otherwise(F.col("text")).alias("draft_reply"),
@@ -510,7 +510,7 @@ def matches(column: str, name: str) -> str:
     + ") SELECT *, matches_before - matches_after AS replaced FROM counts",
 )
 def audit(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("text", redact(F.col("text")).alias("redacted"))
+    docs = common.documents(spark, sf_dir, "text").withColumn("redacted", redact(F.col("text")))
     return redaction_audit(docs, "text", "redacted")
 
 

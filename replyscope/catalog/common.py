@@ -13,7 +13,7 @@ from replyscope.fixed_values import INTENT_NAMES, REDACTION_RULES
 from replyscope.operators import similarity, threads
 from replyscope.operators.classify import best_label, neighbour_scores
 from replyscope.plans.jobs import redact_threads
-from replyscope.session import cut_lineage
+from replyscope.session import cut_lineage, spread
 from replyscope.sources.messages import conversations_to_messages
 from replyscope.sources.taxonomy import intent_of
 
@@ -40,6 +40,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Long texts, spread over all cores for work on every character."""
+    return spread(table(spark, sf_dir, "documents").select(*columns))
+
+
 def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A checkpointed table that several queries of one session start from."""
     key = (spark.sparkContext.applicationId, sf_dir, name)

@@ -91,7 +91,7 @@ FROM documents""",
 )
 def text_vectors(spark, sf_dir):
     """Hashed TF-IDF vectors of whole documents: their dimension and squared length."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
     rows = encoder.encode(docs, "text", encoder.fit_encoder(docs, "text"))
     squares = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
     return rows.select("doc_id", F.size("embedding").cast("long").alias("dim"), F.round(squares, 4).alias("squares"))
@@ -118,7 +118,7 @@ SELECT doc_id, CAST(len(c) AS BIGINT) AS dim, round(CAST(CAST(CASE WHEN s > 0 TH
 )
 def caller_model_vectors(spark, sf_dir):
     """Vectors from a function of the caller, applied in batches."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
     rows = encoder.encode_with(docs, "text", letter_model)
     value = lambda i: F.round(F.get("embedding", F.lit(i)).cast("double"), 5)
     return rows.select(
@@ -163,7 +163,7 @@ raw AS (SELECT key, c.term, (1 + ln(tf)) * idf AS w FROM counts c JOIN vocabular
 
 @query("tfidf_vocabulary", f"WITH {WEIGHTS} SELECT term, df, round(idf, 6) AS idf FROM vocabulary")
 def tfidf_vocabulary(spark, sf_dir):
-    vocabulary = tfidf.fit_vocabulary(table(spark, sf_dir, "documents"), "doc_id", "text")
+    vocabulary = tfidf.fit_vocabulary(common.documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
     return vocabulary.table.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -174,7 +174,7 @@ SELECT key AS doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY key)),
 )
 def tfidf_weights(spark, sf_dir):
     """Weights of all terms of whole documents."""
-    docs = table(spark, sf_dir, "documents")
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
     weights = tfidf.tfidf(docs, "doc_id", "text", tfidf.fit_vocabulary(docs, "doc_id", "text"))
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
@@ -183,7 +183,7 @@ def labelled_documents(spark, sf_dir):
     """Documents with their quality label as a name."""
     label = F.when(F.col("quality") == 1, "good").otherwise("poor").alias("label")
     return table(spark, sf_dir, "labels").select("doc_id", label).join(
-        table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"
+        common.documents(spark, sf_dir, "doc_id", "text"), "doc_id"
     )
 
 
@@ -201,21 +201,21 @@ def document_classifier(spark, sf_dir):
 @query("classified_documents")
 def classified_documents(spark, sf_dir):
     """Label and confidence of every document from a classifier trained on the labelled ones."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
     return document_classifier(spark, sf_dir).predict(docs, "doc_id", "text")
 
 
 @query("class_scores")
 def class_scores(spark, sf_dir):
     """Full distribution over the classes for every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
     return document_classifier(spark, sf_dir).scores(docs, "doc_id", "text")
 
 
 @query("saved_classifier", "SELECT count(*) AS n, count(*) AS n_equal FROM documents")
 def saved_classifier(spark, sf_dir):
     """A classifier that was saved and loaded gives the same answers."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
     first = document_classifier(spark, sf_dir)
     path = scratch_path(spark, "classifier")
     first.save(path)
@@ -269,5 +269,5 @@ def length_model():
 @query("batched_scores", "SELECT doc_id, CAST(length(text) AS BIGINT) AS score FROM documents")
 def batched_scores(spark, sf_dir):
     """A function of the caller over whole texts, one result per row."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
     return score_batches(docs, "doc_id", "text", length_model, "score", "bigint")

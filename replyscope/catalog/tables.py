@@ -233,7 +233,7 @@ detected AS (
 
 
 def detected_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = common.documents(spark, sf_dir, "doc_id", "text", "lang")
     detect = language_detector(language_profiles(docs, "text", "lang"))
     return docs.select("doc_id", "lang", detect("text").alias("detected"))
 

@@ -32,7 +32,7 @@ def contact_texts(spark, sf_dir):
         "case REF-AB%06d. Call 555-%03d-%04d, (800) 555-%04d or account %012d with card 4111 1111 1111 %04d ",
         number, number, number, number, number, number, number % 1000, number % 10000, number % 10000, number, number % 10000,
     )
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("text"), extra).alias("text"))
+    return common.documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.concat(F.col("text"), extra).alias("text"))
 
 
 CONTACT = """contact AS (
@@ -85,7 +85,7 @@ def redact_selected(spark, sf_dir):
 
 @query("word_counts", "SELECT doc_id, CAST(len(regexp_extract_all(text, '\\S+')) AS BIGINT) AS n_words FROM documents")
 def word_counts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
     return docs.select("doc_id", word_count(F.col("text")).cast("long").alias("n_words"))
 
 

@@ -263,7 +263,7 @@ def report(spark, sf_dir):
     number = F.col("vec_id")
     rows = common.predictions(spark, sf_dir)
     golden = rows.select("vec_id", F.when(number % 10 != 0, F.col("truth")).alias("human_intent"))
-    docs = table(spark, sf_dir, "documents")
+    docs = common.documents(spark, sf_dir, "doc_id", "text")
     replies = docs.select(F.col("doc_id").alias("match_id"), F.col("text").alias("brand_reply"))
     retrieved = common.neighbours(spark, sf_dir).join(replies, "match_id")
     drafts = rows.select("vec_id", "intent", "confidence").join(

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from replyscope.fixed_values import REDACTION_RULES
 from replyscope.functions.text import is_blank, regex, strip
 
+# Characters without which a rule cannot match: a cheap test before the pattern is tried
+NEEDED = {"email": "@", "url": "://", "handle": "@"}
 RULES = {name: (regex(pattern, ignore_case), token) for name, pattern, ignore_case, token in REDACTION_RULES}
 
 
@@ -21,11 +23,18 @@ def redact(text: Column, rules: Iterable[str] | None = None) -> Column:
     selection means all rules.
     """
     filled = F.coalesce(text, F.lit(""))
-    chosen = [RULES[name] for name in (list(rules or []) or RULES) if name in RULES]
-    replaced = reduce(lambda column, rule: F.regexp_replace(column, *rule), chosen, filled)
+    chosen = [name for name in (list(rules or []) or RULES) if name in RULES]
+    replaced = reduce(apply_rule, chosen, filled)
     return F.when(is_blank(filled), filled).otherwise(strip(replaced))
 
 
+def apply_rule(text: Column, name: str) -> Column:
+    replaced = F.regexp_replace(text, *RULES[name])
+    if name not in NEEDED:
+        return replaced
+    return F.when(F.contains(text, F.lit(NEEDED[name])), replaced).otherwise(text)
+
+
 def redact_columns(df: DataFrame, columns: Iterable[str], rules: Iterable[str] | None = None) -> DataFrame:
     """Redact several text columns in one projection; columns that do not exist are skipped."""
     present = [name for name in columns if name in df.columns]

@@ -24,7 +24,8 @@ def brand_messages(messages: DataFrame, brand: str) -> DataFrame:
 def answering_messages(messages: DataFrame) -> DataFrame:
     """Outbound messages that answer an inbound message of the data."""
     customers = inbound(messages).select(F.col("tweet_id").alias("_id")).distinct()
-    return outbound(messages).join(customers, F.col("in_response_to_tweet_id") == F.col("_id"), "left_semi")
+    replies = outbound(messages).where(F.col("in_response_to_tweet_id").isNotNull())
+    return replies.join(customers, F.col("in_response_to_tweet_id") == F.col("_id"), "left_semi")
 
 
 def outbound_counts(messages: DataFrame) -> DataFrame:
@@ -34,10 +35,18 @@ def outbound_counts(messages: DataFrame) -> DataFrame:
 def answered_counts(messages: DataFrame) -> DataFrame:
     """Distinct inbound messages each brand has answered.
 
-    Pairs are made unique first, so the busiest brand is counted by many tasks.
+    Pairs are made unique before the join, so neither a busy brand nor a message with very many
+    replies ends up in one task.
     """
-    pairs = answering_messages(messages).select("author_id", "in_response_to_tweet_id").distinct()
-    return pairs.groupBy("author_id").agg(F.count("*").alias("threads_with_reply"))
+    customers = inbound(messages).select(F.col("tweet_id").alias("in_response_to_tweet_id")).distinct()
+    pairs = (
+        outbound(messages)
+        .where(F.col("in_response_to_tweet_id").isNotNull())
+        .select("author_id", "in_response_to_tweet_id")
+        .distinct()
+    )
+    answered = pairs.join(customers, "in_response_to_tweet_id", "left_semi")
+    return answered.groupBy("author_id").agg(F.count("*").alias("threads_with_reply"))
 
 
 def completeness(answered: Column, sent: Column) -> Column:

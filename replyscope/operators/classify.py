@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from replyscope import fixed_values as fixed
 from replyscope.operators.tfidf import Vocabulary, fit_vocabulary, sparse_rows, tfidf
@@ -62,6 +64,25 @@ def neighbour_scores(neighbours: DataFrame, key: str, label: str = "label", simi
     return sums.select(key, F.col(label).alias("label"), F.coalesce(F.try_divide("_sum", total), F.lit(0.0)).alias("score"))
 
 
+def linear_scorer(coefficients: np.ndarray, intercepts: np.ndarray):
+    """A vectorised function from sparse rows to class probabilities.
+
+    The coefficients have one row per class and one column per vocabulary term.
+    """
+    by_term = np.ascontiguousarray(coefficients.T)
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def shares(terms: pd.Series, weights: pd.Series) -> pd.Series:
+        def row(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+            margins = intercepts + weight @ by_term[at] if len(at) else intercepts
+            powers = np.exp(margins - margins.max())
+            return powers / powers.sum()
+
+        return pd.Series([row(at, weight) for at, weight in zip(terms, weights)])
+
+    return shares
+
+
 @F.udf(VectorUDT())
 def to_vector(terms, weights, width):
     return SparseVector(width, terms, weights)
@@ -78,13 +99,10 @@ class TextClassifier:
     def scores(self, df: DataFrame, key: str, text: str) -> DataFrame:
         """(key, label, score): the full distribution of every message."""
         weights = sparse_rows(tfidf(df, key, text, self.vocabulary), key, df)
-        width = F.lit(self.vocabulary.max_features)
-        features = weights.select(key, to_vector("terms", "weights", width).alias("features"))
         names = F.array(*[F.lit(name) for name in self.labels])
-        return (
-            self.model.transform(features)
-            .select(key, F.posexplode(vector_to_array("probability")).alias("_index", "score"))
-            .select(key, F.get(names, F.col("_index")).alias("label"), "score")
+        shares = linear_scorer(self.model.coefficientMatrix.toArray(), self.model.interceptVector.toArray())
+        return weights.select(key, F.posexplode(shares("terms", "weights")).alias("_index", "score")).select(
+            key, F.get(names, F.col("_index")).alias("label"), "score"
         )
 
     def predict(self, df: DataFrame, key: str, text: str) -> DataFrame:

@@ -28,6 +28,7 @@ from replyscope.operators.similarity import (
     radius_of,
     scaled_similarity,
 )
+from replyscope.operators.skew import lookup_join
 from replyscope.session import cut_lineage
 
 
@@ -139,13 +140,15 @@ def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     labels = nodes.select("_key", F.col("_key").alias("_root"))
     while True:
         known = labels.select(F.col("_key").alias("_other"), F.col("_root").alias("_near"))
-        nearest = both.join(known, "_other").groupBy("_key").agg(F.min("_near").alias("_near"))
-        lowered = labels.join(nearest, "_key", "left").select(
-            "_key", F.col("_root").alias("_old"), F.least("_root", "_near").alias("_mid")
+        nearest = lookup_join(both, known, "_other").groupBy("_key").agg(F.min("_near").alias("_near"))
+        lowered = cut_lineage(
+            labels.join(nearest, "_key", "left").select(
+                "_key", F.col("_root").alias("_old"), F.least("_root", "_near").alias("_mid")
+            )
         )
         jump = lowered.select(F.col("_key").alias("_mid"), F.col("_mid").alias("_next"))
         step = cut_lineage(
-            lowered.join(jump, "_mid").select("_key", "_old", F.least("_mid", "_next").alias("_root"))
+            lookup_join(lowered, jump, "_mid").select("_key", "_old", F.least("_mid", "_next").alias("_root"))
         )
         labels = step.select("_key", "_root")
         if step.where(F.col("_old") != F.col("_root")).isEmpty():
@@ -179,7 +182,7 @@ def cluster_density(
     numbered = bucket_rank(sizes, [], F.substring(digest, 1, PREFIX), [digest], "_number")
     clusters = labels.join(numbered, "_root").select("_key", (F.col("_number") - 1).cast("int").alias("cluster"))
     return (
-        rows.join(points.select("_vector", "_key"), "_vector")
+        lookup_join(rows, points.select("_vector", "_key"), "_vector")
         .join(clusters, "_key", "left")
         .select(F.col("_id").alias(key), F.coalesce("cluster", F.lit(-1)).alias("cluster"))
     )

@@ -23,6 +23,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from replyscope import fixed_values as fixed
 from replyscope.operators.ranking import hash_sample
+from replyscope.operators.skew import lookup_join
+from replyscope.session import cut_lineage
 
 DIGITS = 6
 SCALE = 10**DIGITS
@@ -329,7 +331,7 @@ def near_duplicates(
     neither pairs nor comparisons.
     """
     rows = df.select(F.col(key).alias("_id"), F.col(vector).alias("_vector")).where("_vector is not null")
-    distinct = collapse_copies(rows, "_id", "_vector")
+    distinct = cut_lineage(collapse_copies(rows, "_id", "_vector"))
     cells = build_cells(distinct, "_key", "_vector", 1, block_rows)
     limit = int(round(threshold * SCALE))
     key_type = rows.schema["_id"].dataType
@@ -370,7 +372,7 @@ def near_duplicates(
     )
     lower = found.groupBy("_key").agg(F.min("_lower").alias("_lower"))
     nonzero = F.exists("_vector", lambda x: x != 0).alias("_nonzero")
-    members = rows.join(distinct.select("_vector", "_key"), "_vector").select("_id", "_key", nonzero)
+    members = lookup_join(rows, distinct.select("_vector", "_key"), "_vector").select("_id", "_key", nonzero)
     copy_of = F.when((F.col("_id") > F.col("_key")) & F.col("_nonzero") & F.lit(threshold < 1.0), F.col("_key"))
     return (
         members.join(lower, "_key", "left")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from replyscope import fixed_values as fixed
 from replyscope.operators.ranking import bucket_rank, hash_sample, position_bucket
+from replyscope.operators.skew import lookup_join
 from replyscope.session import cut_lineage
 
 
@@ -39,10 +40,15 @@ def first_replies(messages: DataFrame, order: str = "position") -> DataFrame:
 
 
 def root_candidates(messages: DataFrame) -> DataFrame:
-    """Inbound messages whose parent is null or not in the data."""
+    """Inbound messages whose parent is null or not in the data.
+
+    Messages without a parent need no lookup and stay out of the shuffle.
+    """
     present = messages.select(F.col("tweet_id").alias("_id")).distinct()
     inbound = messages.where(F.coalesce("inbound", F.lit(True)))
-    return inbound.join(present, F.col("in_response_to_tweet_id") == F.col("_id"), "left_anti")
+    parent = F.col("in_response_to_tweet_id")
+    orphans = inbound.where(parent.isNotNull()).join(present, parent == F.col("_id"), "left_anti")
+    return inbound.where(parent.isNull()).unionByName(orphans)
 
 
 def reply_paths(
@@ -55,14 +61,18 @@ def reply_paths(
     parents has two ways.
     """
     rows = messages.select(
-        "tweet_id", F.col("in_response_to_tweet_id").alias("parent_id"), F.coalesce("inbound", F.lit(True)).alias("inbound")
+        "tweet_id",
+        F.col("in_response_to_tweet_id").alias("parent_id"),
+        F.coalesce("inbound", F.lit(True)).alias("inbound"),
     ).distinct()
     present = messages.select(F.col("tweet_id").alias("parent_id")).distinct()
     parents = first_replies(messages, order).join(present, "parent_id", "left_semi")
-    linked = rows.join(parents, "parent_id", "left")
+    replies = rows.where(F.col("parent_id").isNotNull())
+    linked = lookup_join(replies, parents, "parent_id", "left", total=messages.count())
+    tops = rows.where(F.col("parent_id").isNull()).withColumn("first_child", F.lit(None).cast("string"))
     is_top = F.col("first_child").isNull()
     paths = cut_lineage(
-        linked.select(
+        linked.unionByName(tops).select(
             "tweet_id",
             F.when(is_top, F.col("tweet_id")).otherwise(F.col("parent_id")).alias("root_id"),
             F.when(is_top, 0).otherwise(1).alias("depth"),
@@ -72,16 +82,23 @@ def reply_paths(
         )
     )
     reach = 1
-    while reach <= max_depth and not paths.where(~F.col("done")).isEmpty():
-        lower = paths.where(~F.col("done")).alias("lower")
-        upper = paths.alias("upper")
-        longer = lower.join(upper, F.col("lower.root_id") == F.col("upper.tweet_id")).select(
-            F.col("lower.tweet_id").alias("tweet_id"),
-            F.col("upper.root_id").alias("root_id"),
-            (F.col("lower.depth") + F.col("upper.depth")).alias("depth"),
-            (F.col("lower.on_walk") & F.col("upper.on_walk")).alias("on_walk"),
-            F.col("upper.done").alias("done"),
-            F.col("upper.root_inbound").alias("root_inbound"),
+    while reach <= max_depth and (open_paths := paths.where(~F.col("done")).count()):
+        lower = paths.where(~F.col("done")).select("tweet_id", "root_id", "depth", "on_walk")
+        upper = paths.select(
+            F.col("tweet_id").alias("root_id"),
+            F.col("root_id").alias("_root"),
+            F.col("depth").alias("_depth"),
+            F.col("on_walk").alias("_on_walk"),
+            "done",
+            "root_inbound",
+        )
+        longer = lookup_join(lower, upper, "root_id", total=open_paths).select(
+            "tweet_id",
+            F.col("_root").alias("root_id"),
+            (F.col("depth") + F.col("_depth")).alias("depth"),
+            (F.col("on_walk") & F.col("_on_walk")).alias("on_walk"),
+            "done",
+            "root_inbound",
         )
         paths = cut_lineage(paths.where("done").unionByName(longer.where(F.col("depth") <= max_depth)))
         reach *= 2

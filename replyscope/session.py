@@ -35,3 +35,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder below the shared checkpoint folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work on input that came in fewer pieces than there are cores.
+
+    Large input has more pieces than cores and is left alone, so nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
