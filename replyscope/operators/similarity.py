@@ -196,6 +196,8 @@ def block_tasks(
         .withColumn("_block", F.pmod(F.xxhash64(corpus_key), in_cell).cast("int"))
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     )
+    # New column identities, since both sides may come from one table
+    right = right.select(*[F.col(name).alias(name) for name in right.columns])
     group = ["_cell", "_block", "_part"]
 
     def run(left_table: pa.Table, right_table: pa.Table) -> pa.Table:

@@ -132,7 +132,7 @@ def nearest_text(
         .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     )
     right = (
-        corpus.select(F.col(corpus_key).alias("_match"), "terms", "weights")
+        corpus.select(F.col(corpus_key).alias("_match"), F.col("terms").alias("terms"), F.col("weights").alias("weights"))
         .withColumn("_block", F.pmod(F.xxhash64("_match"), F.lit(parts)).cast("int"))
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))))
     )
