@@ -86,7 +86,8 @@ def language_detector(profiles: DataFrame, size: int = 1000):
     def detect(texts: pd.Series) -> pd.Series:
         return texts.map(language, na_action="ignore")
 
-    return detect
+    # Keeps the optimizer from running it a second time below a filter on its result
+    return detect.asNondeterministic()
 
 
 def keep_language(df: DataFrame, detected: str, wanted: str = "en") -> DataFrame:

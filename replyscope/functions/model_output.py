@@ -2,25 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyscope import fixed_values as fixed
-from replyscope.functions.text import strip
+from replyscope.functions.text import let, strip
 
 LABEL_ARRAY = "array<struct<index:int,intent:string>>"
 URGENCY_FIELDS = "sentiment string, urgency string, urgency_score double"
 JUDGE_FIELDS = ", ".join(f"{name} string" for name in fixed.JUDGE_DIMENSIONS) + ", rationale string"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """The body with the value computed once per row, however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def unfence(raw: Column) -> Column:
     """Text inside a leading Markdown code fence, without its "json" tag; other text unchanged."""
 

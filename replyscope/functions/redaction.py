@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from itertools import takewhile
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +13,8 @@ from pyspark.sql import functions as F
 from replyscope.fixed_values import REDACTION_RULES
 from replyscope.functions.text import is_blank, regex, strip
 
-# Characters without which a rule cannot match: a cheap test before the pattern is tried
+# Text without which a rule cannot match. No token contains it, so the test on the original
+# text holds for every later step as well.
 NEEDED = {"email": "@", "url": "://", "handle": "@"}
 RULES = {name: (regex(pattern, ignore_case), token) for name, pattern, ignore_case, token in REDACTION_RULES}
 
@@ -24,15 +27,17 @@ def redact(text: Column, rules: Iterable[str] | None = None) -> Column:
     """
     filled = F.coalesce(text, F.lit(""))
     chosen = [name for name in (list(rules or []) or RULES) if name in RULES]
-    replaced = reduce(apply_rule, chosen, filled)
+    guarded = list(takewhile(NEEDED.__contains__, chosen))
+    first = filled
+    if guarded:
+        possible = reduce(or_, [F.contains(filled, F.lit(NEEDED[name])) for name in guarded])
+        first = F.when(possible, reduce(apply_rule, guarded, filled)).otherwise(filled)
+    replaced = reduce(apply_rule, chosen[len(guarded) :], first)
     return F.when(is_blank(filled), filled).otherwise(strip(replaced))
 
 
 def apply_rule(text: Column, name: str) -> Column:
-    replaced = F.regexp_replace(text, *RULES[name])
-    if name not in NEEDED:
-        return replaced
-    return F.when(F.contains(text, F.lit(NEEDED[name])), replaced).otherwise(text)
+    return F.regexp_replace(text, *RULES[name])
 
 
 def redact_columns(df: DataFrame, columns: Iterable[str], rules: Iterable[str] | None = None) -> DataFrame:

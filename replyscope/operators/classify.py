@@ -14,6 +14,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from replyscope import fixed_values as fixed
 from replyscope.operators.tfidf import Vocabulary, fit_vocabulary, sparse_rows, tfidf
+from replyscope.session import cut_lineage
 
 
 def majority_class(df: DataFrame, label: str) -> DataFrame:
@@ -67,8 +68,12 @@ def neighbour_scores(neighbours: DataFrame, key: str, label: str = "label", simi
 def linear_scorer(coefficients: np.ndarray, intercepts: np.ndarray):
     """A vectorised function from sparse rows to class probabilities.
 
-    The coefficients have one row per class and one column per vocabulary term.
+    The coefficients have one row per class and one column per vocabulary term; a model of two
+    classes has only the row of the second.
     """
+    if len(coefficients) == 1:
+        coefficients = np.vstack([np.zeros_like(coefficients), coefficients])
+        intercepts = np.concatenate([[0.0], intercepts])
     by_term = np.ascontiguousarray(coefficients.T)
 
     @F.pandas_udf(ArrayType(DoubleType()))
@@ -133,16 +138,19 @@ def fit_text_classifier(
     label: str,
     *,
     c: float = 1.0,
-    max_iter: int = 100,
+    max_iter: int = 1000,
+    tolerance: float = 1e-4,
     max_features: int = fixed.MAX_FEATURES,
     balanced: bool = True,
 ) -> TextClassifier:
     """Logistic regression on TF-IDF with class-balanced weights n / (classes * class size).
 
-    Penalty 1 / (c * n) on the mean loss equals an inverse strength c on the summed loss.
+    Two classes give a binomial model, more a multinomial one. Penalty 1 / (c * n) on the mean
+    loss equals an inverse strength c on the summed loss.
     """
-    vocabulary = fit_vocabulary(df, key, text, max_features)
-    vocabulary = Vocabulary(vocabulary.table.persist(), vocabulary.n_texts, max_features)
+    df = cut_lineage(df.select(key, text, label))
+    fitted = fit_vocabulary(df, key, text, max_features)
+    vocabulary = Vocabulary(cut_lineage(fitted.table), fitted.n_texts, max_features)
     # One row per class of the model, which the model holds on the driver as well
     counts = {row["_label"]: row["_n"] for row in df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n")).collect()}
     labels, n = sorted(counts), sum(counts.values())
@@ -160,10 +168,10 @@ def fit_text_classifier(
         featuresCol="features",
         labelCol="label",
         weightCol="weight",
-        family="multinomial",
         regParam=1.0 / (c * n),
         standardization=False,
         maxIter=max_iter,
+        tol=tolerance,
     )
     return TextClassifier(vocabulary, regression.fit(training), labels)
 

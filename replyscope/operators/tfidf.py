@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from replyscope import fixed_values as fixed
+from replyscope.functions.text import let
 from replyscope.operators.similarity import SCALE
 
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -31,13 +32,17 @@ def words(text: Column) -> Column:
 
 def terms(text: Column) -> Column:
     """Array of words followed by word pairs."""
-    single = words(text)
-    pairs = F.zip_with(
-        F.slice(single, 1, F.greatest(F.size(single) - 1, F.lit(0))),
-        F.slice(single, 2, F.greatest(F.size(single) - 1, F.lit(0))),
-        lambda left, right: F.concat_ws(" ", left, right),
-    )
-    return F.concat(single, pairs)
+
+    def with_pairs(single: Column) -> Column:
+        n_pairs = F.greatest(F.size(single) - 1, F.lit(0))
+        pairs = F.zip_with(
+            F.slice(single, F.lit(1), n_pairs),
+            F.slice(single, F.lit(2), n_pairs),
+            lambda left, right: F.concat_ws(" ", left, right),
+        )
+        return F.concat(single, pairs)
+
+    return let(words(text), with_pairs)
 
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
