@@ -66,8 +66,10 @@ SELECT thread_id, md5(customer_text) AS customer_digest, md5(brand_reply) AS rep
 WHERE regexp_matches(brand_reply, '\\S')""",
 )
 def prepared_threads(spark, sf_dir):
-    """Resolved pairs from messages: threads, redaction, filter."""
-    pairs = jobs.prepare_threads(common.messages(spark, sf_dir)).resolved_pairs
+    """Resolved pairs from messages: threads, redaction, filter, sinks."""
+    path = scratch_path(spark, "prepared")
+    jobs.save_prepared_threads(common.messages(spark, sf_dir), path)
+    pairs = spark.read.parquet(f"{path}/resolved_pairs")
     return pairs.select(
         "thread_id",
         F.md5("customer_text").alias("customer_digest"),
@@ -431,11 +433,12 @@ def streamed_triage(spark, sf_dir):
     corpus = threads.resolved(common.thread_vectors(spark, sf_dir))
     predicted = common.predictions(spark, sf_dir).select("vec_id", "intent", "confidence")
     vectors = common.vectors(spark, sf_dir).select("vec_id", "embedding")
+    cells = similarity.corpus_cells(corpus)
 
     def handle(batch):
         rows = conversations_to_messages(batch).where("inbound").withColumn("vec_id", common.vector_id("tweet_id"))
         rows = rows.select("tweet_id", "vec_id", "text")
-        found = similarity.knn(rows.join(vectors, "vec_id"), corpus, query_key="tweet_id")
+        found = similarity.knn(rows.join(vectors, "vec_id"), corpus, query_key="tweet_id", cells=cells)
         examples = found.join(corpus.select("thread_id", "customer_text", "brand_reply"), "thread_id")
         return jobs.triage(
             rows,

@@ -17,6 +17,9 @@ from replyscope.operators.tfidf import Vocabulary, fit_vocabulary, sparse_rows,
 from replyscope.session import cut_lineage
 
 
+ROWS_PER_PART = 2_000
+
+
 def majority_class(df: DataFrame, label: str) -> DataFrame:
     """One row: the most frequent label, its count, the total and its share; ties go to the lowest name."""
     counts = df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n"))
@@ -159,10 +162,12 @@ def fit_text_classifier(
         *[F.lit(x) for name in labels for x in (name, n / (len(labels) * counts[name]) if balanced else 1.0)]
     )
     rows = sparse_rows(tfidf(df, key, text, vocabulary), key, df)
-    training = rows.join(df.select(key, label), key).select(
-        to_vector("terms", "weights", F.lit(max_features)).alias("features"),
-        index[F.col(label)].alias("label"),
-        weight[F.col(label)].alias("weight"),
+    training = cut_lineage(
+        rows.join(df.select(key, label), key).select(
+            to_vector("terms", "weights", F.lit(max_features)).alias("features"),
+            index[F.col(label)].alias("label"),
+            weight[F.col(label)].alias("weight"),
+        )
     )
     regression = LogisticRegression(
         featuresCol="features",
@@ -173,7 +178,9 @@ def fit_text_classifier(
         maxIter=max_iter,
         tol=tolerance,
     )
-    return TextClassifier(vocabulary, regression.fit(training), labels)
+    # Every iteration is a job: small training sets need few tasks, large ones keep all
+    parts = max(1, n // ROWS_PER_PART)
+    return TextClassifier(vocabulary, regression.fit(training.coalesce(parts)), labels)
 
 
 def simple_baseline(

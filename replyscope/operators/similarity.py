@@ -120,23 +120,54 @@ def build_cells(
     if len(pivots) < 2:
         return Cells(None, np.zeros(1), np.zeros(1), np.array([size]), np.zeros((1, k)), block_rows)
     blank = Cells(pivots, np.zeros(0), np.zeros(0), np.zeros(0), np.zeros((0, k)), block_rows)
-    placed = with_home(corpus.select(key, vector), vector, blank).select("_cell", "_gap")
-    nearest = Window.partitionBy("_cell").orderBy("_gap")
+    parts = cut_lineage(cell_summaries(corpus.select(vector), vector, blank, k))
+    nearest = Window.partitionBy("cell").orderBy("gap")
     closest = (
-        placed.withColumn("_rank", F.row_number().over(nearest)).where(F.col("_rank") <= k).select("_cell", "_rank", "_gap")
-    )
-    summary = placed.groupBy("_cell").agg(
-        F.count("*").alias("rows"), F.min("_gap").alias("near"), F.max("_gap").alias("far")
+        parts.where(F.col("cell") < len(pivots))
+        .select("cell", F.explode("closest").alias("gap"))
+        .withColumn("place", F.row_number().over(nearest))
+        .where(F.col("place") <= k)
     )
+    summary = parts.groupBy("cell").agg(F.sum("rows").alias("rows"), F.min("near").alias("near"), F.max("far").alias("far"))
     near, far = np.zeros(len(pivots) + 1), np.zeros(len(pivots) + 1)
     rows, smallest = np.zeros(len(pivots) + 1, dtype=np.int64), np.full((len(pivots), k), np.inf)
-    for row in summary.toLocalIterator():
-        near[row["_cell"]], far[row["_cell"]], rows[row["_cell"]] = row["near"], row["far"], row["rows"]
-    for row in closest.where(F.col("_cell") < len(pivots)).toLocalIterator():
-        smallest[row["_cell"], row["_rank"] - 1] = row["_gap"]
+    for row in summary.collect():
+        near[row["cell"]], far[row["cell"]], rows[row["cell"]] = row["near"], row["far"], row["rows"]
+    for row in closest.collect():
+        smallest[row["cell"], row["place"] - 1] = row["gap"]
     return Cells(pivots, near, far, rows, smallest, block_rows)
 
 
+def cell_summaries(df: DataFrame, vector: str, cells: Cells, k: int) -> DataFrame:
+    """Per task and cell: rows, lowest and highest pivot distance, and the k lowest distances."""
+    schema = pa.schema(
+        [
+            ("cell", pa.int32()),
+            ("rows", pa.int64()),
+            ("near", pa.float64()),
+            ("far", pa.float64()),
+            ("closest", pa.list_(pa.float64())),
+        ]
+    )
+
+    def summarise(batches):
+        totals: dict[int, list] = {}
+        for batch in batches:
+            cell, gap = cells.home(matrix(batch.column(vector)))
+            for number in np.unique(cell):
+                gaps = np.sort(gap[cell == number])
+                rows, near, far, low = totals.get(number, (0, np.inf, 0.0, np.zeros(0)))
+                low = np.sort(np.concatenate([low, gaps[:k]]))[:k]
+                totals[number] = (rows + len(gaps), min(near, gaps[0]), max(far, gaps[-1]), low)
+        if totals:
+            columns = [list(totals), *map(list, zip(*totals.values()))]
+            columns[4] = [low.tolist() for low in columns[4]]
+            arrays = [pa.array(values, field.type) for values, field in zip(columns, schema)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return df.mapInArrow(summarise, "cell int, rows long, near double, far double, closest array<double>")
+
+
 def with_home(df: DataFrame, vector: str, cells: Cells) -> DataFrame:
     """Add the cell and the pivot distance of each row."""
     if cells.pivots is None:
@@ -227,19 +258,24 @@ def knn(
     corpus_key: str = "thread_id",
     vector: str = "embedding",
     exclude_same_id: bool = False,
+    cells: Cells | None = None,
     corpus_block_rows: int = CORPUS_BLOCK_ROWS,
     query_block_rows: int = QUERY_BLOCK_ROWS,
 ) -> DataFrame:
     """(query_key, corpus_key, similarity, rank): the k most similar corpus rows of each query.
 
     Exact. A query gets fewer than k rows only when the corpus is smaller than k.
-    ``exclude_same_id`` leaves out the corpus row whose id equals the query's.
+    ``exclude_same_id`` leaves out the corpus row whose id equals the query's. The corpus is read
+    several times, so it should be a stored table; ``cells`` from ``corpus_cells`` spares the
+    passes that divide it, for many searches of one corpus.
     """
     left_key, right_key = "_query", "_match"
     left = queries.select(F.col(query_key).alias(left_key), F.col(vector).alias("_vector")).where("_vector is not null")
     right = corpus.select(F.col(corpus_key).alias(right_key), F.col(vector).alias("_vector")).where("_vector is not null")
     reach = k + 1 if exclude_same_id else k
-    cells = build_cells(right, right_key, "_vector", reach, corpus_block_rows)
+    cells = build_cells(right, right_key, "_vector", reach, corpus_block_rows) if cells is None else cells
+    if cells.closest.shape[1] < reach:
+        raise ValueError("the cells were built for a smaller k")
     query_type = left.schema[left_key].dataType
     match_type = right.schema[right_key].dataType
     out = pa.schema(
@@ -304,6 +340,13 @@ def knn(
     )
 
 
+def corpus_cells(
+    corpus: DataFrame, k: int = fixed.TOP_K, key: str = "thread_id", vector: str = "embedding", block_rows: int = CORPUS_BLOCK_ROWS
+) -> Cells:
+    """Cells of a corpus for searches of up to k rows (one less when the own id is left out)."""
+    return build_cells(corpus.select(key, vector).where(F.col(vector).isNotNull()), key, vector, k, block_rows)
+
+
 def similarity_rank(query_key: str, corpus_key: str) -> Column:
     return F.row_number().over(Window.partitionBy(query_key).orderBy(F.desc("similarity"), corpus_key))
 

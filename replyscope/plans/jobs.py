@@ -24,6 +24,7 @@ from replyscope.operators.sampling import edge_flags, golden_sample, group_sampl
 from replyscope.operators.similarity import without_held_out
 from replyscope.operators.threads import reconstruct_threads, resolved
 from replyscope.session import cut_lineage
+from replyscope.sources.sinks import write_table
 from replyscope.sources.taxonomy import known_intents, with_intent_details
 
 
@@ -65,7 +66,10 @@ def prepare_threads(
     seed: int = fixed.RANDOM_SEED,
 ) -> PreparedThreads:
     """Reconstruct threads and redact them."""
-    clean = redact_threads(reconstruct_threads(messages, brand, min_length, sample_size, seed))
+    return prepared(redact_threads(reconstruct_threads(messages, brand, min_length, sample_size, seed)))
+
+
+def prepared(clean: DataFrame) -> PreparedThreads:
     return PreparedThreads(
         clean,
         clean.select("thread_id", "customer_text").dropna(),
@@ -73,6 +77,18 @@ def prepare_threads(
     )
 
 
+def save_prepared_threads(messages: DataFrame, path: str, **options) -> PreparedThreads:
+    """Write threads, customer messages and resolved pairs below ``path``.
+
+    Threads are computed once; the other two tables start from the stored one.
+    """
+    write_table(prepare_threads(messages, **options).threads, f"{path}/threads")
+    stored = prepared(messages.sparkSession.read.parquet(f"{path}/threads"))
+    write_table(stored.customer_messages, f"{path}/customer_messages")
+    write_table(stored.resolved_pairs, f"{path}/resolved_pairs")
+    return stored
+
+
 def discover_clusters(
     vectors: DataFrame,
     key: str = "thread_id",
