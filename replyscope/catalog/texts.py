@@ -411,7 +411,31 @@ def turns_as_json(spark, sf_dir):
     )
 
 
-@query("gate_reasons")
+def sql_number(name: str) -> str:
+    return f"printf('%.2f', round_even({name}, 2))"
+
+
+REASONS = f"""list_filter([
+      CASE WHEN lang <> 'en' THEN 'Message appears to be non-English; requires specialized handling.' END,
+      CASE WHEN intent IN ('billing_payment', 'account_access', 'seller_complaint') THEN 'Intent ''' || intent
+        || ''' is in the high-risk escalation denylist (billing/account/security issues require human review).' END,
+      CASE WHEN confidence < 0.7 THEN 'Classifier confidence is low (' || {sql_number('confidence')}
+        || ' < threshold 0.70); the predicted intent ''' || intent || ''' may be incorrect.' END,
+      CASE WHEN similarity < 0.6 THEN 'Best retrieval similarity is ' || {sql_number('similarity')}
+        || ' (< threshold 0.60); no sufficiently similar historical resolution found to ground a safe reply.' END,
+      CASE WHEN urgency >= 0.8 THEN 'Urgency score ' || {sql_number('urgency')}
+        || ' (>= threshold 0.80); customer appears very distressed (sentiment: ' || sentiment || ').' END,
+      CASE WHEN len(regexp_extract_all(message, '\\S+')) < 3 THEN 'Message is very short (' || len(regexp_extract_all(message, '\\S+'))
+        || ' words); insufficient context for reliable classification or reply generation.' END], lambda x: x IS NOT NULL)"""
+
+
+@query(
+    "gate_reasons",
+    f"""WITH {GATED}
+SELECT vec_id, CASE WHEN decision = 'escalate' THEN 'ESCALATE — ' || array_to_string({REASONS}, ' | ')
+  ELSE 'Auto-handled: confidence ' || {sql_number('confidence')} || ' >= 0.7; similarity ' || {sql_number('similarity')}
+    || ' >= 0.6; intent ''' || intent || ''' not in denylist; urgency score ' || {sql_number('urgency')} || ' is acceptable.' END AS reason FROM gated""",
+)
 def gate_reasons(spark, sf_dir):
     """Reason texts of the gate."""
     return gated_messages(spark, sf_dir).select("vec_id", "reason")

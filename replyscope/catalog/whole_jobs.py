@@ -14,11 +14,12 @@ from replyscope.catalog.texts import BATCHED, CONFIGURED, FIRST_NAME, label_answ
 from replyscope.functions import prompts
 from replyscope.functions.gate import escalation_quality, rule_counts
 from replyscope.operators import classify, similarity, threads
+from replyscope.operators.encoder import encode, fit_encoder
 from replyscope.operators.ranking import hash_sample, position_bucket
 from replyscope.plans import jobs
 from replyscope.session import scratch_path
 from replyscope.sources.messages import conversations_to_messages
-from replyscope.sources.taxonomy import intent_of
+from replyscope.sources.vectors import read_vectors, write_vectors
 from replyscope.streaming.triage import message_stream, start_triage
 
 CONFIDENCE, SIMILARITY = 0.22, 0.15
@@ -124,6 +125,16 @@ def retrieval_table(spark, sf_dir):
     return built.select("thread_id", F.md5("customer_text").alias("digest"), F.size("embedding").cast("long").alias("dim"))
 
 
+@query("thread_context_retrieval")
+def thread_context_retrieval(spark, sf_dir):
+    """Resolved threads similar to the recent customer turns of each thread, by hashed text vectors."""
+    rows = common.clean_threads(spark, sf_dir)
+    model = fit_encoder(rows, "customer_text")
+    path = scratch_path(spark, "corpus")
+    write_vectors(encode(rows, "customer_text", model), path)
+    return jobs.retrieve_for_threads(rows, read_vectors(spark, path), lambda asked: encode(asked, "query_text", model))
+
+
 def template_draft(passed):
     """A draft from the signals, in place of a text model."""
     draft = F.concat(

@@ -21,8 +21,8 @@ from replyscope.operators.density import cluster_density
 from replyscope.operators.labelling import batch_texts, in_batches, label_distribution, labelling_stats
 from replyscope.operators.ranking import hash_sample
 from replyscope.operators.sampling import edge_flags, golden_sample, group_samples
-from replyscope.operators.similarity import without_held_out
-from replyscope.operators.threads import reconstruct_threads, resolved
+from replyscope.operators.similarity import knn, without_held_out
+from replyscope.operators.threads import recent_customer_text, reconstruct_threads, resolved
 from replyscope.session import cut_lineage
 from replyscope.sources.sinks import write_table
 from replyscope.sources.taxonomy import known_intents, with_intent_details
@@ -139,6 +139,18 @@ def retrieval_table(
     return encode(resolved(kept))
 
 
+def retrieve_for_threads(
+    threads: DataFrame, corpus: DataFrame, encode: Callable[[DataFrame], DataFrame], k: int = fixed.TOP_K, **options
+) -> DataFrame:
+    """Resolved threads similar to the last three customer turns of each thread, not to itself.
+
+    ``encode`` adds the vector of the column ``query_text``.
+    """
+    asked = threads.select("thread_id", recent_customer_text(F.col("turns")).alias("query_text"))
+    known = corpus.withColumnRenamed("thread_id", "match_id")
+    return knn(encode(asked), known, k, query_key="thread_id", corpus_key="match_id", exclude_same_id=True, **options)
+
+
 def nested_examples(retrieved: DataFrame, key: str) -> DataFrame:
     """(key, examples): the retrieved rows of each query as an array in rank order, k at most."""
     row = F.struct("rank", "similarity", "customer_text", "brand_reply", "match_id")

@@ -10,6 +10,8 @@ MESSAGE_SCHEMA = (
     "response_tweet_id string, in_response_to_tweet_id string"
 )
 POSITION = "position"
+# A quoted empty field is "", an empty field without quotes is null
+CSV_OPTIONS = dict(header=True, multiLine=True, quote='"', escape='"', emptyValue="", nullValue="\u0000")
 
 
 def load_messages(spark: SparkSession, path: str, format: str = "csv", limit: int | None = None) -> DataFrame:
@@ -19,7 +21,7 @@ def load_messages(spark: SparkSession, path: str, format: str = "csv", limit: in
     """
     reader = spark.read.schema(MESSAGE_SCHEMA)
     if format == "csv":
-        reader = reader.options(header=True, multiLine=True, quote='"', escape='"', emptyValue="")
+        reader = reader.options(**CSV_OPTIONS)
     df = reader.format(format).load(path)
     return df if limit is None else df.limit(limit)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from replyscope.sources.messages import CSV_OPTIONS
+
 
 def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
@@ -15,8 +17,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    options = dict(header=True, multiLine=True, quote='"', escape='"', emptyValue="", nullValue="\u0000")
-    return spark.read.schema(schema).options(**options).csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:
