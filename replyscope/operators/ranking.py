@@ -12,6 +12,7 @@ from replyscope.functions.text import hash_key
 # Hash prefixes of four hexadecimal digits: at most 65,536 buckets in each group
 PREFIX = 4
 BUCKET_WIDTH = 1 << 20
+STEPS_PER_DOUBLING = 64
 
 
 def position_bucket(position: Column) -> Column:
@@ -60,6 +61,9 @@ def lowest_by_hash(
         .withColumn("_limit", limit(F.sum("_size").over(whole)))
         .where(F.col("_before") < F.col("_limit"))
     )
+    if not keys:
+        # One row per hash prefix; rows of other buckets are dropped before any shuffle
+        wanted = F.broadcast(wanted)
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_hash", identifier)
     return (
         hashed.join(wanted, [*keys, "_bucket"])
@@ -69,6 +73,18 @@ def lowest_by_hash(
     )
 
 
+def highest_rows(df: DataFrame, n: int, value: str, tie: str) -> DataFrame:
+    """The n rows with the highest positive values; equal values are ordered by ``tie``.
+
+    Values are counted in steps of about one percent (some thousand steps), and only rows of
+    the steps that reach the n-th row are sorted. ``df`` is read twice.
+    """
+    stepped = df.withColumn("_bucket", -F.floor(F.log2(value) * STEPS_PER_DOUBLING))
+    reached = bucket_offsets(stepped, []).where(F.col("_before") < n).select("_bucket")
+    kept = stepped.join(F.broadcast(reached), "_bucket", "left_semi").drop("_bucket")
+    return kept.orderBy(F.desc(value), tie).limit(n)
+
+
 def hash_sample(df: DataFrame, identifier: str, n: int | None, seed: int) -> DataFrame:
     """n rows chosen by hash order of the identifier; all rows when n is empty or too large."""
     if not n:

@@ -17,7 +17,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from replyscope import fixed_values as fixed
 from replyscope.functions.text import let
+from replyscope.operators.ranking import highest_rows
 from replyscope.operators.similarity import SCALE
+from replyscope.session import cut_lineage
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 CORPUS_BLOCK_ROWS = 4096
@@ -74,15 +76,13 @@ def fit_vocabulary(
 ) -> Vocabulary:
     """Terms in enough texts, most frequent first; equal frequencies are ordered by term."""
     n_texts = df.count()
-    frequent = (
+    frequent = cut_lineage(
         term_counts(df, key, text)
         .groupBy("term")
         .agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
         .where(F.col("df") >= min_df)
-        .orderBy(F.desc("total"), "term")
-        .limit(max_features)
     )
-    numbered = frequent.withColumn("term_id", F.row_number().over(Window.orderBy(F.desc("total"), "term")) - 1)
+    numbered = highest_rows(frequent, max_features, "total", "term").withColumn("term_id", F.row_number().over(Window.orderBy(F.desc("total"), "term")) - 1)
     idf = F.log(F.lit(1.0 + n_texts) / (F.lit(1.0) + F.col("df"))) + 1.0
     return Vocabulary(numbered.select("term", "term_id", "df", idf.alias("idf")), n_texts, max_features)
 

@@ -274,8 +274,9 @@ def golden_candidates(
     ``scores`` is the long score table and ``best`` holds (key, similarity) of the first
     retrieved row.
     """
-    sample = hash_sample(messages, key, n_candidates, seed)
-    predicted = classify.best_label(scores, key).withColumnRenamed("intent", "predicted_intent")
+    sample = cut_lineage(hash_sample(messages, key, n_candidates, seed))
+    wanted = scores.join(sample.select(key), key, "left_semi")
+    predicted = classify.best_label(wanted, key).withColumnRenamed("intent", "predicted_intent")
     rows = (
         sample.join(predicted, key)
         .join(best.select(key, F.col("similarity").alias("top_similarity")), key, "left")

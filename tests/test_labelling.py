@@ -179,3 +179,13 @@ def test_encoders(spark):
     assert np.linalg.norm(vectors[1]) == pytest.approx(1.0, abs=1e-5) and not vectors[3].any()
     custom = encode_with(df, "text", lambda: lambda texts: np.array([[len(t), 1.0] for t in texts]))
     assert np.linalg.norm(custom.where("id = 1").first().embedding) == pytest.approx(1.0, abs=1e-6)
+
+
+def test_highest_rows(spark):
+    rng = np.random.default_rng(6)
+    values = [int(v) for v in rng.zipf(1.4, 3000) % 5000 + 1]
+    df = spark.createDataFrame([(f"t{i}", v) for i, v in enumerate(values)], "term string, total long")
+    ordered = sorted((-v, f"t{i}") for i, v in enumerate(values))
+    for n in (1, 50, 700, 2999, 4000):
+        found = sorted((-r.total, r.term) for r in ranking.highest_rows(df, n, "total", "term").collect())
+        assert found == ordered[:n]
