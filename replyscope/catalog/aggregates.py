@@ -179,11 +179,11 @@ def macro_averages(spark, sf_dir):
 
 
 def retrieval_inputs(spark, sf_dir):
-    """All vectors as queries; every ninth has no results; a result with the same label is relevant."""
+    """All vectors as queries; weak results do not count; a result with the same label is relevant."""
     labels = common.vectors(spark, sf_dir).select("vec_id", "label")
     found = (
         common.neighbours(spark, sf_dir)
-        .where(F.col("vec_id") % 9 != 0)
+        .where(F.col("similarity") >= 0.38)
         .join(labels, "vec_id")
         .join(labels.select(F.col("vec_id").alias("match_id"), F.col("label").alias("match_label")), "match_id")
         .withColumn("relevant", F.col("label") == F.col("match_label"))
@@ -195,7 +195,7 @@ RETRIEVED = f"""{common.NEIGHBOURS},
 per_query AS (
   SELECT e.vec_id, max(n.similarity) FILTER (WHERE n.rank = 1) AS top1, avg(n.similarity) AS topk,
          coalesce(bool_or(n.rank = 1 AND m.label = e.label), false) AS hit
-  FROM embeddings e LEFT JOIN neighbours n ON n.vec_id = e.vec_id AND e.vec_id % 9 <> 0
+  FROM embeddings e LEFT JOIN neighbours n ON n.vec_id = e.vec_id AND n.similarity >= 0.38
   LEFT JOIN embeddings m ON m.vec_id = n.match_id GROUP BY 1)"""
 
 
@@ -475,7 +475,7 @@ def reply_pairs(spark, sf_dir):
         F.when(F.col("doc_id") % 10 == 0, fixed.ESCALATED_MARKER).otherwise(F.col("text")).alias("draft_reply"),
     )
     replies = docs.select(F.col("doc_id").alias("match_id"), F.col("text").alias("brand_reply"))
-    pairs = common.neighbours(spark, sf_dir).join(replies, "match_id").select("vec_id", "match_id", "brand_reply")
+    pairs = common.spread(common.neighbours(spark, sf_dir)).join(replies, "match_id").select("vec_id", "match_id", "brand_reply")
     return drafts, pairs
 
 

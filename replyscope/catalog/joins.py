@@ -111,8 +111,9 @@ def label_work(spark, sf_dir):
     work = common.vectors(spark, sf_dir).select(
         "vec_id", F.when(number % 5 == 0, "delivery_problem").otherwise("").alias("human_intent")
     )
-    earlier = common.vectors(spark, sf_dir).where(number % 2 == 0).select(
-        "vec_id", F.when(number % 6 == 0, "").otherwise(intent_of(F.col("label"))).alias("human_intent")
+    done = (number % 2 == 0) & (number % 6 != 0)
+    earlier = common.vectors(spark, sf_dir).select(
+        "vec_id", F.when(done, intent_of(F.col("label"))).otherwise("").alias("human_intent")
     )
     return work, earlier
 

@@ -12,7 +12,7 @@ from replyscope.catalog.common import MESSAGES, PREDICTIONS, THREADS, query, sql
 from replyscope.catalog.joins import TERMS
 from replyscope.operators import classify, clusters, density, encoder, metrics, tfidf, threads
 from replyscope.operators.ranking import hash_sample
-from replyscope.operators.sampling import edge_flags, golden_sample, group_samples, stratified_split
+from replyscope.operators.sampling import golden_sample, group_samples, stratified_split
 from replyscope.operators.scoring import score_batches
 from replyscope.session import scratch_path
 

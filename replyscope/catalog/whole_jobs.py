@@ -6,13 +6,9 @@ from pyspark.sql import functions as F
 
 from replyscope import fixed_values as fixed
 from replyscope.catalog import common
-from replyscope.catalog.aggregates import BINS, JUDGED, REPORT, STATS, SWEEP
-from replyscope.catalog.common import (
-    CLEAN, MESSAGES, NAMES, PREDICTIONS, SCORES, THREAD_NEIGHBOURS, THREADS, query, sql_fill, sql_redact, sql_text, table,
-)
+from replyscope.catalog.aggregates import STATS
+from replyscope.catalog.common import CLEAN, PREDICTIONS, THREAD_NEIGHBOURS, THREADS, query, sql_redact, sql_text, table
 from replyscope.catalog.texts import BATCHED, CONFIGURED, FIRST_NAME, label_answers
-from replyscope.functions import prompts
-from replyscope.functions.gate import escalation_quality, rule_counts
 from replyscope.operators import classify, similarity, threads
 from replyscope.operators.encoder import encode, fit_encoder
 from replyscope.operators.ranking import hash_sample, position_bucket
@@ -145,9 +141,9 @@ def template_draft(passed):
 
 
 def thread_signals(spark, sf_dir):
-    """Urgency answers for threads; every third is missing."""
+    """Urgency answers for threads; short first messages have none."""
     number = common.vector_id()
-    return common.raw_threads(spark, sf_dir).where(number % 3 != 0).select(
+    return common.raw_threads(spark, sf_dir).where(F.length("customer_text") >= 150).select(
         "thread_id",
         F.when(number % 4 == 0, "negative").otherwise("neutral").alias("sentiment"),
         (number % 11 / F.lit(10.0)).alias("urgency_score"),
@@ -184,8 +180,8 @@ TRIAGED = f"""{CLEAN},
 {PREDICTIONS},
 inputs AS (
   SELECT c.thread_id, c.vec_id, t.customer_text, c.customer_text AS message, p.intent, p.confidence, n.similarity, n.brand_reply AS top_reply,
-         CASE WHEN c.vec_id % 3 <> 0 THEN CAST(c.vec_id % 11 AS DOUBLE) / 10.0 ELSE 0 END AS urgency,
-         CASE WHEN c.vec_id % 3 <> 0 AND c.vec_id % 4 = 0 THEN 'negative' ELSE 'neutral' END AS sentiment
+         CASE WHEN length(t.customer_text) >= 150 THEN CAST(c.vec_id % 11 AS DOUBLE) / 10.0 ELSE 0 END AS urgency,
+         CASE WHEN length(t.customer_text) >= 150 AND c.vec_id % 4 = 0 THEN 'negative' ELSE 'neutral' END AS sentiment
   FROM clean c JOIN threads t ON t.thread_id = c.thread_id JOIN predictions p ON p.vec_id = c.vec_id
   LEFT JOIN thread_neighbours n ON n.thread_id = c.thread_id AND n.rank = 1),
 ruled AS (SELECT *, {sql_rules()} AS rules FROM inputs),
@@ -275,10 +271,11 @@ def golden_set(spark, sf_dir):
 def report(spark, sf_dir):
     number = F.col("vec_id")
     rows = common.predictions(spark, sf_dir)
-    golden = rows.select("vec_id", F.when(number % 10 != 0, F.col("truth")).alias("human_intent"))
+    seen = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("vec_id"), F.lit(True).alias("labelled"))
+    golden = rows.join(seen, "vec_id", "left").select("vec_id", F.when(F.col("labelled"), F.col("truth")).alias("human_intent"))
     docs = common.documents(spark, sf_dir, "doc_id", "text")
     replies = docs.select(F.col("doc_id").alias("match_id"), F.col("text").alias("brand_reply"))
-    retrieved = common.neighbours(spark, sf_dir).join(replies, "match_id")
+    retrieved = common.spread(common.neighbours(spark, sf_dir)).join(replies, "match_id")
     drafts = rows.select("vec_id", "intent", "confidence").join(
         docs.select(F.col("doc_id").alias("vec_id"), F.col("text").alias("draft_reply")), "vec_id"
     )
@@ -296,7 +293,7 @@ def report(spark, sf_dir):
 
 
 EVALUATED = f"""{PREDICTIONS},
-kept AS (SELECT p.* FROM predictions p JOIN documents d ON d.doc_id = p.vec_id WHERE p.vec_id % 10 <> 0),
+kept AS (SELECT p.* FROM predictions p JOIN documents d ON d.doc_id = p.vec_id WHERE p.vec_id IN (SELECT doc_id FROM labels)),
 seen AS (SELECT truth AS label FROM kept UNION SELECT intent FROM kept),
 report AS (
   SELECT s.label, count(*) FILTER (WHERE x.truth = s.label AND x.intent = s.label) AS tp,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from replyscope import fixed_values as fixed
 from replyscope.catalog import common
 from replyscope.catalog.aggregates import STATS
-from replyscope.catalog.common import MESSAGES, NAMES, NEIGHBOURS, PREDICTIONS, SCORES, THREADS, query, sql_redact, table
+from replyscope.catalog.common import MESSAGES, NEIGHBOURS, PREDICTIONS, THREADS, query, sql_redact
 from replyscope.functions.prompts import history_text
 from replyscope.operators import brands, classify, labelling, similarity, threads
 from replyscope.operators.metrics import seen_labels

@@ -40,7 +40,8 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for costly work on input that came in fewer pieces than there are cores.
 
-    Large input has more pieces than cores and is left alone, so nothing is shuffled.
+    Large input has more pieces than cores and is left alone, so nothing is shuffled. Meant for
+    scans and checkpointed tables, whose pieces are known without running a stage.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
