@@ -161,6 +161,10 @@ def test_text_classifier(spark, tmp_path):
     features = weights.select("id", classify.to_vector("terms", "weights", F.lit(100)).alias("features"))
     own = {r.id: max(r.probability) for r in model.model.transform(features).collect()}
     assert all(own[r.id] == pytest.approx(r.confidence, abs=1e-9) for r in found.collect())
+    replies = df.select("id", F.concat(F.lit("about "), F.col("label")).alias("draft_reply"))
+    baseline = classify.simple_baseline(model, df, "id", "text", replies)
+    assert baseline.columns == ["id", "intent", "confidence", "draft_reply", "decision", "reason"]
+    assert baseline.where("decision = 'auto_handle' and draft_reply like 'about %'").count() == 150
     model.save(str(tmp_path / "model"))
     again = classify.TextClassifier.load(spark, str(tmp_path / "model")).predict(df, "id", "text")
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found.collect()))
