@@ -137,10 +137,11 @@ def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     both = cut_lineage(
         links.select("_key", "_other").unionByName(links.select(F.col("_other").alias("_key"), F.col("_key").alias("_other")))
     )
+    n_links, n_nodes = both.count(), nodes.count()
     labels = nodes.select("_key", F.col("_key").alias("_root"))
     while True:
         known = labels.select(F.col("_key").alias("_other"), F.col("_root").alias("_near"))
-        nearest = lookup_join(both, known, "_other").groupBy("_key").agg(F.min("_near").alias("_near"))
+        nearest = lookup_join(both, known, "_other", total=n_links).groupBy("_key").agg(F.min("_near").alias("_near"))
         lowered = cut_lineage(
             labels.join(nearest, "_key", "left").select(
                 "_key", F.col("_root").alias("_old"), F.least("_root", "_near").alias("_mid")
@@ -148,7 +149,7 @@ def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         )
         jump = lowered.select(F.col("_key").alias("_mid"), F.col("_mid").alias("_next"))
         step = cut_lineage(
-            lookup_join(lowered, jump, "_mid").select("_key", "_old", F.least("_mid", "_next").alias("_root"))
+            lookup_join(lowered, jump, "_mid", total=n_nodes).select("_key", "_old", F.least("_mid", "_next").alias("_root"))
         )
         labels = step.select("_key", "_root")
         if step.where(F.col("_old") != F.col("_root")).isEmpty():
