@@ -25,6 +25,8 @@ RING_ROWS = 4096
 MAX_RINGS = 1 << 18
 # Rounding of lengths and distances is far below this, relative to the vectors' length
 SLACK = 1e-6
+# The score of a query's own row; its negative is a number too
+NEVER = np.iinfo(np.int64).min + 1
 
 
 def quantised(rows: DataFrame, key: str, vector: str, factor: int = 256) -> DataFrame:
@@ -160,10 +162,9 @@ def search_rings(visits: DataFrame, index: DataFrame, k: int, width: int) -> Dat
                     asking = keys[at : at + 512]
                     scores = products(rows[at : at + 512], all_rows)
                     own = asking[:, None] == all_ids
-                    # One more than k, and the query's own row is dropped by its id
-                    scores = np.where(own, np.iinfo(np.int64).min, scores)
+                    scores = np.where(own, NEVER, scores)
                     best, found = best_of(scores, all_ids, k)
-                    real = best != np.iinfo(np.int64).min
+                    real = best != NEVER
                     queries = np.repeat(asking, real.sum(axis=1))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(queries), pa.array(found[real]), pa.array(best[real])], names=["query_id", "vec_id", "score"]
