@@ -14,7 +14,7 @@ from replyscope.operators import similarity, threads
 from replyscope.operators.classify import best_label, neighbour_scores
 from replyscope.plans.jobs import redact_threads
 from replyscope.session import cut_lineage, spread
-from replyscope.sources.messages import conversations_to_messages
+from replyscope.sources.messages import TURNS, conversations_to_messages
 from replyscope.sources.taxonomy import intent_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,7 +73,7 @@ def clean_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vector_id(thread_id: str = "thread_id") -> Column:
     """Conversation number of a message id, which is also the id of its vector."""
-    return F.floor(F.col(thread_id).cast("long") / 100)
+    return F.floor(F.col(thread_id).cast("long") / TURNS)
 
 
 def thread_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,12 +143,12 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 NAMES = "[" + ", ".join(f"'{name}'" for name in INTENT_NAMES) + "]"
 
 MESSAGES = """messages AS (
-  SELECT CAST(conv_id * 100 + turn AS VARCHAR) AS tweet_id,
+  SELECT CAST(conv_id * 1000000 + turn AS VARCHAR) AS tweet_id,
          CASE WHEN role = 'assistant' THEN 'brand' || CAST(conv_id % 5 AS VARCHAR)
               ELSE 'cust' || CAST(conv_id AS VARCHAR) END AS author_id,
          role = 'user' AS inbound, text,
-         CASE WHEN turn > 0 THEN CAST(conv_id * 100 + turn - 1 AS VARCHAR) END AS parent,
-         conv_id * 100 + turn AS position
+         CASE WHEN turn > 0 THEN CAST(conv_id * 1000000 + turn - 1 AS VARCHAR) END AS parent,
+         conv_id * 1000000 + turn AS position
   FROM conversations WHERE role <> 'system')"""
 
 THREADS = f"""{MESSAGES},
@@ -195,7 +195,7 @@ def sql_redact(column: str, rules: list[str] | None = None) -> str:
 CLEAN = f"""{THREADS},
 clean AS (
   SELECT thread_id, brand, {sql_redact('customer_text')} AS customer_text, {sql_redact('brand_reply')} AS brand_reply,
-         n_turns, CAST(thread_id AS BIGINT) // 100 AS vec_id FROM threads)"""
+         n_turns, CAST(thread_id AS BIGINT) // 1000000 AS vec_id FROM threads)"""
 
 THREAD_NEIGHBOURS = """thread_pairs AS (
   SELECT q.thread_id, c.thread_id AS match_id, c.customer_text, c.brand_reply,

@@ -170,7 +170,7 @@ def top_k_vectors(spark, sf_dir):
 @query(
     "thread_retrieval",
     f"""WITH RECURSIVE {CLEAN},
-corpus AS (SELECT c.thread_id, e.embedding FROM clean c JOIN embeddings e ON e.vec_id = CAST(c.thread_id AS BIGINT) // 100
+corpus AS (SELECT c.thread_id, e.embedding FROM clean c JOIN embeddings e ON e.vec_id = CAST(c.thread_id AS BIGINT) // 1000000
            WHERE regexp_matches(c.brand_reply, '\\S')),
 pairs AS (
   SELECT q.vec_id, c.thread_id,

@@ -101,7 +101,7 @@ def sink_metric_report(spark, sf_dir):
     f"""WITH RECURSIVE {CLEAN}
 SELECT c.thread_id, md5(c.customer_text) AS customer_digest, md5(c.brand_reply) AS reply_digest, c.n_turns,
        CAST(len(e.embedding) AS BIGINT) AS dim, round(CAST(e.embedding[1] AS DOUBLE), 6) AS first_value
-FROM clean c JOIN embeddings e ON e.vec_id = CAST(c.thread_id AS BIGINT) // 100
+FROM clean c JOIN embeddings e ON e.vec_id = CAST(c.thread_id AS BIGINT) // 1000000
 WHERE regexp_matches(c.brand_reply, '\\S')""",
 )
 def vector_store(spark, sf_dir):

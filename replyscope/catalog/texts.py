@@ -314,7 +314,7 @@ def single_label_prompts(spark, sf_dir):
 
 def prompt_inputs(spark, sf_dir):
     """Threads with prediction and examples of the vector whose id is the conversation number."""
-    rows = common.clean_threads(spark, sf_dir).withColumn("vec_id", F.floor(F.col("thread_id").cast("long") / 100))
+    rows = common.clean_threads(spark, sf_dir).withColumn("vec_id", common.vector_id())
     replies = rows.select(
         F.col("vec_id").alias("match_id"), "customer_text", F.coalesce("brand_reply", F.lit("")).alias("brand_reply")
     )
@@ -333,7 +333,7 @@ EXAMPLE = sql_fill(
 PRECEDENT = sql_fill(fixed.JUDGE_EXAMPLE, rank="n.rank", customer_text="c.customer_text", brand_reply="c.brand_reply")
 PROMPTS = f"""{THREADS},
 clean AS (
-  SELECT thread_id, CAST(thread_id AS BIGINT) // 100 AS vec_id, brand, {sql_redact('customer_text')} AS customer_text,
+  SELECT thread_id, CAST(thread_id AS BIGINT) // 1000000 AS vec_id, brand, {sql_redact('customer_text')} AS customer_text,
          {sql_redact('brand_reply')} AS brand_reply FROM threads),
 {PREDICTIONS},
 lines AS (

@@ -430,8 +430,8 @@ best AS (
   SELECT q.vec_id, max(round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), 6)) AS similarity
   FROM embeddings q, corpus c GROUP BY 1),
 inputs AS (
-  SELECT m.tweet_id, {sql_redact('m.text')} AS message, p.intent, p.confidence, b.similarity, 0.0 AS urgency
-  FROM messages m JOIN predictions p ON p.vec_id = m.position // 100 LEFT JOIN best b ON b.vec_id = m.position // 100 WHERE m.inbound),
+  SELECT m.tweet_id, {sql_redact('m.text')} AS message, p.intent, coalesce(p.confidence, 0.0) AS confidence, b.similarity, 0.0 AS urgency
+  FROM messages m LEFT JOIN predictions p ON p.vec_id = m.position // 1000000 LEFT JOIN best b ON b.vec_id = m.position // 1000000 WHERE m.inbound),
 ruled AS (SELECT *, {sql_rules(CONFIDENCE, 0.9)} AS rules FROM inputs)
 SELECT tweet_id, md5(message) AS digest, intent, CASE WHEN len(rules) > 0 THEN 'escalate' ELSE 'auto_handle' END AS decision,
        array_to_string(rules, ',') AS rules FROM ruled""",

@@ -14,7 +14,8 @@ def pair_counts(df: DataFrame, truth: str, predicted: str) -> DataFrame:
 
 
 def accuracy(df: DataFrame, truth: str, predicted: str) -> DataFrame:
-    right = (F.col(truth) == F.col(predicted)).cast("double")
+    """Share of rows whose prediction is right; a missing prediction or truth is wrong."""
+    right = F.coalesce((F.col(truth) == F.col(predicted)).cast("double"), F.lit(0.0))
     return df.agg(F.count("*").alias("n"), F.avg(right).alias("accuracy"))
 
 

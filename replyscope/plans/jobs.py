@@ -93,14 +93,14 @@ def discover_clusters(
     vectors: DataFrame,
     key: str = "thread_id",
     vector: str = "embedding",
-    n_sample: int | None = fixed.CLUSTER_SAMPLE,
+    n_sample: int | None = None,
     method: str = "kmeans",
     k: int = fixed.N_CLUSTERS,
     per_cluster: int = 10,
     seed: int = fixed.RANDOM_SEED,
     **density,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(labels, statistics, sample rows per cluster) of a seeded sample of vectors."""
+    """(labels, statistics, sample rows per cluster) of all vectors, or of a seeded sample of ``n_sample``."""
     sample = cut_lineage(hash_sample(vectors, key, n_sample, seed))
     found = (
         clusters.cluster_kmeans(sample, key, vector, k, seed)
@@ -179,10 +179,14 @@ def signals_and_gate(
     language: str | None = None,
     **thresholds,
 ) -> DataFrame:
-    """Redacted message, intent details, examples, urgency and the gate decision per message."""
+    """Redacted message, intent details, examples, urgency and the gate decision per message.
+
+    A message without a prediction stays, with confidence 0, so the gate escalates it.
+    """
     rows = (
         messages.withColumn("message", redact(F.col(text)))
-        .join(predictions.select(key, "intent", "confidence"), key)
+        .join(predictions.select(key, "intent", "confidence"), key, "left")
+        .fillna(0.0, ["confidence"])
         .join(nested_examples(retrieved, key), key, "left")
     )
     if urgency is not None:
@@ -218,7 +222,7 @@ def triage(
     """Decision, draft reply and guardrail flags for a table of messages.
 
     ``draft`` maps (key, prompt, ...) to (key, draft_reply). It sees only the messages the gate
-    passes; the others get a marker.
+    passes; the others get a marker. Messages and turns are redacted before they enter a prompt.
     """
     gated = cut_lineage(signals_and_gate(messages, predictions, retrieved, key, text, urgency, **gate_options))
     passed = gated.where(F.col("decision") == "auto_handle")
@@ -227,7 +231,7 @@ def triage(
         F.col("intent"),
         F.col("description"),
         F.col("examples"),
-        F.col(turns) if turns else None,
+        redact_turns(F.col(turns)) if turns else None,
         F.lit(brand),
         F.col("sentiment"),
     )
@@ -266,10 +270,10 @@ def golden_candidates(
     best: DataFrame,
     key: str = "thread_id",
     text: str = "customer_text",
-    n_candidates: int | None = fixed.GOLDEN_CANDIDATES,
+    n_candidates: int | None = None,
     seed: int = fixed.RANDOM_SEED,
 ) -> DataFrame:
-    """Sampled messages with prediction, best similarity, word count and edge flags.
+    """Messages, or a seeded sample of ``n_candidates``, with prediction, best similarity, word count and edge flags.
 
     ``scores`` is the long score table and ``best`` holds (key, similarity) of the first
     retrieved row.

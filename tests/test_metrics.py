@@ -115,3 +115,9 @@ def test_kappa(spark):
     same = spark.createDataFrame([(3, 3.0), (3, 3.0)], "h int, j double")
     assert metrics.cohens_kappa(same, "h", "j").first().kappa is None
     assert metrics.cohens_kappa(same.where(F.lit(False)), "h", "j").first().kappa is None
+
+
+def test_missing_predictions_are_wrong(spark):
+    rows = spark.createDataFrame([("a", "a"), ("a", None), (None, "a")], "truth string, predicted string")
+    found = metrics.accuracy(rows, "truth", "predicted").first()
+    assert found["n"] == 3 and abs(found["accuracy"] - 1 / 3) < 1e-9

@@ -137,3 +137,27 @@ def test_recent_text(spark):
     rows = spark.createDataFrame([([("a", True), ("b", False), ("c", None), ("d", True), ("e", True)],)], f"turns {turns}")
     assert rows.select(threads.recent_customer_text(F.col("turns")).alias("t")).first().t == "c d e"
     assert rows.select(threads.recent_customer_text(F.col("turns"), " [SEP] ").alias("t")).first().t == "c [SEP] d [SEP] e"
+
+
+def test_text_ids_lose_no_row(spark):
+    """The same two messages give the same thread whether their ids are numbers or not."""
+    from replyscope.operators.threads import reconstruct_threads
+    from replyscope.sources.messages import MESSAGE_SCHEMA, with_position
+
+    for first, second in (("1", "2"), ("a1", "a2"), ("b9", "a2")):
+        rows = [
+            (first, "cust", True, "2020-01-01 00:00", "help", second, None),
+            (second, "brand", False, "2020-01-01 00:01", "sure", None, first),
+        ]
+        messages = with_position(spark.createDataFrame(rows, MESSAGE_SCHEMA))
+        assert messages.where("position is null").count() == 0
+        (thread,) = reconstruct_threads(messages).collect()
+        assert thread["thread_id"] == first and len(thread["turns"]) == 2
+
+
+def test_long_conversations_keep_their_ids_apart(spark):
+    from replyscope.sources.messages import conversations_to_messages
+
+    rows = [(1, turn, "user", "x") for turn in range(101)] + [(2, 0, "user", "y")]
+    found = conversations_to_messages(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    assert found.select("tweet_id").distinct().count() == 102
