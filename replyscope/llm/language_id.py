@@ -24,6 +24,8 @@ DIMENSIONS = 1024
 SYMBOLS, DIRECT = 1024, 0x250
 UNKNOWN = "und"
 MAX_LANGUAGES = 8192
+# Trigram counts that a learning task holds before it adds them up
+COUNTS_AT_ONCE = 1 << 19
 
 
 @lru_cache(maxsize=1)
@@ -63,23 +65,45 @@ def trigram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique((symbols[:-2] * SYMBOLS + symbols[1:-1]) * SYMBOLS + symbols[2:], return_counts=True)
 
 
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct trigram numbers of several counts and their total counts."""
+    trigrams, place = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True)
+    return trigrams, np.bincount(place, np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
 def learned_counts(texts: DataFrame) -> DataFrame:
-    """(lang, trigram, n): trigram counts of all learning texts, summed inside each task before the shuffle."""
+    """(lang, trigram, n): trigram counts of all learning texts, summed inside each task before the shuffle.
+
+    A task adds up ``COUNTS_AT_ONCE`` counts at a time; sums that do not get smaller are passed on and dropped.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts: dict[str, list] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                found = trigram_counts(text.as_py())
-                if len(found[0]):
-                    parts.setdefault(lang, []).append(found)
+        parts: dict[str, list] = {}
+        waiting = 0
+
+        def given_out() -> Iterator[pa.RecordBatch]:
             for lang, found in parts.items():
-                trigrams, place = np.unique(np.concatenate([t for t, _ in found]), return_inverse=True)
-                totals = np.bincount(place, np.concatenate([n for _, n in found])).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(trigrams), pa.string()), pa.array(trigrams), pa.array(totals)],
-                    names=["lang", "trigram", "n"],
-                )
+                trigrams, totals = summed(found)
+                columns = [pa.array([lang] * len(trigrams), pa.string()), pa.array(trigrams), pa.array(totals)]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "trigram", "n"])
+            parts.clear()
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                found = trigram_counts(batch.column("text")[row].as_py())
+                if not len(found[0]):
+                    continue
+                parts.setdefault(batch.column("lang")[row].as_py(), []).append(found)
+                waiting += len(found[0])
+                if waiting < COUNTS_AT_ONCE:
+                    continue
+                for lang in parts:
+                    parts[lang] = [summed(parts[lang])]
+                waiting = sum(len(found[0][0]) for found in parts.values())
+                if waiting > COUNTS_AT_ONCE // 2:
+                    yield from given_out()
+                    waiting = 0
+        yield from given_out()
 
     parts = texts.select("lang", "text").mapInArrow(count, "lang string, trigram bigint, n bigint")
     return parts.groupBy("lang", "trigram").agg(F.sum("n").alias("n"))
