@@ -82,7 +82,7 @@ class PieceEncoder:
     and a stop behind them as another.
     """
 
-    def __init__(self, proto: bytes, ranks: dict[bytes, int], pattern: str, at_spaces: bool, memory: int = 400_000):
+    def __init__(self, proto: bytes, ranks: dict[bytes, int], pattern: str, at_spaces: bool, memory: int = 150_000):
         import regex
         import sentencepiece
 
@@ -155,15 +155,18 @@ def encode(
     """
 
     def work():
-        # Millions of small lists and no cycles: the cyclic collector would only cost time
-        gc.disable()
         ranks = read_ranks(ranks_path)
         encoder = PieceEncoder(model_proto(ranks), ranks, pattern, at_spaces)
 
         def step(batch: pa.RecordBatch) -> list[pa.Array]:
             column, packed = batch.column(text), []
-            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-                packed += encoder.encode([row or "" for row in column.slice(start, ROWS_AT_ONCE).to_pylist()])
+            # Millions of small lists and no cycles: the cyclic collector would only cost time
+            gc.disable()
+            try:
+                for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    packed += encoder.encode([row or "" for row in column.slice(start, ROWS_AT_ONCE).to_pylist()])
+            finally:
+                gc.enable()
             offsets = np.concatenate([[0], np.cumsum([len(row) // 4 for row in packed])])
             if offsets[-1] > np.iinfo(np.int32).max:
                 raise ValueError("a batch has more than 2^31 ids; lower spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -11,6 +11,9 @@ from pyspark.sql.types import StructType
 
 from replyscope.session import scratch_path
 
+# Rows handled at a time, so that results and work space stay small beside the batch Spark sends
+ROWS_AT_ONCE = 1024
+
 
 def map_batches(
     df: DataFrame,
@@ -22,8 +25,8 @@ def map_batches(
     """Add columns computed from Arrow batches; no row changes place.
 
     ``work()`` runs once per task and returns a function from a batch that has the columns
-    ``reads`` to one array per field of ``fields`` (a DDL string). ``keep`` are the input columns
-    of the result; one that has the name of a new field is replaced.
+    ``reads`` to one array per field of ``fields`` (a DDL string); it gets ``ROWS_AT_ONCE`` rows at
+    most. ``keep`` are the input columns of the result; one that has the name of a new field is replaced.
     """
     new = StructType.fromDDL(fields)
     kept = [name for name in keep if name not in new.names]
@@ -32,8 +35,9 @@ def map_batches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = work()
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
                 columns = [batch.column(name) for name in kept]
                 yield pa.RecordBatch.from_arrays([*columns, *step(batch)], names=[*kept, *new.names])
 
