@@ -179,23 +179,27 @@ def macro_averages(spark, sf_dir):
 
 
 def retrieval_inputs(spark, sf_dir):
-    """All vectors as queries; weak results do not count; a result with the same label is relevant."""
+    """The numbers of all vectors and documents as queries; a result with the same label is relevant.
+
+    A document whose number no vector has finds nothing.
+    """
     labels = common.vectors(spark, sf_dir).select("vec_id", "label")
+    asked = labels.select("vec_id").union(table(spark, sf_dir, "documents").select("doc_id")).distinct()
     found = (
         common.neighbours(spark, sf_dir)
-        .where(F.col("similarity") >= 0.38)
         .join(labels, "vec_id")
         .join(labels.select(F.col("vec_id").alias("match_id"), F.col("label").alias("match_label")), "match_id")
         .withColumn("relevant", F.col("label") == F.col("match_label"))
     )
-    return labels, found
+    return asked, found
 
 
 RETRIEVED = f"""{common.NEIGHBOURS},
+asked AS (SELECT vec_id FROM embeddings UNION SELECT doc_id FROM documents),
 per_query AS (
-  SELECT e.vec_id, max(n.similarity) FILTER (WHERE n.rank = 1) AS top1, avg(n.similarity) AS topk,
+  SELECT a.vec_id, max(n.similarity) FILTER (WHERE n.rank = 1) AS top1, avg(n.similarity) AS topk,
          coalesce(bool_or(n.rank = 1 AND m.label = e.label), false) AS hit
-  FROM embeddings e LEFT JOIN neighbours n ON n.vec_id = e.vec_id AND n.similarity >= 0.38
+  FROM asked a LEFT JOIN embeddings e ON e.vec_id = a.vec_id LEFT JOIN neighbours n ON n.vec_id = a.vec_id
   LEFT JOIN embeddings m ON m.vec_id = n.match_id GROUP BY 1)"""
 
 
@@ -383,14 +387,14 @@ def cohens_kappa(spark, sf_dir):
 
 
 def gated_messages(spark, sf_dir):
-    """Gate decisions with signals derived from predictions, neighbours and documents."""
+    """Gate decisions on all documents, with signals derived from predictions and neighbours where there are any."""
     best = common.neighbours(spark, sf_dir).where("rank = 1").select("vec_id", "similarity")
     texts = common.documents(spark, sf_dir, "doc_id", "text", "lang").withColumnRenamed("doc_id", "vec_id")
     number = F.col("vec_id")
     rows = (
-        common.predictions(spark, sf_dir)
-        .join(best, "vec_id")
-        .join(texts, "vec_id")
+        texts.join(common.predictions(spark, sf_dir), "vec_id", "left")
+        .join(best, "vec_id", "left")
+        .fillna(0.0, ["confidence", "similarity"])
         .select(
             "vec_id",
             F.when(number % 17 == 0, "two words").otherwise(redact(F.col("text"))).alias("message"),
@@ -408,14 +412,14 @@ def gated_messages(spark, sf_dir):
 
 GATED = f"""{PREDICTIONS},
 signals AS (
-  SELECT p.vec_id, CASE WHEN p.vec_id % 17 = 0 THEN 'two words' ELSE {sql_redact('d.text')} END AS message, p.intent,
-         least(p.confidence * 3, 1.0) AS confidence,
-         CASE WHEN p.vec_id % 19 <> 0 THEN least(n.similarity * 1.7::DOUBLE, 1.0) ELSE 0 END AS similarity,
-         CASE WHEN p.vec_id % 3 <> 0 THEN (p.vec_id % 21) / 20.0::DOUBLE ELSE 0 END AS urgency,
-         CASE WHEN p.vec_id % 5 <> 0 THEN d.lang END AS lang,
-         CASE WHEN p.vec_id % 4 <> 0 THEN 'negative' ELSE 'neutral' END AS sentiment,
-         CASE WHEN p.vec_id % 6 <> 0 THEN CASE WHEN p.vec_id % 2 = 0 THEN 'escalate' ELSE 'auto_handle' END END AS human_escalate
-  FROM predictions p JOIN neighbours n ON n.vec_id = p.vec_id AND n.rank = 1 JOIN documents d ON d.doc_id = p.vec_id),
+  SELECT d.doc_id AS vec_id, CASE WHEN d.doc_id % 17 = 0 THEN 'two words' ELSE {sql_redact('d.text')} END AS message, p.intent,
+         least(coalesce(p.confidence, 0) * 3, 1.0) AS confidence,
+         CASE WHEN d.doc_id % 19 <> 0 THEN least(coalesce(n.similarity, 0) * 1.7::DOUBLE, 1.0) ELSE 0 END AS similarity,
+         CASE WHEN d.doc_id % 3 <> 0 THEN (d.doc_id % 21) / 20.0::DOUBLE ELSE 0 END AS urgency,
+         CASE WHEN d.doc_id % 5 <> 0 THEN d.lang END AS lang,
+         CASE WHEN d.doc_id % 4 <> 0 THEN 'negative' ELSE 'neutral' END AS sentiment,
+         CASE WHEN d.doc_id % 6 <> 0 THEN CASE WHEN d.doc_id % 2 = 0 THEN 'escalate' ELSE 'auto_handle' END END AS human_escalate
+  FROM documents d LEFT JOIN predictions p ON p.vec_id = d.doc_id LEFT JOIN neighbours n ON n.vec_id = d.doc_id AND n.rank = 1),
 ruled AS (
   SELECT *, list_filter([
       CASE WHEN lang <> 'en' THEN 'non_english' END,

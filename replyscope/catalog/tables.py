@@ -294,16 +294,18 @@ def compact_retrieval(spark, sf_dir):
     "edge_case_flags",
     f"""WITH {PREDICTIONS},
 wide AS (
-  SELECT p.vec_id, len(regexp_extract_all(d.text, '\\S+')) < 10 AS is_edge_short, p.top2_gap < 0.15 AS is_edge_ambiguous,
-         n.similarity < 0.5 AS is_edge_no_precedent
-  FROM predictions p JOIN neighbours n ON n.vec_id = p.vec_id AND n.rank = 1 JOIN documents d ON d.doc_id = p.vec_id)
+  SELECT d.doc_id, len(regexp_extract_all(d.text, '\\S+')) < 10 AS is_edge_short, coalesce(p.top2_gap, 0) < 0.15 AS is_edge_ambiguous,
+         coalesce(n.similarity, 0) < 0.5 AS is_edge_no_precedent
+  FROM documents d LEFT JOIN predictions p ON p.vec_id = d.doc_id LEFT JOIN neighbours n ON n.vec_id = d.doc_id AND n.rank = 1)
 SELECT *, is_edge_short OR is_edge_ambiguous OR is_edge_no_precedent AS is_edge FROM wide""",
 )
 def edge_case_flags(spark, sf_dir):
+    """All documents; one without a prediction is ambiguous, one without a neighbour has no precedent."""
     best = common.neighbours(spark, sf_dir).where("rank = 1").select("vec_id", F.col("similarity").alias("top_similarity"))
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), word_count(F.col("text")).alias("word_count"))
-    rows = common.predictions(spark, sf_dir).join(best, "vec_id").join(texts, "vec_id")
-    return edge_flags(rows).select("vec_id", "is_edge_short", "is_edge_ambiguous", "is_edge_no_precedent", "is_edge")
+    rows = texts.join(common.predictions(spark, sf_dir), "vec_id", "left").join(best, "vec_id", "left")
+    rows = rows.fillna(0.0, ["top2_gap", "top_similarity"]).withColumnRenamed("vec_id", "doc_id")
+    return edge_flags(rows).select("doc_id", "is_edge_short", "is_edge_ambiguous", "is_edge_no_precedent", "is_edge")
 
 
 @query(
@@ -312,7 +314,7 @@ def edge_case_flags(spark, sf_dir):
 SELECT tweet_id, CASE WHEN position % 3 = 0 THEN 0.0::DOUBLE ELSE (position % 10) / 10.0::DOUBLE END AS urgency_score,
        CASE WHEN position % 4 = 0 THEN 'neutral' ELSE 'negative' END AS sentiment,
        CASE WHEN position % 3 <> 0 AND (position % 10) / 10.0::DOUBLE >= 0.8 THEN 'escalate' ELSE 'auto_handle' END AS decision
-FROM messages WHERE len(regexp_extract_all({sql_redact('text')}, '\\S+')) >= 3""",
+FROM messages""",
 )
 def default_signals(spark, sf_dir):
     """Missing urgency counts as 0 and missing sentiment as neutral."""
@@ -327,6 +329,6 @@ def default_signals(spark, sf_dir):
         F.when(number % 4 != 0, "negative").alias("mood"),
     )
     gated = escalation_gate(rows, urgency="urgency", sentiment="mood")
-    return gated.where(word_count(F.col("message")) >= 3).select(
+    return gated.select(
         "tweet_id", "signals.urgency_score", "signals.sentiment", "decision"
     )

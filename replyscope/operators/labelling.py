@@ -44,15 +44,17 @@ def labelling_stats(df: DataFrame, label: str = "intent") -> DataFrame:
     )
 
 
-def resume_labels(work: DataFrame, earlier: DataFrame, key: str = "thread_id", label: str = "human_intent") -> DataFrame:
+def resume_labels(
+    work: DataFrame, earlier: DataFrame, key: str = "thread_id", label: str = "human_intent", order: str = "position"
+) -> DataFrame:
     """Work list with earlier non-empty labels filled in; "" marks what is left to do.
 
     An earlier label replaces the one in the work list. ``earlier`` may list a key again;
-    the entry with the highest ``position`` counts.
+    the non-empty entry with the highest ``order`` counts, of equal ones the highest label.
     """
     done = earlier.where(F.coalesce(F.col(label), F.lit("")) != "")
-    order = F.col("position") if "position" in earlier.columns else F.col(label)
-    done = done.groupBy(key).agg(F.max_by(label, order).alias("_done"))
+    latest = F.max(F.struct(F.col(order).alias("_order"), F.col(label).alias("_label")))
+    done = done.groupBy(key).agg(latest.alias("_latest")).select(key, F.col("_latest._label").alias("_done"))
     merged = work.join(done, key, "left")
     return merged.withColumn(label, F.coalesce("_done", F.col(label), F.lit(""))).drop("_done")
 
