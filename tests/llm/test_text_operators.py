@@ -10,10 +10,12 @@ from urllib.parse import quote
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
 from replyscope.llm import byte_bpe, fixed_values, language_id, license_scan, queries, secret_scan
+from replyscope.llm import rows as rows_module
 
 from .conftest import ODD_TEXTS, SF_DIR
 
@@ -211,3 +213,36 @@ def test_odd_and_empty_tables(spark, frame, rows):
 def test_nothing_learned_means_unknown(frame):
     row = language_id.identify(frame((1, "words")), []).first()
     assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+
+
+def test_trigram_counts_do_not_depend_on_how_many_a_task_holds(spark, monkeypatch):
+    rows = [(lang, f"{lang} word{number} {'abc' * (number % 5)} über") for lang in ("de", "en", "fr") for number in range(40)]
+    rows += [("de", None), ("en", ""), ("fr", "123")]
+    texts = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+
+    def counts():
+        found = [tuple(row) for row in language_id.learned_counts(texts).collect()]
+        assert len({row[:2] for row in found}) == len(found)
+        return sorted(found)
+
+    whole = counts()
+    expected = {}
+    for lang, text in rows:
+        for gram, n in zip(*(part.tolist() for part in language_id.trigram_counts(text)), strict=True):
+            expected[lang, gram] = expected.get((lang, gram), 0) + n
+    assert whole == sorted((*key, n) for key, n in expected.items())
+    for held in (1, 30, 400):
+        monkeypatch.setattr(language_id, "COUNTS_AT_ONCE", held)
+        assert counts() == whole
+
+
+def test_arrow_passes_keep_every_row_of_a_batch_larger_than_a_slice(spark, monkeypatch):
+    monkeypatch.setattr(rows_module, "ROWS_AT_ONCE", 7)
+    numbered = spark.range(100).coalesce(1)
+
+    def work():
+        return lambda batch: [pa.array([batch.num_rows] * batch.num_rows, pa.int64())]
+
+    found = rows_module.map_batches(numbered, ["id"], ["id"], "n bigint", work).collect()
+    assert sorted(row.id for row in found) == list(range(100))
+    assert max(row.n for row in found) <= 7
