@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from replyscope import fixed_values as fixed
-from replyscope.operators.tfidf import Vocabulary, fit_vocabulary, sparse_rows, tfidf
+from replyscope.operators.tfidf import Vocabulary, fit_vocabulary, sparse_texts
 from replyscope.session import cut_lineage
 
 
@@ -65,8 +66,8 @@ def neighbour_scores(neighbours: DataFrame, key: str, label: str = "label", simi
     return sums.select(key, F.col(label).alias("label"), F.coalesce(F.try_divide("_sum", total), F.lit(0.0)).alias("score"))
 
 
-def linear_scorer(coefficients: np.ndarray, intercepts: np.ndarray):
-    """A vectorised function from sparse rows to class probabilities.
+def class_shares(rows: DataFrame, key: str, coefficients: np.ndarray, intercepts: np.ndarray) -> DataFrame:
+    """(key, shares): class probabilities of sparse rows, computed for a whole Arrow batch at a time.
 
     The coefficients have one row per class and one column per vocabulary term; a model of two
     classes has only the row of the second.
@@ -74,23 +75,40 @@ def linear_scorer(coefficients: np.ndarray, intercepts: np.ndarray):
     if len(coefficients) == 1:
         coefficients = np.vstack([np.zeros_like(coefficients), coefficients])
         intercepts = np.concatenate([[0.0], intercepts])
-    by_term = np.ascontiguousarray(coefficients.T)
 
-    @F.pandas_udf(ArrayType(DoubleType()))
-    def shares(terms: pd.Series, weights: pd.Series) -> pd.Series:
-        def row(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
-            margins = intercepts + weight @ by_term[at] if len(at) else intercepts
-            powers = np.exp(margins - margins.max())
-            return powers / powers.sum()
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, n = batch.column("terms"), batch.num_rows
+            owner = np.repeat(np.arange(n), lists.value_lengths().to_numpy(zero_copy_only=False))
+            at, weights = lists.flatten().to_numpy(), batch.column("weights").flatten().to_numpy()
+            margins = np.column_stack([np.bincount(owner, weights * row[at], n) for row in coefficients]) + intercepts
+            powers = np.exp(margins - margins.max(axis=1, keepdims=True))
+            shares = pa.array((powers / powers.sum(axis=1, keepdims=True)).ravel())
+            offsets = pa.array(np.arange(n + 1) * len(coefficients), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.ListArray.from_arrays(offsets, shares)], names=[key, "shares"])
+
+    return rows.select(key, "terms", "weights").mapInArrow(
+        score, StructType([rows.schema[key], StructField("shares", ArrayType(DoubleType()))])
+    )
 
-        return pd.Series([row(at, weight) for at, weight in zip(terms, weights)])
 
-    return shares
+def as_vectors(rows: DataFrame, size: int, *keep: str) -> DataFrame:
+    """(keep, features): sparse vectors made of the Arrow lists themselves."""
 
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            parts = {
+                "type": pa.array(np.zeros(n, dtype=np.int8)),
+                "size": pa.array(np.full(n, size, dtype=np.int32)),
+                "indices": batch.column("terms"),
+                "values": batch.column("weights"),
+            }
+            vectors = pa.StructArray.from_arrays(list(parts.values()), names=list(parts))
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in keep), vectors], names=[*keep, "features"])
 
-@F.udf(VectorUDT())
-def to_vector(terms, weights, width):
-    return SparseVector(width, terms, weights)
+    schema = StructType([*(rows.schema[name] for name in keep), StructField("features", VectorUDT())])
+    return rows.select(*keep, "terms", "weights").mapInArrow(build, schema)
 
 
 @dataclass(frozen=True)
@@ -103,10 +121,10 @@ class TextClassifier:
 
     def scores(self, df: DataFrame, key: str, text: str) -> DataFrame:
         """(key, label, score): the full distribution of every message."""
-        weights = sparse_rows(tfidf(df, key, text, self.vocabulary), key, df)
+        weights = sparse_texts(df, key, text, self.vocabulary)
         names = F.array(*[F.lit(name) for name in self.labels])
-        shares = linear_scorer(self.model.coefficientMatrix.toArray(), self.model.interceptVector.toArray())
-        return weights.select(key, F.posexplode(shares("terms", "weights")).alias("_index", "score")).select(
+        shares = class_shares(weights, key, self.model.coefficientMatrix.toArray(), self.model.interceptVector.toArray())
+        return shares.select(key, F.posexplode("shares").alias("_index", "score")).select(
             key, F.get(names, F.col("_index")).alias("label"), "score"
         )
 
@@ -158,10 +176,10 @@ def fit_text_classifier(
     weight = F.create_map(
         *[F.lit(x) for name in labels for x in (name, n / (len(labels) * counts[name]) if balanced else 1.0)]
     )
-    rows = sparse_rows(tfidf(df, key, text, vocabulary), key, df)
+    rows = sparse_texts(df, key, text, vocabulary, keep=[label])
     training = cut_lineage(
-        rows.join(df.select(key, label), key).select(
-            to_vector("terms", "weights", F.lit(max_features)).alias("features"),
+        as_vectors(rows, max_features, label).select(
+            "features",
             index[F.col(label)].alias("label"),
             weight[F.col(label)].alias("weight"),
         )

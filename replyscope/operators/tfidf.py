@@ -7,13 +7,16 @@ frequent ones, so it never exceeds ``max_features`` rows and can be broadcast.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from replyscope import fixed_values as fixed
 from replyscope.functions.text import let
@@ -47,15 +50,34 @@ def terms(text: Column) -> Column:
     return let(words(text), with_pairs)
 
 
+def count_terms(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the terms in a batch, and for each term of a row: the row, the place of its name, its count."""
+    encoded = lists.flatten().dictionary_encode()
+    rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    width = max(1, len(encoded.dictionary))
+    pairs, tf = np.unique(rows * width + encoded.indices.to_numpy(), return_counts=True)
+    return encoded.dictionary, pairs // width, pairs % width, tf
+
+
+def lists_of(rows: np.ndarray, values: pa.Array, n_rows: int) -> pa.ListArray:
+    """One list per row from values that are ordered by row."""
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n_rows))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf). The text is placed by key once; its terms are then counted without a shuffle."""
-    return (
-        df.select(key, text)
-        .repartition(F.col(key))
-        .select(key, F.explode(terms(F.col(text))).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count("*").alias("tf"))
-    )
+    """(key, term, tf) of each text, one text per row. Terms are counted inside the row, so no text is shuffled."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, rows, places, tf = count_terms(batch.column(1))
+            found = lists_of(rows, names.take(pa.array(places)), batch.num_rows)
+            counts = lists_of(rows, pa.array(tf), batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), found, counts], names=[key, "terms", "tf"])
+
+    read = df.select(key, terms(F.col(text)).alias("_terms"))
+    fields = StructType([df.schema[key], *StructType.fromDDL("terms array<string>, tf array<bigint>").fields])
+    return read.mapInArrow(count, fields).select(key, F.inline(F.arrays_zip("terms", "tf")).alias("term", "tf"))
 
 
 @dataclass(frozen=True)
@@ -87,29 +109,41 @@ def fit_vocabulary(
     return Vocabulary(numbered.select("term", "term_id", "df", idf.alias("idf")), n_texts, max_features)
 
 
-def tfidf(df: DataFrame, key: str, text: str, vocabulary: Vocabulary) -> DataFrame:
-    """(key, term, term_id, weight): (1 + ln tf) * idf with unit length per text."""
-    raw = (
-        term_counts(df, key, text)
-        .join(F.broadcast(vocabulary.table), "term")
-        .select(key, "term", "term_id", ((F.log("tf") + 1.0) * F.col("idf")).alias("_raw"))
-    )
-    length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
-    return raw.select(key, "term", "term_id", (F.col("_raw") / length).alias("weight"))
+def sparse_texts(df: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: Iterable[str] = ()) -> DataFrame:
+    """(key, keep, terms, weights) of each text: its vocabulary numbers, ascending, and (1 + ln tf) * idf with unit length.
 
+    Nothing is shuffled: the vocabulary has at most ``max_features`` rows and goes to every task. A
+    text without a known term gets empty arrays.
+    """
+    table = vocabulary.table.select("term", "term_id", "idf").orderBy("term_id").toPandas()
+    known, idf = pa.array(table["term"], pa.string()), table["idf"].to_numpy()
+    numbers = table["term_id"].to_numpy().astype(np.int32)
+    names = [key, *keep]
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, rows, places, tf = count_terms(batch.column("_terms"))
+            at = pc.fill_null(pc.index_in(found, value_set=known), -1).to_numpy()[places]
+            rows, at, tf = rows[at >= 0], at[at >= 0], tf[at >= 0]
+            order = np.lexsort((at, rows))
+            rows, at, tf = rows[order], at[order], tf[order]
+            raw = (np.log(tf) + 1.0) * idf[at]
+            weights = raw / np.sqrt(np.bincount(rows, raw * raw, batch.num_rows))[rows]
+            kept = [batch.column(name) for name in names]
+            lists = [lists_of(rows, pa.array(values), batch.num_rows) for values in (numbers[at], weights)]
+            yield pa.RecordBatch.from_arrays([*kept, *lists], names=[*names, "terms", "weights"])
+
+    read = df.select(*names, terms(F.col(text)).alias("_terms"))
+    fields = StructType.fromDDL("terms array<int>, weights array<double>").fields
+    return read.mapInArrow(weigh, StructType([*(df.schema[name] for name in names), *fields]))
 
-def sparse_rows(weights: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """(key, terms, weights) for every id; the arrays are no longer than the vocabulary."""
-    packed = weights.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("_packed"))
-    return (
-        ids.select(key)
-        .join(packed, key, "left")
-        .select(
-            key,
-            F.coalesce(F.col("_packed.term_id"), F.array().cast("array<int>")).alias("terms"),
-            F.coalesce(F.col("_packed.weight"), F.array().cast("array<double>")).alias("weights"),
-        )
-    )
+
+def tfidf(df: DataFrame, key: str, text: str, vocabulary: Vocabulary) -> DataFrame:
+    """(key, term, term_id, weight): the known terms of each text with their weights."""
+    rows = sparse_texts(df, key, text, vocabulary)
+    each = rows.select(key, F.inline(F.arrays_zip("terms", "weights")).alias("term_id", "weight"))
+    names = F.broadcast(vocabulary.table.select("term_id", "term"))
+    return each.join(names, "term_id").select(key, "term", "term_id", "weight")
 
 
 def nearest_text(
@@ -123,7 +157,7 @@ def nearest_text(
 ) -> DataFrame:
     """(query_key, corpus_key, similarity): the most similar corpus row of each query.
 
-    Both inputs come from ``sparse_rows``. Exact: every query block meets every corpus block in
+    Both inputs come from ``sparse_texts``. Exact: every query block meets every corpus block in
     a task of bounded size, which returns one row per query; equal similarities go to the lower
     id. Common terms cost no more than rare ones, as no join on terms is made.
     """
@@ -218,8 +252,8 @@ def template_replies(
     """
     if pairs is None or vocabulary is None:
         return queries.select(query_key, F.lit(fixed.NO_INDEX_REPLY).alias("draft_reply"))
-    asked = sparse_rows(tfidf(queries, query_key, text, vocabulary), query_key, queries)
-    known = sparse_rows(tfidf(pairs, pair_key, pair_text, vocabulary), pair_key, pairs)
+    asked = sparse_texts(queries, query_key, text, vocabulary)
+    known = sparse_texts(pairs, pair_key, pair_text, vocabulary)
     match_key = "_pair"
     known = known.withColumnRenamed(pair_key, match_key)
     nearest = nearest_text(asked, known, query_key, match_key, width=vocabulary.max_features)

@@ -109,7 +109,7 @@ def test_nearest_text_blocks(spark):
     texts = [" ".join(rng.choice(words, rng.integers(0, 9))) for _ in range(120)]
     docs = spark.createDataFrame([(f"d{i:03d}", t) for i, t in enumerate(texts)], "thread_id string, text string")
     vocabulary = tfidf.fit_vocabulary(docs, "thread_id", "text", max_features=50)
-    rows = tfidf.sparse_rows(tfidf.tfidf(docs, "thread_id", "text", vocabulary), "thread_id", docs)
+    rows = tfidf.sparse_texts(docs, "thread_id", "text", vocabulary)
     dense = {r.thread_id: dict(zip(r.terms, r.weights)) for r in rows.collect()}
     asked = rows.withColumnRenamed("thread_id", "q")
     found = tfidf.nearest_text(asked, rows, "q", "thread_id", width=50, corpus_block_rows=16, query_block_rows=16).collect()
