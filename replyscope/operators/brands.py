@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyscope import fixed_values as fixed
+from replyscope.operators.skew import lookup_join
 
 
 def outbound(messages: DataFrame) -> DataFrame:
@@ -23,9 +24,10 @@ def brand_messages(messages: DataFrame, brand: str) -> DataFrame:
 
 def answering_messages(messages: DataFrame) -> DataFrame:
     """Outbound messages that answer an inbound message of the data."""
-    customers = inbound(messages).select(F.col("tweet_id").alias("_id")).distinct()
-    replies = outbound(messages).where(F.col("in_response_to_tweet_id").isNotNull())
-    return replies.join(customers, F.col("in_response_to_tweet_id") == F.col("_id"), "left_semi")
+    parent = "in_response_to_tweet_id"
+    customers = inbound(messages).select(F.col("tweet_id").alias(parent)).distinct()
+    replies = outbound(messages).where(F.col(parent).isNotNull())
+    return lookup_join(replies, customers, parent, "left_semi").select(*messages.columns)
 
 
 def outbound_counts(messages: DataFrame) -> DataFrame:

@@ -44,10 +44,11 @@ def root_candidates(messages: DataFrame) -> DataFrame:
 
     Messages without a parent need no lookup and stay out of the shuffle.
     """
-    present = messages.select(F.col("tweet_id").alias("_id")).distinct()
-    inbound = messages.where(F.coalesce("inbound", F.lit(True)))
     parent = F.col("in_response_to_tweet_id")
-    orphans = inbound.where(parent.isNotNull()).join(present, parent == F.col("_id"), "left_anti")
+    present = messages.select(F.col("tweet_id").alias("in_response_to_tweet_id")).distinct()
+    inbound = messages.where(F.coalesce("inbound", F.lit(True)))
+    replies = inbound.where(parent.isNotNull())
+    orphans = lookup_join(replies, present, "in_response_to_tweet_id", "left_anti").select(*messages.columns)
     return inbound.where(parent.isNull()).unionByName(orphans)
 
 
