@@ -17,7 +17,6 @@ from replyscope.functions.model_output import batch_labels, label_in_answer, lab
 from replyscope.functions.redaction import redact, redact_columns
 from replyscope.functions.text import word_count
 from replyscope.operators import labelling
-from replyscope.operators.ranking import position_bucket
 from replyscope.operators.similarity import normalise
 from replyscope.operators.threads import flatten_threads
 from replyscope.plans.jobs import nested_examples
@@ -229,7 +228,7 @@ labelled AS (
 def labels_of_batches(spark, sf_dir):
     """One label per message from the answers to batches of twenty."""
     rows = common.messages(spark, sf_dir).where("inbound").select("tweet_id", "position", "text")
-    batched = labelling.in_batches(rows, "position", position_bucket(F.col("position")))
+    batched = labelling.in_batches(rows, "position")
     answers = label_answers(labelling.batch_texts(batched))
     return batch_labels(answers, batched).select("tweet_id", "batch", "index", "intent")
 
@@ -294,7 +293,7 @@ SELECT batch, md5({sql_fill(fixed.LABEL_PROMPT, taxonomy=sql_text(prompts.taxono
 )
 def labelling_prompts(spark, sf_dir):
     rows = common.messages(spark, sf_dir).where("inbound").select("tweet_id", "position", "text")
-    batched = labelling.in_batches(rows, "position", position_bucket(F.col("position")))
+    batched = labelling.in_batches(rows, "position")
     asked = labelling.batch_texts(batched)
     return asked.select("batch", F.md5(prompts.labelling_prompt(F.col("texts"))).alias("digest"))
 

@@ -11,7 +11,7 @@ from replyscope.catalog.common import CLEAN, PREDICTIONS, THREAD_NEIGHBOURS, THR
 from replyscope.catalog.texts import BATCHED, CONFIGURED, FIRST_NAME, label_answers
 from replyscope.operators import classify, similarity, threads
 from replyscope.operators.encoder import encode, fit_encoder
-from replyscope.operators.ranking import hash_sample, position_bucket
+from replyscope.operators.ranking import hash_sample
 from replyscope.plans import jobs
 from replyscope.session import scratch_path
 from replyscope.sources.messages import conversations_to_messages
@@ -84,7 +84,7 @@ def discovered_clusters(spark, sf_dir):
 
 def weak(spark, sf_dir):
     rows = common.messages(spark, sf_dir).where("inbound").select("tweet_id", "position", "text")
-    return jobs.weak_labels(rows, label_answers, "position", position_bucket(F.col("position")))
+    return jobs.weak_labels(rows, label_answers, "position")
 
 
 @query("weak_labels", f"WITH {BATCHED} SELECT tweet_id, md5(text) AS digest, l.intent FROM labelled l JOIN batched b USING (tweet_id) WHERE l.intent IS NOT NULL")
@@ -331,7 +331,10 @@ rows AS (
   UNION ALL SELECT 'classification', 'weighted_precision', sum(precision * support) / sum(support) FROM per_class
   UNION ALL SELECT 'classification', 'weighted_recall', sum(recall * support) / sum(support) FROM per_class
   UNION ALL SELECT 'classification', 'weighted_f1', sum(f1 * support) / sum(support) FROM per_class
-  UNION ALL SELECT 'per_class_f1', label, f1 FROM per_class
+  UNION ALL SELECT 'per_class_f1', label, f1 FROM per_class UNION ALL SELECT 'per_class_support', label, support FROM per_class
+  UNION ALL SELECT 'per_class_precision', label, precision FROM per_class UNION ALL SELECT 'per_class_recall', label, recall FROM per_class
+  UNION ALL SELECT 'bin_n', CAST(bin AS VARCHAR), n FROM bins UNION ALL SELECT 'bin_confidence', CAST(bin AS VARCHAR), conf FROM bins
+  UNION ALL SELECT 'bin_accuracy', CAST(bin AS VARCHAR), acc FROM bins
   UNION ALL SELECT 'calibration', 'ece', round_even(sum(n * abs(acc - conf)) / (SELECT count(*) FROM kept), 4) FROM bins
   UNION ALL SELECT 'calibration', 'threshold', coalesce(max(threshold) FILTER (WHERE n_right / nullif(n_kept, 0) >= 0.9), 0.9) FROM sweep
   UNION ALL SELECT 'retrieval', 'mean_top1_similarity', avg(top1) FROM per_query

@@ -11,7 +11,7 @@ from replyscope.catalog.common import MESSAGES, NEIGHBOURS, PREDICTIONS, THREADS
 from replyscope.functions.prompts import history_text
 from replyscope.operators import brands, classify, labelling, similarity, threads
 from replyscope.operators.metrics import seen_labels
-from replyscope.operators.ranking import hash_sample, position_bucket
+from replyscope.operators.ranking import hash_sample
 from replyscope.operators.sampling import group_samples
 from replyscope.plans.jobs import brand_report
 
@@ -116,7 +116,7 @@ SELECT tweet_id, place // 20 AS batch, CAST(place % 20 + 1 AS INT) AS index FROM
 )
 def input_batches(spark, sf_dir):
     rows = common.messages(spark, sf_dir).select("tweet_id", "position")
-    return labelling.in_batches(rows, "position", position_bucket(F.col("position"))).drop("position")
+    return labelling.in_batches(rows, "position").drop("position")
 
 
 @query("busiest_brands", f"WITH {STATS} SELECT brand, outbound_sent FROM stats ORDER BY outbound_sent DESC, brand LIMIT 3")

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from replyscope import fixed_values as fixed
 from replyscope.operators.ranking import bucket_rank
+from replyscope.session import cut_lineage
 
 
-def in_batches(df: DataFrame, order: str, bucket: Column, size: int = fixed.LABEL_BATCH) -> DataFrame:
-    """Add batch (from 0) and index (1-based in the batch), following the input order.
+def in_batches(df: DataFrame, order: str, size: int = fixed.LABEL_BATCH) -> DataFrame:
+    """Add batch (from 0) and index (1-based in the batch), following ``order``, a unique column.
 
-    ``bucket`` is a coarse, non-decreasing function of ``order`` (see ``bucket_rank``).
+    Ranges of about equally many rows are numbered side by side, however the values are spread; the cut
+    is written once. Rows without an order come first.
     """
+    ranges = cut_lineage(df.repartitionByRange(F.col(order)).withColumn("_range", F.spark_partition_id()))
     place = F.col("_seat") - 1
     return (
-        bucket_rank(df, [], bucket, [order], "_seat")
+        bucket_rank(ranges, [], F.col("_range"), [order], "_seat")
         .withColumns({"batch": F.floor(place / size).cast("long"), "index": (place % size + 1).cast("int")})
-        .drop("_seat")
+        .drop("_seat", "_range")
     )
 
 

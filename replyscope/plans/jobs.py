@@ -116,7 +116,6 @@ def weak_labels(
     messages: DataFrame,
     answer: Callable[[DataFrame], DataFrame],
     order: str,
-    bucket: Column,
     text: str = "text",
     batch_size: int = fixed.LABEL_BATCH,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -124,7 +123,7 @@ def weak_labels(
 
     ``answer`` maps (batch, texts, prompt) to (batch, raw), the raw model answers.
     """
-    batched = cut_lineage(in_batches(messages, order, bucket, batch_size))
+    batched = cut_lineage(in_batches(messages, order, batch_size))
     asked = batch_texts(batched, text).withColumn("prompt", prompts.labelling_prompt(F.col("texts")))
     labelled = cut_lineage(batch_labels(answer(asked), batched))
     valid = known_intents(labelled)
@@ -320,6 +319,17 @@ def long_form(df: DataFrame, section: str) -> DataFrame:
     return df.select(F.lit(section).alias("section"), F.inline(F.array(*pairs)))
 
 
+def by_name(df: DataFrame, name: str, section: str) -> DataFrame:
+    """(section, metric, value) from a table of numbers per name: one section per column, the name as metric."""
+    values = [
+        F.struct(F.lit(f"{section}_{column}").alias("section"), F.col(column).cast("double").alias("value"))
+        for column in df.columns
+        if column != name
+    ]
+    rows = df.select(F.col(name).cast("string").alias("metric"), F.inline(F.array(*values)))
+    return rows.select("section", "metric", "value")
+
+
 def evaluation_report(
     golden: DataFrame,
     predictions: DataFrame,
@@ -345,9 +355,8 @@ def evaluation_report(
     parts = [
         long_form(metrics.accuracy(rows, truth, "intent"), "classification"),
         long_form(metrics.macro_averages(rows, truth, "intent"), "classification"),
-        metrics.class_report(rows, truth, "intent").select(
-            F.lit("per_class_f1").alias("section"), F.col("label").alias("metric"), F.col("f1").alias("value")
-        ),
+        by_name(metrics.class_report(rows, truth, "intent"), "label", "per_class"),
+        by_name(calibration.calibration_bins(rows, "confidence", "_correct").withColumnRenamed("mean_confidence", "confidence"), "bin", "bin"),
         long_form(calibration.expected_calibration_error(rows, "confidence", "_correct").select("ece"), "calibration"),
         long_form(calibration.best_threshold(rows, "confidence", "_correct").select("threshold"), "calibration"),
         long_form(metrics.retrieval_metrics(rows, found, key), "retrieval"),

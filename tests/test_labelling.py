@@ -60,10 +60,10 @@ def test_labels_in_text(spark):
         assert one(spark, typed, lambda raw: normalise_label(raw, predicted)) == expected
 
 
-def test_batches_follow_the_order_over_buckets(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "BUCKET_WIDTH", 8)
+def test_batches_follow_the_order_however_ids_are_spread(spark):
     df = spark.range(0, 200, 3).withColumn("text", F.col("id").cast("string")).orderBy(F.rand(1))
-    batched = labelling.in_batches(df, "id", ranking.position_bucket(F.col("id")), 20)
+    far = df.withColumn("order", F.col("id") * (1 << 40))
+    batched = labelling.in_batches(far, "order", 20)
     found = {r.batch: r.texts for r in labelling.batch_texts(batched).collect()}
     numbers = [str(i) for i in range(0, 200, 3)]
     assert found == {b: numbers[b * 20 : b * 20 + 20] for b in range(4)}
@@ -157,8 +157,8 @@ def test_text_classifier(spark, tmp_path):
     found = model.predict(df, "id", "text")
     assert found.join(df, "id").where("intent = label").count() >= 147
     # The vectorised scorer agrees with the model's own probabilities
-    weights = classify.sparse_rows(classify.tfidf(df, "id", "text", model.vocabulary), "id", df)
-    features = weights.select("id", classify.to_vector("terms", "weights", F.lit(100)).alias("features"))
+    weights = classify.sparse_texts(df, "id", "text", model.vocabulary)
+    features = classify.as_vectors(weights, 100, "id")
     own = {r.id: max(r.probability) for r in model.model.transform(features).collect()}
     assert all(own[r.id] == pytest.approx(r.confidence, abs=1e-9) for r in found.collect())
     replies = df.select("id", F.concat(F.lit("about "), F.col("label")).alias("draft_reply"))
