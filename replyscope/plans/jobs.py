@@ -121,10 +121,11 @@ def weak_labels(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(labelled rows, statistics, distribution) of messages labelled in batches by a model.
 
-    ``answer`` maps (batch, texts, prompt) to (batch, raw), the raw model answers.
+    ``answer`` maps (batch, texts, prompt) to (batch, raw), the raw model answers. Texts are redacted
+    before they enter a prompt; the labelled rows keep their own.
     """
     batched = cut_lineage(in_batches(messages, order, batch_size))
-    asked = batch_texts(batched, text).withColumn("prompt", prompts.labelling_prompt(F.col("texts")))
+    asked = batch_texts(batched.withColumn(text, redact(F.col(text))), text).withColumn("prompt", prompts.labelling_prompt(F.col("texts")))
     labelled = cut_lineage(batch_labels(answer(asked), batched))
     valid = known_intents(labelled)
     return valid, labelling_stats(labelled), label_distribution(valid)

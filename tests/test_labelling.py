@@ -10,6 +10,7 @@ from replyscope.functions.language import keep_language, language_detector, lang
 from replyscope.functions.model_output import batch_labels, judge_scores, label_in_answer, normalise_label, parse_json, unfence
 from replyscope.operators import classify, labelling, ranking, sampling, scoring
 from replyscope.operators.encoder import encode, encode_with, fit_encoder
+from replyscope.plans import jobs
 
 
 def one(spark, value, expression):
@@ -69,6 +70,20 @@ def test_batches_follow_the_order_however_ids_are_spread(spark):
     assert found == {b: numbers[b * 20 : b * 20 + 20] for b in range(4)}
 
 
+def test_labelling_prompts_hold_no_personal_data(spark):
+    df = spark.createDataFrame([(1, "mail me at jo@example.com"), (2, "late parcel")], "id long, text string")
+    seen = []
+
+    def answer(asked):
+        seen.extend(asked.select("prompt").collect())
+        return asked.select("batch", F.lit('[{"index": 1, "intent": "billing_payment"}]').alias("raw"))
+
+    valid, stats, _ = jobs.weak_labels(df, answer, "id")
+    assert seen and all("jo@example.com" not in row.prompt for row in seen)
+    assert [(r.id, r.text) for r in valid.collect()] == [(1, "mail me at jo@example.com")]
+    assert stats.first().total_attempted == 2
+
+
 def test_prompts(spark):
     assert prompts.taxonomy_text().splitlines()[4].startswith("4. billing_payment: Incorrect charges")
     texts = spark.createDataFrame([(["x", "y"],)], "t array<string>")
