@@ -10,6 +10,8 @@ from replyscope.llm import byte_bpe, decontamination, jaccard_join, language_id,
 from replyscope.llm.rows import stored
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+# Near copies share four fifths of their runs of five words
+COPY_WORDS, COPY_SIMILARITY = 5, (80, 100)
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near duplicates."""
-    return jaccard_join.keep_first(docs)
+    return jaccard_join.keep_first(docs, COPY_WORDS, COPY_SIMILARITY)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

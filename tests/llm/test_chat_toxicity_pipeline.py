@@ -12,7 +12,7 @@ import corpus_pipeline
 from replyscope.llm import chat, queries, toxicity
 
 from .conftest import ODD_TEXTS, SF_DIR
-from .test_set_operators import plain_components, plain_contamination
+from .test_set_operators import near_copies, plain_components, plain_contamination
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -106,6 +106,30 @@ def test_pipeline_keeps_exactly_the_clean_documents(spark):
     assert all(r["n_tokens"] == len(r["token_ids"]) > 0 for r in rows)
 
 
+def test_copy_with_two_changed_words_is_dropped(spark, frame):
+    words = [f"w{i}" for i in range(100)]
+    changed = ["other" if i in (30, 60) else word for i, word in enumerate(words)]
+    kept = corpus_pipeline.near_duplicates(spark, frame((1, " ".join(words)), (2, " ".join(changed))), SF_DIR)
+    assert [row["doc_id"] for row in kept.collect()] == [1]
+
+
+def test_copies_dropped_are_those_of_all_pairs(spark, frame):
+    rows = near_copies(3, 12, 10, 20, 150)
+    first = {i for i, _, component in plain_components(rows, 5, 80, 100) if i == component}
+    kept = corpus_pipeline.near_duplicates(spark, frame(*rows), SF_DIR).collect()
+    assert sorted(row["doc_id"] for row in kept) == sorted(first)
+    assert first != {i for i, _, component in plain_components(rows) if i == component}
+
+
+def test_pipeline_equals_five_word_plain_version(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    lettered = [(i, t) for i, t in docs if any(c.isalpha() for c in t or "")]
+    first = {i for i, _, component in plain_components(lettered, 5, 80, 100) if i == component}
+    clean = sorted(i for i, t in lettered if i in first and not plain_contamination(t, items)[3])
+    assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SF_DIR).collect()) == clean
+
+
 def test_stages_keep_columns_and_odd_rows(spark, frame, tmp_path):
     spark.createDataFrame([(1, "nothing to find in these words")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     for rows in (ODD_TEXTS, []):
