@@ -3,18 +3,20 @@
 Each layer is scanned like the text itself. Percent escapes, backslash-u escapes, base64 and
 compressed data inside a layer make further layers, until no new one appears; a layer whose
 content was seen on the way down is not opened again. Every layer maps its characters to spans
-of the text, so a finding deep inside is reported at the place that holds it.
+of the text, so a finding deep inside is reported at the place that holds it. Decoded bytes need
+not be text: bytes outside UTF-8 become lone surrogates, which no pattern holds.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
-import gzip
 import hashlib
 import re
 import zlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,15 @@ LEAST_BASE64 = 20
 BASE64_RE = re.compile(r"(?:[A-Za-z0-9+/]{%d,}|[A-Za-z0-9_-]{%d,})={0,2}" % (LEAST_BASE64, LEAST_BASE64))
 BASE64_BYTES = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"))
 HEX_BYTES = np.isin(np.arange(256), list(b"0123456789abcdef"))
+# What every secret and every wrapped layer has; bytes without it hold none
+LEADS_RE = re.compile(
+    rb"(?i:passw(?:or)?d|secret|token|api_?key)|AKIA|%%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|[0-9a-f]{%d}|[A-Za-z0-9+/_-]{%d}"
+    % (HEX_LEAST, LEAST_BASE64)
+)
+# As much as possible, up to a byte that stands in no secret and no wrapped layer
+CUT_RE = re.compile(rb"(?s:.*)[^A-Za-z0-9+/_=.:'\"\\%\s-]")
+# Compressed bytes that are opened at a time
+INPUT_BYTES = 1 << 16
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 FIELDS = "base_spans array<struct<kind:string,start:bigint,end:bigint>>, spans array<struct<kind:string,start:bigint,end:bigint>>"
 
@@ -64,17 +75,15 @@ class Layer:
     def __init__(self, text: str, starts: np.ndarray, ends: np.ndarray, above: frozenset[bytes]):
         self.text, self.starts, self.ends = text, starts, ends
         self.name = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-        self.seen = above | {self.name}
+        self.above, self.seen = above, above | {self.name}
 
     def spans(self) -> list[Span]:
         return [(int(self.starts[a]), kind, int(self.ends[b - 1])) for a, kind, b in scan_layer(self.text)]
 
-    def whole(self, text: str, start: int, end: int) -> Layer | None:
-        """A layer of which every character stands for the whole of a stretch of this one."""
-        if not text:
-            return None
-        first, last = self.starts[start], self.ends[end - 1]
-        return Layer(text, np.full(len(text), first), np.full(len(text), last), self.seen)
+    def whole(self, raw: bytes, start: int, end: int) -> Layer:
+        """A layer of decoded bytes of which every character stands for the same stretch of the original."""
+        text = raw.decode("utf-8", "surrogateescape")
+        return Layer(text, np.broadcast_to(start, len(text)), np.broadcast_to(end, len(text)), self.seen)
 
 
 def unescape(layer: Layer, pattern: re.Pattern, decoded) -> Layer | None:
@@ -131,44 +140,110 @@ def from_base64(run: str) -> bytes | None:
         return None
 
 
-def inflate(raw: bytes, most: int) -> bytes | None:
-    """Content of gzip or zlib data, or None for other data and for data that unpacks to over ``most`` bytes."""
-    if raw[:2] != b"\x1f\x8b" and not (len(raw) > 2 and raw[0] & 0x0F == 8 and (raw[0] << 8 | raw[1]) % 31 == 0):
-        return None
-    try:
-        opened = zlib.decompressobj(47)
-        out = opened.decompress(raw, most)
-        return out if opened.eof else None
-    except (zlib.error, gzip.BadGzipFile):
-        return None
+def is_packed(raw: bytes) -> bool:
+    """Whether bytes begin like gzip or zlib data."""
+    if raw[:3] == b"\x1f\x8b\x08":
+        return True
+    return len(raw) > 2 and raw[0] & 0x8F == 8 and not raw[1] & 0x20 and (raw[0] << 8 | raw[1]) % 31 == 0
 
 
-def as_text(raw: bytes, most: int) -> str | None:
-    """Text of decoded bytes, through any compression; None if they are neither text nor compressed text."""
-    seen = set()
-    while (inner := inflate(raw, most)) is not None and inner not in seen:
-        seen.add(inner)
-        raw = inner
+def up_to_fault(opened, data: bytes) -> bytes:
+    """What a decompressor gives for damaged data before the fault."""
+    out = bytearray()
     try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if all(char.isprintable() or char in "\t\n\r" for char in text) else None
+        for at in range(len(data)):
+            out += opened.decompress(data[at : at + 1])
+    except zlib.error:
+        pass
+    return bytes(out)
+
 
+def unpacked(source: Iterable[tuple[bytes, int]], most: int) -> Iterator[tuple[bytes, int]]:
+    """Content of all members of a gzip or zlib stream, at most ``most`` bytes at a time, with the place where the input read so far ends.
 
-def below(layer: Layer, most: int) -> list[Layer]:
-    """The layers one step inside a layer."""
-    out = []
-    if "%" in layer.text:
-        out.append(unescape(layer, PERCENT_RE, percent_pieces))
-    if "\\u" in layer.text:
-        out.append(unescape(layer, UNICODE_RE, unicode_pieces))
+    ``source`` gives the stream in parts, each with the place where it ends. A stream that is cut
+    off or damaged gives what stands before the fault.
+    """
+    opened, rest = None, b""
+    for data, end in source:
+        data, rest = rest + data, b""
+        while True:
+            if opened is None:
+                data = data.lstrip(b"\0")
+                if len(data) < 3:
+                    rest = data
+                    break
+                if not is_packed(data):
+                    return
+                opened = zlib.decompressobj(47)
+            before = opened.copy()
+            try:
+                out = opened.decompress(data, most)
+            except zlib.error:
+                yield up_to_fault(before, data), end
+                return
+            if out:
+                yield out, end - len(opened.unused_data)
+            if opened.eof:
+                data, opened = opened.unused_data, None
+            else:
+                data = opened.unconsumed_tail
+                if not data and len(out) < most:
+                    break
+
+
+def pieces(parts: Iterable[tuple[bytes, int]], most: int) -> Iterator[tuple[bytes, int]]:
+    """Parts joined to pieces of at most ``most`` bytes.
+
+    A cut is made behind a byte that stands in no secret and no wrapped layer; if the last quarter
+    of a piece has none, it is repeated in the next.
+    """
+    held, end, quarter = bytearray(), 0, max(1, most // 4)
+    for part, end in parts:
+        held += part
+        while len(held) > most:
+            cut = CUT_RE.match(held, most - quarter, most)
+            yield bytes(held[: cut.end() if cut else most]), end
+            del held[: cut.end() if cut else most - quarter]
+    if held:
+        yield bytes(held), end
+
+
+def contents(source: Callable[[], Iterable[tuple[bytes, int]]], most: int, seen: frozenset[bytes] = frozenset()) -> Iterator[tuple[bytes, int]]:
+    """Pieces of what a compressed stream holds, and of what that holds if it is compressed again."""
+
+    def parts() -> Iterator[tuple[bytes, int]]:
+        return unpacked(source(), most)
+
+    first = next(parts(), (b"", 0))[0]
+    name = hashlib.blake2b(first, digest_size=16).digest()
+    if first and name not in seen:
+        yield from pieces(parts(), most)
+        if is_packed(first):
+            yield from contents(parts, most, seen | {name})
+
+
+def stream_of(raw: bytes, start: int = 0) -> Iterator[tuple[bytes, int]]:
+    """Bytes from a place on in parts, each with the place where it ends."""
+    for at in range(start, len(raw), INPUT_BYTES):
+        part = raw[at : at + INPUT_BYTES]
+        yield part, at + len(part)
+
+
+def below(layer: Layer, most: int) -> Iterator[Layer]:
+    """The layers one step inside a layer, one at a time."""
+    if "%" in layer.text and (inner := unescape(layer, PERCENT_RE, percent_pieces)):
+        yield inner
+    if "\\u" in layer.text and (inner := unescape(layer, UNICODE_RE, unicode_pieces)):
+        yield inner
     for match in BASE64_RE.finditer(layer.text):
         raw = from_base64(match.group())
-        text = as_text(raw, most) if raw else None
-        if text:
-            out.append(layer.whole(text, match.start(), match.end()))
-    return [inner for inner in out if inner is not None]
+        if not raw:
+            continue
+        found = chain([(raw, len(raw))], contents(partial(stream_of, raw), most))
+        for piece, _ in found:
+            if LEADS_RE.search(piece):
+                yield layer.whole(piece, layer.starts[match.start()], layer.ends[match.end() - 1])
 
 
 def scan_text(text: str, most: int) -> tuple[list[Span], list[Span]]:
@@ -176,17 +251,20 @@ def scan_text(text: str, most: int) -> tuple[list[Span], list[Span]]:
     base = scan_layer(text)
     found, done = set(base), set()
     places = np.arange(len(text) + 1)
-    work = below(Layer(text, places[:-1], places[1:], frozenset()), most)
+    work = [below(Layer(text, places[:-1], places[1:], frozenset()), most)]
     first = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
     while work:
-        layer = work.pop()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
         here = (layer.name, int(layer.starts[0]), int(layer.ends[-1]))
         # Nothing new: the text itself, a layer it came from, or the same content at the same place
-        if layer.name == first or here in done:
+        if layer.name == first or layer.name in layer.above or here in done:
             continue
         done.add(here)
         found.update(layer.spans())
-        work += [inner for inner in below(layer, most) if inner.name not in layer.seen]
+        work.append(below(layer, most))
     return base, sorted(found)
 
 
@@ -234,8 +312,8 @@ def find_secrets(docs: DataFrame, most_bytes: int = 1 << 26, keep: Iterable[str]
     Base spans stand in the text itself; ``spans`` has those and what decoded layers hold, at the
     place of the text that holds them, sorted by start, kind and end. Null and empty texts have
     none, repeated rows repeat, an empty table stays empty, and other columns are kept unless they
-    have the name of a result. Compressed data that would unpack to over ``most_bytes`` in one layer
-    is not opened, which bounds the memory of a task. Nothing is shuffled.
+    have the name of a result. Compressed data is unpacked and scanned whole, ``most_bytes`` at a
+    time, which bounds the memory of a task. Nothing is shuffled.
     """
 
     def work():

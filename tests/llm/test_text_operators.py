@@ -166,6 +166,41 @@ def test_worklist_ends_and_bombs_stay_closed():
     assert secret_scan.scan_text(loop, 1 << 16)[0] == secret_scan.scan_layer(loop)
 
 
+@pytest.mark.parametrize("odd", ["\u00a0", "\u3000", "\ufeff", "\u200b", "\u00ad", "\f", "\0", b"\xff"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+def test_odd_characters_do_not_hide_a_layer(odd, pack):
+    raw = (odd if isinstance(odd, bytes) else odd.encode()) + b" password = hunter2hunter2!"
+    text = "x " + base64.b64encode(pack(raw)).decode() + " end"
+    assert (2, 0, len(text) - 4) in scan_text_spans(text)
+
+
+def scan_text_spans(text, most=1 << 20):
+    return secret_scan.scan_text(text, most)[1]
+
+
+def test_all_of_a_compressed_stream_is_scanned():
+    secret, filler = b"password = hunter2hunter2!", bytes(random.Random(4).choices(b"ghijkl ,", k=200_000))
+    members = gzip.compress(b"nothing") + gzip.compress(filler) + gzip.compress(secret)
+    cut_off = gzip.compress(secret + b", " + filler)[:60_000]
+    damaged = bytearray(gzip.compress(secret + b", " + filler))
+    damaged[50_000:50_100] = bytes(100)
+    large = gzip.compress(filler + secret + filler)
+    twice = gzip.compress(zlib.compress(filler + secret))
+    for raw in (members, cut_off, bytes(damaged), large, twice):
+        text = "x " + base64.b64encode(raw).decode()
+        for most in (1 << 12, 1 << 26):
+            assert (2, 0, len(text)) in scan_text_spans(text, most)
+
+
+def test_pieces_hold_every_secret():
+    draw = random.Random(5)
+    raw = b"".join(bytes(draw.choices(b"ghij ,", k=draw.randint(0, 300))) + b",token=ghijklmnopqr " for _ in range(200))
+    for text in (raw, raw.replace(b",", b" ")):
+        found = [piece for piece, _ in secret_scan.pieces(((text[i : i + 700], i) for i in range(0, len(text), 700)), 512)]
+        assert all(len(piece) <= 512 for piece in found)
+        assert sum(piece.count(b"token=ghijklmnopqr") for piece in found) >= 200
+
+
 def test_masking(frame):
     rows = secret_scan.mask_secrets(frame((1, 'x token = "0123456789abcdef0123" y'), (2, None), (3, "plain"))).collect()
     assert [row["text"] for row in rows] == ['x [secret]" y', None, "plain"]
