@@ -16,7 +16,6 @@ import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import partial
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +37,13 @@ KEYWORD = "(?i)passw(or)?d|secret|token|api_?key"
 PERCENT_RE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_RE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+")
 LEAST_BASE64 = 20
-BASE64_RE = re.compile(r"(?:[A-Za-z0-9+/]{%d,}|[A-Za-z0-9_-]{%d,})={0,2}" % (LEAST_BASE64, LEAST_BASE64))
+LINE_RE = re.compile("[A-Za-z0-9+/_-]+")
+# Long lines and the line after them, whatever its length
+BREAK = r"[ \t]*\r?\n[ \t]*"
+BASE64_RE = re.compile(
+    r"[A-Za-z0-9+/_-]{%d,}(?:%s[A-Za-z0-9+/_-]{%d,})*(?:%s[A-Za-z0-9+/_-]+)?={0,2}" % (LEAST_BASE64, BREAK, LEAST_BASE64, BREAK)
+)
+STANDARD = str.maketrans("-_", "+/")
 BASE64_BYTES = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"))
 HEX_BYTES = np.isin(np.arange(256), list(b"0123456789abcdef"))
 # What every secret and every wrapped layer has; bytes without it hold none
@@ -50,6 +55,7 @@ LEADS_RE = re.compile(
 CUT_RE = re.compile(rb"(?s:.*)[^A-Za-z0-9+/_=.:'\"\\%\s-]")
 # Compressed bytes that are opened at a time
 INPUT_BYTES = 1 << 16
+PROBE_BYTES, SOUND_BYTES = 4096, 512
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 FIELDS = "base_spans array<struct<kind:string,start:bigint,end:bigint>>, spans array<struct<kind:string,start:bigint,end:bigint>>"
 
@@ -130,16 +136,6 @@ def unicode_pieces(run: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def from_base64(run: str) -> bytes | None:
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return None
-
-
 def is_packed(raw: bytes) -> bool:
     """Whether bytes begin like gzip or zlib data."""
     if raw[:3] == b"\x1f\x8b\x08":
@@ -230,6 +226,90 @@ def stream_of(raw: bytes, start: int = 0) -> Iterator[tuple[bytes, int]]:
         yield part, at + len(part)
 
 
+def packed_places(raw: bytes) -> list[int]:
+    """Places, in steps of three bytes, at which gzip or zlib data may begin."""
+    values = np.frombuffer(raw, dtype=np.uint8).astype(np.uint16)
+    second = values[1::3]
+    first = values[::3][: len(second)]
+    zlib_head = (first & 0x8F == 8) & (second & 0x20 == 0) & ((first << 8 | second) % 31 == 0)
+    places = np.flatnonzero(zlib_head | (first == 0x1F) & (second == 0x8B)) * 3
+    return [at for at in places.tolist() if is_packed(raw[at : at + 3])]
+
+
+def is_sound(raw: bytes, place: int) -> bool:
+    """Whether data behind two or three fitting bytes is a stream: no fault in its first bytes, or only after much content.
+
+    Chance gives such bytes every few thousand, and a fault soon after them.
+    """
+    part = raw[place : place + PROBE_BYTES]
+    try:
+        zlib.decompressobj(47).decompress(part, INPUT_BYTES)
+        return True
+    except zlib.error:
+        return len(up_to_fault(zlib.decompressobj(47), part)) >= SOUND_BYTES
+
+
+class Run:
+    """A run of base64 in a layer, its lines joined.
+
+    What stands before the payload (a path, a line of other text) can be part of the run, so it is
+    decoded from each of the four places where a group can begin, and compressed data is looked for
+    behind every character. A finding stands for the lines that hold it; it begins behind the mark that
+    comes first after the last character that is no text, if that leaves a payload in step.
+    """
+
+    def __init__(self, layer: Layer, start: int, end: int):
+        lines = [match.span() for match in LINE_RE.finditer(layer.text, start, end)]
+        self.layer = layer
+        self.body = "".join(layer.text[a:b] for a, b in lines).translate(STANDARD)
+        self.stops = np.cumsum([b - a for a, b in lines])
+        # Places in the layer: of each character, of the ends of lines, with the padding of the last
+        self.places = np.concatenate([np.arange(a, b) for a, b in lines])
+        self.line_starts = np.array([a for a, _ in lines])
+        self.line_ends = np.array([*(b for _, b in lines[:-1]), end])
+
+    def line(self, at: np.ndarray) -> np.ndarray:
+        """Lines of places in the body."""
+        return np.minimum(np.searchsorted(self.stops, at, side="right"), len(self.stops) - 1)
+
+    def layers(self, most: int) -> Iterator[Layer]:
+        for offset in range(4):
+            size = len(self.body) - offset
+            part = self.body[offset : offset + size - (size % 4 == 1)]
+            raw = base64.b64decode(part + "=" * (-len(part) % 4))
+            if LEADS_RE.search(raw):
+                yield self.text_layer(raw, offset)
+            for place in packed_places(raw):
+                if offset + place and not is_sound(raw, place):
+                    continue
+                first = self.layer.starts[self.places[offset + place // 3 * 4]]
+                for piece, end in contents(partial(stream_of, raw, place), most):
+                    if LEADS_RE.search(piece):
+                        last = self.line_ends[self.line(offset + (end - 1) // 3 * 4 + (end - 1) % 3 + 1)]
+                        yield self.layer.whole(piece, first, self.layer.ends[last - 1])
+
+    def text_layer(self, raw: bytes, offset: int) -> Layer:
+        text = raw.decode("utf-8", "surrogateescape")
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        odd = (codes >= 0xDC80) & (codes <= 0xDCFF) | (codes < 32) & ~np.isin(codes, [0, 9, 10, 12, 13])
+        escaped = (codes >= 0xDC80) & (codes <= 0xDCFF)
+        sizes = np.where(escaped, 1, 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))
+        ends = np.cumsum(sizes)
+        firsts = ends - sizes
+        # In the body: the character with the first bit, and the one with the last
+        at = offset + firsts // 3 * 4 + firsts % 3
+        last = offset + (ends - 1) // 3 * 4 + (ends - 1) % 3 + 1
+        starts = self.line_starts[self.line(at)]
+        marks = np.flatnonzero(np.isin(np.frombuffer(self.body.encode(), dtype=np.uint8), list(b"+/"))) + 1
+        heads = np.concatenate([[0], marks])
+        heads = np.append(heads[heads % 4 == offset], len(self.body))
+        clean = np.maximum.accumulate(np.where(odd, last, 0))
+        head = heads[np.searchsorted(heads, clean)]
+        starts = np.where(head <= at, np.maximum(starts, self.places[np.minimum(head, len(self.places) - 1)]), starts)
+        stops = self.line_ends[self.line(last)]
+        return Layer(text, self.layer.starts[starts], self.layer.ends[stops - 1], self.layer.seen)
+
+
 def below(layer: Layer, most: int) -> Iterator[Layer]:
     """The layers one step inside a layer, one at a time."""
     if "%" in layer.text and (inner := unescape(layer, PERCENT_RE, percent_pieces)):
@@ -237,13 +317,7 @@ def below(layer: Layer, most: int) -> Iterator[Layer]:
     if "\\u" in layer.text and (inner := unescape(layer, UNICODE_RE, unicode_pieces)):
         yield inner
     for match in BASE64_RE.finditer(layer.text):
-        raw = from_base64(match.group())
-        if not raw:
-            continue
-        found = chain([(raw, len(raw))], contents(partial(stream_of, raw), most))
-        for piece, _ in found:
-            if LEADS_RE.search(piece):
-                yield layer.whole(piece, layer.starts[match.start()], layer.ends[match.end() - 1])
+        yield from Run(layer, match.start(), match.end()).layers(most)
 
 
 def scan_text(text: str, most: int) -> tuple[list[Span], list[Span]]:

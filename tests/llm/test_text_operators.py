@@ -192,6 +192,51 @@ def test_all_of_a_compressed_stream_is_scanned():
             assert (2, 0, len(text)) in scan_text_spans(text, most)
 
 
+def payloads(number):
+    """Texts of some 500 bytes with a secret, plain and compressed."""
+    draw = random.Random(6)
+    for _ in range(number):
+        words = ["".join(draw.choices("ghijklmnopqrstuvwxyz", k=draw.randint(2, 9))) for _ in range(80)]
+        words.insert(draw.randint(0, 80), "password = hunter2hunter2!")
+        raw = " ".join(words).encode()
+        yield from (raw, zlib.compress(raw), gzip.compress(raw))
+
+
+@pytest.mark.parametrize("before", ["x ", "https://h.example/cb/", "https://h.example/callback/v1/", "q=a-", "data_"])
+@pytest.mark.parametrize("after", [" end", "\nnext line", ""])
+@pytest.mark.parametrize("encode", [base64.b64encode, base64.urlsafe_b64encode, lambda raw: base64.urlsafe_b64encode(raw).rstrip(b"=")])
+def test_no_base64_payload_is_cut_or_out_of_step(before, after, encode):
+    for raw in payloads(50):
+        payload = encode(raw).decode()
+        spans = [(a, b) for a, kind, b in scan_text_spans(before + payload + after) if kind == 0]
+        assert spans and any(b >= len(before) + 30 for _, b in spans)
+        assert raw[:1] not in (b"x", b"\x1f") or (len(before), len(before) + len(payload)) in spans or payload[-1] != "="
+
+
+@pytest.mark.parametrize("width", [24, 64, 75, 76])
+@pytest.mark.parametrize("line_break", ["\n", "\r\n", "\n  "])
+def test_wrapped_base64_is_joined(width, line_break):
+    for raw in payloads(50):
+        payload = base64.b64encode(raw).decode()
+        wrapped_lines = line_break.join(payload[i : i + width] for i in range(0, len(payload), width))
+        for before, after in (("x ", " end"), ("https://h.example/cb/", "\n\nnext")):
+            spans = [(a, b) for a, kind, b in scan_text_spans(before + wrapped_lines + after) if kind == 0]
+            assert spans and all(a < b <= len(before) + len(wrapped_lines) for a, b in spans)
+
+
+def test_random_bytes_hold_no_secret():
+    text = base64.b64encode(random.Random(7).randbytes(2_000_000)).decode()
+    assert scan_text_spans(text, 1 << 26) == []
+
+
+def test_only_lines_with_a_secret_are_marked():
+    raw = b"ghij klmn " * 20 + b"password = hunter2hunter2! " + b"ghij klmn " * 20
+    text = base64.encodebytes(raw).decode()
+    ((start, _, end),) = scan_text_spans(text)
+    at = raw.index(b"password") // 57
+    assert (start, end) == (77 * at, 77 * at + 76 + 77 * (raw.index(b"!") // 57 - at))
+
+
 def test_pieces_hold_every_secret():
     draw = random.Random(5)
     raw = b"".join(bytes(draw.choices(b"ghij ,", k=draw.randint(0, 300))) + b",token=ghijklmnopqr " for _ in range(200))
