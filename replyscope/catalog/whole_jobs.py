@@ -251,6 +251,8 @@ SELECT thread_id, md5(customer_text) AS digest, intent AS predicted_intent, conf
 def golden_set(spark, sf_dir):
     """Candidates scored, flagged and sampled for labelling; target 50, four per intent."""
     rows = common.clean_threads(spark, sf_dir).withColumn("vec_id", common.vector_id())
+    # The SQL of this query is about predicted threads only
+    rows = rows.join(common.predictions(spark, sf_dir).select("vec_id"), "vec_id", "left_semi")
     scores = rows.select("thread_id", "vec_id").join(common.scores(spark, sf_dir), "vec_id")
     best = common.thread_neighbours(spark, sf_dir).where("rank = 1")
     candidates = jobs.golden_candidates(rows, scores, best)

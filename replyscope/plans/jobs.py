@@ -276,15 +276,15 @@ def golden_candidates(
     """Messages, or a seeded sample of ``n_candidates``, with prediction, best similarity, word count and edge flags.
 
     ``scores`` is the long score table and ``best`` holds (key, similarity) of the first
-    retrieved row.
+    retrieved row. A message without a score stays, without an intent, as ambiguous with confidence 0.
     """
     sample = cut_lineage(hash_sample(messages, key, n_candidates, seed))
     wanted = scores.join(sample.select(key), key, "left_semi")
     predicted = classify.best_label(wanted, key).withColumnRenamed("intent", "predicted_intent")
     rows = (
-        sample.join(predicted, key)
+        sample.join(predicted, key, "left")
         .join(best.select(key, F.col("similarity").alias("top_similarity")), key, "left")
-        .fillna(0.0, ["top_similarity"])
+        .fillna(0.0, ["confidence", "top2_gap", "top_similarity"])
         .withColumn("word_count", word_count(F.col(text)))
     )
     return edge_flags(rows)
@@ -344,12 +344,19 @@ def evaluation_report(
 
     ``golden`` holds (key, truth), ``predictions`` (key, intent, confidence, draft_reply),
     ``retrieved`` (key, rank, similarity, brand_reply), ``judged`` (key, scores, average and
-    optionally human_judge_score) and ``baselines`` further prediction tables.
+    optionally human_judge_score) and ``baselines`` further prediction tables. A label without a
+    prediction counts as wrong with confidence 0, in the baselines too.
     """
     rows = cut_lineage(
         golden.where(F.col(truth).isNotNull())
-        .join(predictions, key)
-        .withColumn("_correct", F.col("intent") == F.col(truth))
+        .join(predictions, key, "left")
+        .withColumns(
+            {
+                "confidence": F.coalesce("confidence", F.lit(0.0)),
+                "draft_reply": F.coalesce("draft_reply", F.lit("")),
+                "_correct": F.coalesce(F.col("intent") == F.col(truth), F.lit(False)),
+            }
+        )
     )
     found = retrieved.join(rows.select(key), key, "left_semi")
     overlap = groundedness(rows, found, key).agg(F.avg("groundedness").alias("mean_rouge_l"))
@@ -369,7 +376,7 @@ def evaluation_report(
         if "human_judge_score" in judged.columns:
             parts.append(long_form(metrics.cohens_kappa(scored, "human_judge_score", "average"), "agreement"))
     for name, other in (baselines or {}).items():
-        compared = rows.select(key, truth).join(other.select(key, "intent"), key)
+        compared = rows.select(key, truth).join(other.select(key, "intent"), key, "left")
         parts.append(long_form(metrics.accuracy(compared, truth, "intent"), name))
         parts.append(long_form(metrics.macro_averages(compared, truth, "intent").select("macro_f1"), name))
     return reduce(DataFrame.unionByName, parts)

@@ -76,6 +76,31 @@ def test_report_as_json(spark, tmp_path):
     assert json.loads(report["retrieval"])["n_empty"] == 1.0
 
 
+def test_labels_without_prediction_are_wrong(spark):
+    golden = spark.createDataFrame([(i, "a") for i in "1234"], "thread_id string, human_intent string")
+    predictions = spark.createDataFrame(
+        [("1", "a", 0.95, "please wait")], "thread_id string, intent string, confidence double, draft_reply string"
+    )
+    retrieved = spark.createDataFrame([("1", 1, 0.5, "please wait")], "thread_id string, rank int, similarity double, brand_reply string")
+    report = jobs.evaluation_report(golden, predictions, retrieved, baselines={"other": predictions})
+    found = {(r.section, r.metric): r.value for r in report.collect()}
+    assert found["classification", "n"] == found["other", "n"] == found["retrieval", "n_queries"] == 4
+    assert found["classification", "accuracy"] == found["other", "accuracy"] == found["groundedness", "mean_rouge_l"] == 0.25
+    assert (found["per_class_support", "a"], found["per_class_recall", "a"]) == (4, 0.25)
+    assert (found["bin_n", "0"], found["bin_accuracy", "0"], found["bin_confidence", "0"]) == (3, 0, 0)
+
+
+def test_candidates_without_scores_are_ambiguous(spark):
+    text = "one two three four five six seven eight nine ten eleven"
+    messages = spark.createDataFrame([("1", text), ("2", text)], "thread_id string, customer_text string")
+    scores = spark.createDataFrame([("1", "a", 0.9), ("1", "b", 0.1)], "thread_id string, label string, score double")
+    best = spark.createDataFrame([("1", 0.9), ("2", 0.9)], "thread_id string, similarity double")
+    candidates = jobs.golden_candidates(messages, scores, best)
+    rows = {r.thread_id: (r.predicted_intent, r.confidence, r.is_edge_ambiguous, r.is_edge) for r in candidates.collect()}
+    assert rows == {"1": ("a", 0.9, False, False), "2": (None, 0.0, True, True)}
+    assert jobs.build_golden_set(candidates, target=10, per_intent=1).where("thread_id = '2'").count() == 1
+
+
 def test_auto_label(spark):
     golden = spark.createDataFrame([("1", "x", ""), ("2", "y", "")], "thread_id string, customer_text string, human_intent string")
     labelled = jobs.auto_label_golden(golden, lambda asked: asked.limit(1).withColumn("raw", F.lit("APP_technical!")))
