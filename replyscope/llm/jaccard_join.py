@@ -359,7 +359,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity=SIMILARITY,
     one id with different texts belong together as far as both are linked. Other columns are not looked
     at; an empty table gives an empty one. Shingles and sets are compared as 64-bit hashes.
     """
-    spark = docs.sparkSession
+    sets, nodes, found = linked_sets(docs, words, similarity, chunk_sets)
+    return labelled(sets, nodes, found, docs.sparkSession)
+
+
+def linked_sets(docs: DataFrame, words: int, similarity, chunk_sets: int = CHUNK_SETS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sets of all rows, the first document of each set, and the component of each set that has a link."""
     docs = docs.select("doc_id", "text")
     sets = stored(document_sets(docs, words), "sets")
     small = sets.where(F.col("n_shingles").between(1, MOST_LIGHT)).groupBy("n_shingles").agg(F.countDistinct("set_id").alias("n"))
@@ -395,7 +400,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity=SIMILARITY,
     if not open_chunks.isEmpty():
         more = stored(compare(deliver(across, texts), words, similarity), "across")
         links = links.unionByName(more.where("kind = 'link'").select("a", "b"))
-    return labelled(sets, nodes, components(links.distinct()), spark)
+    return sets, nodes, components(links.distinct())
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -422,11 +427,28 @@ def labelled(sets: DataFrame, nodes: DataFrame, found: DataFrame, spark) -> Data
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, similarity=SIMILARITY) -> DataFrame:
-    """One row of each group of near duplicates: the one with the smallest id. Rows without doc_id all stay."""
+    """One row of each group of near duplicates: of the smallest id, and of its texts the first in a fixed order.
+
+    Unlike texts under one id are apart, as each set of an id is judged on its own. Rows without
+    doc_id all stay, and so does every text without words, once for each id.
+    """
     names = [f"_in_{name}" if name not in ("doc_id", "text") else name for name in docs.columns]
     rows = docs.toDF(*names)
-    first = near_duplicates(rows, words, similarity).where("doc_id = component_id").select("doc_id").distinct()
-    kept = rows.join(first, "doc_id", "left_semi")
-    # Ids are unique but for repeated rows, so hardly anything meets here
-    alone = kept.dropDuplicates(["doc_id"]).unionByName(rows.where(F.col("doc_id").isNull()))
+    _, nodes, found = linked_sets(rows, words, similarity)
+    groups = nodes.join(found, "set_id", "left").groupBy(F.coalesce("component", "set_id").alias("component"))
+    first = groups.agg(F.min(F.struct("first_doc", "set_id")).alias("_first"))
+    first = first.select(F.col("_first.first_doc").alias("doc_id"), F.col("_first.set_id").alias("_set"))
+
+    def work():
+        def step(batch: pa.RecordBatch) -> list[pa.Array]:
+            found = [shingles(raw.as_py(), words) for raw in text_bytes(batch)]
+            return [pa.array([set_name(members) if len(members) else None for members in found], pa.int64())]
+
+        return step
+
+    named = map_batches(rows.where(F.col("doc_id").isNotNull()), ["text"], names, "_set bigint", work)
+    whole = F.struct("text", *(name for name in names if name != "text")).alias("_row")
+    kept = named.join(first, ["doc_id", "_set"], "left_semi").groupBy("doc_id", "_set").agg(F.min(whole).alias("_row"))
+    wordless = named.where(F.col("_set").isNull()).groupBy("doc_id", "text").agg(F.min(whole).alias("_row"))
+    alone = kept.select("_row.*").unionByName(wordless.select("_row.*")).unionByName(rows.where(F.col("doc_id").isNull()))
     return alone.select(*names).toDF(*docs.columns)

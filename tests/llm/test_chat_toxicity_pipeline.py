@@ -121,6 +121,16 @@ def test_copies_dropped_are_those_of_all_pairs(spark, frame):
     assert first != {i for i, _, component in plain_components(rows) if i == component}
 
 
+def test_unlike_texts_of_one_id_both_stay(spark, frame):
+    words = lambda mark: " ".join(f"{mark}{i}" for i in range(30))
+    rows = [(1, words("a")), (2, words("a")), (2, words("b")), (3, words("c")), (3, words("d")), (3, words("C")), (4, words("b")), (5, None), (5, "")]
+    for order in (rows, rows[::-1]):
+        docs = frame(*order).repartition(5)
+        kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()
+        wanted = [(1, words("a")), (2, words("b")), (3, words("C")), (3, words("d")), (5, None), (5, "")]
+        assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(wanted, key=str)
+
+
 def test_pipeline_equals_five_word_plain_version(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
