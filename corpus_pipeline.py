@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,17 @@ COPY_WORDS, COPY_SIMILARITY = 5, (80, 100)
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in no known language: without text or letters, or like no language at all.
 
-    Learns from the documents given, those with a language and outside the held-out fold.
+    Learns from the documents given, those with a language and outside the held-out fold; ``und`` is no
+    language. If there are none, every document with a letter stays.
     """
-    learned = language_id.prototypes(language_id.learning_texts(docs))
+    learned = language_id.prototypes(language_id.learning_texts(docs).where(F.col("lang") != language_id.UNKNOWN))
     names = [f"_in_{name}" if name != "text" else name for name in docs.columns]
-    found = language_id.identify(docs.toDF(*names), learned)
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") > 0)).select(*names).toDF(*docs.columns)
+    # Any one vector tells texts with a letter from those without
+    found = language_id.identify(docs.toDF(*names), learned or [("any", np.ones(language_id.DIMENSIONS))])
+    known = F.col("lang_pred") != language_id.UNKNOWN
+    if learned:
+        known &= F.col("score") > 0
+    return found.where(known).select(*names).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -131,6 +131,14 @@ def test_unlike_texts_of_one_id_both_stay(spark, frame):
         assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(wanted, key=str)
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_texts_stay_where_no_language_is_learned(spark, lang):
+    rows = [(i, f"plain words number {i}", lang) for i in range(12)] + [(20, None, lang), (21, "12 ...", lang), (None, "words", lang)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = corpus_pipeline.languages(spark, docs, SF_DIR).collect()
+    assert sorted(r["text"] for r in kept) == sorted(t for _, t, _ in rows if t and any(c.isalpha() for c in t))
+
+
 def test_pipeline_equals_five_word_plain_version(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
