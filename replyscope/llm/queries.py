@@ -11,6 +11,7 @@ from replyscope.llm import (
     byte_bpe,
     chat,
     decontamination,
+    fill_middle,
     jaccard_join,
     language_id,
     license_scan,
@@ -18,6 +19,8 @@ from replyscope.llm import (
     sharding,
     top_k,
     toxicity,
+    vector_codes,
+    warc,
 )
 from replyscope.llm.rows import sha256_of
 
@@ -121,6 +124,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, toxicity.fit_chain(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.fill_in_middle(texts(spark, sf_dir), keep=["doc_id"])
+    digests = [F.sha2(name, 256).alias(f"{name}_sha256") for name in ("output", "restored")]
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -188,6 +206,94 @@ with whole as (
 select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
 """
 
+OP11_SQL = """
+with rows as (
+  select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, ''))) as payload_bytes from pages
+), grouped as (
+  select *, max(page_id) over (partition by html) as original from rows
+), told as (
+  select *, coalesce(payload_bytes >= 1000 and original is not null and original is distinct from page_id, false) as again from grouped
+)
+select page_id, payload_bytes, sha1(html) as payload_digest, case when again then 'revisit' else 'response' end as record_type,
+  case when again then original end as refers_to
+from told
+"""
+
+OP12_SQL = r"""
+with units as (
+  select coalesce(cast(doc_id as varchar), '') as id, doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u
+  from documents
+), drawn as (
+  select doc_id, text, u, len(u) as n, sha256('42:' || id) as d from units
+), numbers as (
+  select doc_id, text, u, n, ('0x' || d[1:8])::ubigint as h1, ('0x' || d[9:16])::ubigint as h2,
+    ('0x' || d[17:24])::ubigint as h3, ('0x' || d[25:32])::ubigint as h4
+  from drawn
+), cut as (
+  select doc_id, text, n,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50 then 'plain'
+      when h4 % 100 < 80 then 'spm' else 'psm' end as form,
+    array_to_string(u[1 : least(h1 % (n + 1), h2 % (n + 1))], '') as prefix,
+    array_to_string(u[least(h1 % (n + 1), h2 % (n + 1)) + 1 : greatest(h1 % (n + 1), h2 % (n + 1))], '') as middle,
+    array_to_string(u[greatest(h1 % (n + 1), h2 % (n + 1)) + 1 : n], '') as suffix
+  from numbers
+)
+select doc_id, cast(n as bigint) as n, form,
+  case when form <> 'plain' then length(prefix) end as prefix_chars, case when form <> 'plain' then length(middle) end as middle_chars,
+  sha256(case form when 'plain' then text when 'spm' then '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    else '<P>' || prefix || '<S>' || suffix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from cut
+"""
+
+
+def op13_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """Rounds of k-means over the eight parts, written one after the other. Vectors have one length, divisible by eight."""
+    steps = [
+        """whole as (
+  select row_number() over () as row, vec_id, label, list_transform(embedding, lambda x: floor(4096 * cast(x as double))) as v
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as (
+  select row, part, v[part * len(v) // 8 + 1 : (part + 1) * len(v) // 8] as p from whole, range(8) t(part)
+), seeds as (
+  select row_number() over (order by vec_id) - 1 as entry, vec_id, v
+  from (select vec_id, min(v) as v from whole where vec_id is not null group by vec_id) order by vec_id limit 16
+), book0 as materialized (
+  select part, entry, v[part * len(v) // 8 + 1 : (part + 1) * len(v) // 8] as c from seeds, range(8) t(part)
+)"""
+    ]
+    for at in range(rounds + 1):
+        steps.append(
+            f"""near{at} as materialized (
+  select row, part, any_value(p) as p, min_by(struct_pack(entry := entry, d := d), struct_pack(d := d, entry := entry)) as best
+  from (select row, part, p, entry, list_dot_product(p, p) - 2 * list_dot_product(p, c) + list_dot_product(c, c) as d
+    from parts join book{at} using (part)) group by row, part
+)"""
+        )
+        if at < rounds:
+            steps.append(
+                f"""mean{at} as (
+  select part, entry, list(m order by place) as c from (
+    select part, best.entry as entry, place, floor(sum(p[place + 1]) / count(*)) as m from near{at}, range(len(p)) t(place)
+    group by part, best.entry, place
+  ) group by part, entry
+), book{at + 1} as materialized (
+  select part, entry, coalesce(mean{at}.c, book{at}.c) as c from book{at} left join mean{at} using (part, entry)
+)"""
+            )
+    return f"""
+with {", ".join(steps)}, coded as (
+  select row, string_agg(lpad(to_hex(best.entry), 2, '0'), '' order by part) as code, cast(sum(best.d) as bigint) as error
+  from near{rounds} group by row
+)
+select vec_id, lower(code) as code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+  (select sha256(string_agg(array_to_string(list_transform(c, lambda x: cast(cast(x as bigint) as varchar)), ','), ',' order by part, entry))
+    from book{rounds}) as codebooks_sha256
+from coded join whole using (row)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
@@ -201,7 +307,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_scans,
         op9_language_id,
         op10_toxicity,
+        op11_warc,
+        op12_fill_middle,
+        op13_vector_codes,
         pipeline,
     )
 }
-ORACLES = {"op2_chat_formatting": OP2_SQL, "op4_decontamination": OP4_SQL, "op6_exact_top_k": OP6_SQL}
+ORACLES = {
+    "op2_chat_formatting": OP2_SQL,
+    "op4_decontamination": OP4_SQL,
+    "op6_exact_top_k": OP6_SQL,
+    "op11_warc": OP11_SQL,
+    "op12_fill_middle": OP12_SQL,
+    "op13_vector_codes": op13_sql(),
+}

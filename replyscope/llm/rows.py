@@ -59,6 +59,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(table: DataFrame) -> None:
+    """Remove the files of a table that ``stored`` returned and that nothing reads any more."""
+    context = table.sparkSession.sparkContext
+    for name in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        folder = context._jvm.org.apache.hadoop.fs.Path(name)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def sha256_of(column) -> Column:
     """Lowercase hex SHA-256 of a string column's UTF-8 bytes."""
     return F.sha2(column.cast("binary"), 256)
