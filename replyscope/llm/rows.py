@@ -49,13 +49,14 @@ def text_bytes(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     return batch.column(name).cast(pa.large_binary()).fill_null(b"")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """The table, written below the shared checkpoint folder and read again.
 
-    Cuts lineage without memory, keeps column pruning, and survives lost executors.
+    Cuts lineage without memory, keeps column pruning, and survives lost executors. ``compression`` names
+    the codec of the files where the session's own is not wanted.
     """
     path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    (df.write if compression is None else df.write.option("compression", compression)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -441,7 +441,7 @@ def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
         for files in turns(entries):
             now = entries if files is None else entries.where(F.col("file").isin(files))
             names = path if files is None else files
-            pieces = stored(cut_blocks(lines_of(spark, names), now), "pieces")
+            pieces = stored(cut_blocks(lines_of(spark, names), now), "pieces", "zstd")
             whole = pieces.where("ends is null").select(*RECORD_DDL_NAMES)
             records = whole.unionByName(joined_pieces(pieces))
             done = records if done is None else done.unionByName(records)
