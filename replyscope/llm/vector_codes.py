@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -230,10 +231,32 @@ def moved(books: Codebooks, sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(counts[:, :, None] > 0, mean, books.latest)
 
 
+def lowest_ids(table: DataFrame, count: int) -> DataFrame:
+    """(id, v): of each task the ``count`` smallest ids, each with the smallest of its vectors, so few rows are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict = {}
+        for batch in batches:
+            ids = batch.column("id")
+            names = {*best, *pc.unique(ids).to_pylist()} - {None}
+            wanted = sorted(names)[:count]
+            best = {name: best[name] for name in wanted if name in best}
+            mine = batch.filter(pc.is_in(ids, pa.array(wanted, ids.type)))
+            for name, vector in zip(mine.column("id").to_pylist(), mine.column("v"), strict=True):
+                values = vector.as_py()
+                if name not in best or values < best[name]:
+                    best[name] = values
+        if best:
+            names = sorted(best)
+            yield pa.RecordBatch.from_arrays([pa.array(names, ids.type), pa.array([best[n] for n in names], pa.list_(pa.int32()))], names=["id", "v"])
+
+    return table.select("id", "v").mapInArrow(run, f"id {table.schema['id'].dataType.simpleString()}, v array<int>")
+
+
 def first_codebooks(table: DataFrame, parts: int, entries: int) -> Codebooks | None:
     """The parts of the vectors with the smallest ids; of an id with several vectors, the smallest. None without an id."""
     width = table.agg(F.max(F.size("v"))).first()[0]
-    seeds = table.where("id is not null").groupBy("id").agg(F.min("v").alias("v")).orderBy("id").limit(entries).collect()
+    seeds = lowest_ids(table, entries).groupBy("id").agg(F.min("v").alias("v")).orderBy("id").limit(entries).collect()
     if not seeds:
         return None
     part_width = -(-width // parts)
