@@ -34,6 +34,10 @@ SIMILARITY = (90, 100)
 MOST_LIGHT = 40
 CHUNK_SETS = 1024
 SLAB_SHINGLES = 4096
+# Buckets of lists hold the entries of about this many shingles each
+BUCKET_SHINGLES = 1 << 20
+# The bitmap of shared lists has 2^MOST_BITS bits (16 MB) at most
+MOST_BITS = 27
 # Texts are hashed in stretches of about this many bytes
 STRETCH = 1 << 20
 SEED = np.uint64(0x9E3779B97F4A7C15)
@@ -245,41 +249,111 @@ def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), ["text"], ["doc_id"], "n_shingles bigint, set_id bigint", work)
 
 
-def list_entries(docs: DataFrame, light: int, words: int = WORDS, similarity=SIMILARITY) -> DataFrame:
-    """(list, set_id): the lists of all sets. A set that a task has met before is left out there."""
+def task_sets(batches: Iterator[pa.RecordBatch], light: int, words: int, similarity) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(lists, set ids) of the texts of each batch. A set that the task has met before is left out."""
+    met: set[int] = set()
+    for batch in batches:
+        lists, names = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for raw in text_bytes(batch):
+            members = shingles(raw.as_py(), words)
+            name = set_name(members) if len(members) else None
+            if name is None or name in met:
+                continue
+            if len(met) >= 1_000_000:
+                met.clear()
+            met.add(name)
+            lists.append(list_keys(members, light, similarity))
+            names.append(np.full(len(lists[-1]), name, dtype=np.int64))
+        yield np.concatenate(lists), np.concatenate(names)
+
+
+def lowest_and_highest(lists: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each different list with its smallest and its largest set."""
+    if not len(lists):
+        return lists, names, names
+    order = np.lexsort((names, lists))
+    lists, names = lists[order], names[order]
+    first = np.flatnonzero(np.concatenate([[True], lists[1:] != lists[:-1]]))
+    return lists[first], names[first], names[np.append(first[1:], len(lists)) - 1]
+
+
+def shared_lists(docs: DataFrame, light: int, words: int, similarity, n_shingles: int) -> DataFrame:
+    """(list, centre): lists of two or more sets, with the smallest.
+
+    A task sends, packed by bucket, the smallest and the largest set that it has of each list, so a list that
+    very many sets share is a few entries of each task. Buckets are so many that one fits in a task.
+    """
+    buckets = max(64, -(-n_shingles // BUCKET_SHINGLES))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in task_sets(batches, light, words, similarity):
+            lists, low, high = lowest_and_highest(*found)
+            more = low != high
+            lists, names = np.concatenate([lists, lists[more]]), np.concatenate([low, high[more]])
+            bucket = (lists.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            bucket, lists, names = bucket[order], lists[order], names[order]
+            if not len(bucket):
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            ends = np.append(starts[1:], len(bucket))
+            columns = [[c[a:b].tobytes() for a, b in zip(starts, ends, strict=True)] for c in (lists, names)]
+            arrays = [pa.array(bucket[starts], pa.int64()), *(pa.array(c, pa.binary()) for c in columns)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "lists", "names"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+
+        def shared() -> pa.RecordBatch:
+            lists, names = (np.frombuffer(b"".join(part), dtype=np.int64) for part in zip(*held, strict=True))
+            lists, low, high = lowest_and_highest(lists, names)
+            more = low != high
+            return pa.RecordBatch.from_arrays([pa.array(lists[more]), pa.array(low[more])], names=["list", "centre"])
 
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()
         for batch in batches:
-            lists, names = [], []
-            for raw in text_bytes(batch):
-                members = shingles(raw.as_py(), words)
-                name = set_name(members) if len(members) else None
-                if name is None or name in met:
-                    continue
-                if len(met) >= 1_000_000:
-                    met.clear()
-                met.add(name)
-                keys = list_keys(members, light, similarity)
-                lists.append(keys)
-                names.append(np.full(len(keys), name))
-            if lists:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(lists)), pa.array(np.concatenate(names), pa.int64())], names=["list", "set_id"]
-                )
-
-    return docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(entries, "list bigint, set_id bigint")
-
-
-def gathered(entries: DataFrame) -> DataFrame:
+            for bucket, *packed in zip(*(batch.column(n).to_pylist() for n in ("bucket", "lists", "names")), strict=True):
+                if bucket != last and held:
+                    yield shared()
+                    held = []
+                last = bucket
+                held.append(packed)
+        if held:
+            yield shared()
+
+    texts = docs.where(F.col("doc_id").isNotNull()).select("text")
+    packed = texts.mapInArrow(pack, "bucket bigint, lists binary, names binary")
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "list bigint, centre bigint")
+
+
+def list_bits(lists: DataFrame) -> np.ndarray:
+    """A bitmap of list names, of eight bits a list but 2^27 at most: beyond that it lets more through, and nothing is lost."""
+    bits = 1 << min(MOST_BITS, max(10, (8 * lists.count()).bit_length()))
+    at = F.col("list").bitwiseAND(F.lit(bits - 1))
+    words = lists.select(F.shiftright(at, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+    table = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.int64)
+    out[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+    return out
+
+
+def gathered(docs: DataFrame, light: int, words: int, similarity, n_shingles: int) -> DataFrame:
     """(centre, set_id): each set with the smallest set of every list that it shares with another.
 
-    The smallest and largest set of each list are aggregated before the shuffle, so only lists of two
-    and more sets are met again, and a list that many sets share is split like any skewed join key.
+    The lists of a text are made twice instead of being stored. The second time, entries of lists that only one set has
+    are dropped where they arise, so only shared lists meet in a join, which splits a list that many sets share.
     """
-    shared = entries.groupBy("list").agg(F.min("set_id").alias("centre"), F.max("set_id").alias("_last"))
-    shared = shared.where(F.col("centre") != F.col("_last")).select("list", "centre")
-    return entries.join(stored(shared, "lists"), "list").where("centre != set_id").select("centre", "set_id").distinct()
+    shared = stored(shared_lists(docs, light, words, similarity, n_shingles), "lists")
+    known = docs.sparkSession.sparkContext.broadcast(list_bits(shared))
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = known.value
+        for lists, names in task_sets(batches, light, words, similarity):
+            at = lists & (len(bits) * 64 - 1)
+            kept = (bits[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+            yield pa.RecordBatch.from_arrays([pa.array(lists[kept]), pa.array(names[kept])], names=["list", "set_id"])
+
+    found = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(entries, "list bigint, set_id bigint")
+    return found.join(shared, "list").where("centre != set_id").select("centre", "set_id").distinct()
 
 
 def compare(rows: DataFrame, words: int = WORDS, similarity=SIMILARITY) -> DataFrame:
@@ -371,8 +445,8 @@ def linked_sets(docs: DataFrame, words: int, similarity, chunk_sets: int = CHUNK
     light = light_boundary({row["n_shingles"]: row["n"] for row in small.collect()}, similarity)
     named = sets.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull())
     nodes = stored(named.groupBy("set_id").agg(F.min("doc_id").alias("first_doc")), "nodes")
-    entries = stored(list_entries(docs, light, words, similarity), "entries")
-    pairs = stored(gathered(entries), "pairs")
+    n_shingles = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    pairs = stored(gathered(docs, light, words, similarity, n_shingles), "pairs")
 
     # A large group is dealt into chunks of about chunk_sets; its centre goes to each
     sizes = pairs.groupBy("centre").agg(F.ceil(F.count("*") / chunk_sets).cast("int").alias("chunks"))
