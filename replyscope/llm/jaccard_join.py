@@ -2,14 +2,14 @@
 
 Two sets of sizes a <= b with similarity t share at least c = t (a + b) / (1 + t) shingles. Small (light)
 sets enumerate their subsets of that fixed size, so linked sets share a subset. Large (heavy) sets are
-found by inverted lists: the shingles of a set are dealt by hash into one part more than linked sets can
-differ in, so linked sets have one part in common, and a list is kept for each part's content. (A
-list for each single shingle would hold every text with a common passage.) The boundary between
-the two is the size at which all subsets cost as much as all parts.
-
-Entries of one list are grouped under the smallest set of the list, and all sets gathered around
-one such centre are compared exactly, in chunks. The result is components, so no task returns more
-than one link per set, and no list is expanded into pairs.
+found by inverted lists: the shingles of a set are dealt by hash into more parts than linked sets can
+differ in, so linked sets have a part in common that is not empty, and a list is kept for each part's
+content. (A list for each single shingle would hold every text with a common passage.) The boundary
+between the two is the size at which all subsets cost as much as all parts.
+
+Entries of one list are grouped under the smallest set of the list. Each set first meets one of its centres;
+then the sets of all groups that this has not put into one component are compared exactly, in chunks. The
+result is components, so no task returns more than one link per set, and no list is expanded into pairs.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ SIMILARITY = (90, 100)
 MOST_LIGHT = 40
 CHUNK_SETS = 1024
 SLAB_SHINGLES = 4096
+# Ids of texts go to all tasks up to this many rows (some 50 MB)
+BROADCAST_ROWS = 500_000
 # Buckets of lists hold the entries of about this many shingles each
 BUCKET_SHINGLES = 1 << 20
 # The bitmap of shared lists has 2^MOST_BITS bits (16 MB) at most
@@ -148,12 +151,22 @@ def band_of(size: int, similarity=SIMILARITY) -> int:
     return int(np.log(size) / np.log(whole / part) + 1e-9)
 
 
+def differences_of_band(band: int, similarity=SIMILARITY) -> int:
+    """Most elements in which linked sets differ whose smaller one is in a band."""
+    part, whole = similarity
+    return (int((whole / part) ** (band + 1)) + 1) * (whole - part) // part + 1
+
+
 @lru_cache(maxsize=4096)
 def parts_of_band(band: int, similarity=SIMILARITY) -> int:
-    """Parts for pairs whose smaller set is in a band: one more than such sets can differ in."""
+    """Parts for pairs whose smaller set is in a band: more than such sets can differ in, by one and by the parts that may be empty.
+
+    Linked sets agree in more parts than a set is likely to leave empty, so they agree in one that is not.
+    """
     part, whole = similarity
-    top = int((whole / part) ** (band + 1)) + 1
-    return top * (whole - part) // part + 2
+    least = differences_of_band(band, similarity) + 1
+    empty = least * np.exp(-((whole / part) ** band) / least)
+    return least + int(np.ceil(empty + 3 * np.sqrt(empty)))
 
 
 def bands(size: int, light: int, similarity=SIMILARITY) -> list[int]:
@@ -191,7 +204,10 @@ def list_keys(members: np.ndarray, light: int, similarity=SIMILARITY) -> np.ndar
         dealt = (members >> np.uint64(11)) % np.uint64(parts)
         sums = np.zeros(parts, dtype=np.uint64)
         np.add.at(sums, dealt.astype(np.int64), hashed)
-        keys.append(mix(mix(sums + np.arange(parts, dtype=np.uint64) * SEED) + np.uint64(2 * band + 1)))
+        made = mix(mix(sums + np.arange(parts, dtype=np.uint64) * SEED) + np.uint64(2 * band + 1))
+        used = np.bincount(dealt.astype(np.int64), minlength=parts) > 0
+        # All parts in which a linked set agrees can be empty only if both have that many empty ones
+        keys.append(made[used] if parts - used.sum() < parts - differences_of_band(band, similarity) else made)
     return np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
 
 
@@ -359,7 +375,7 @@ def gathered(docs: DataFrame, light: int, words: int, similarity, n_shingles: in
 def compare(rows: DataFrame, words: int = WORDS, similarity=SIMILARITY) -> DataFrame:
     """(kind, a, b): links that keep the components of every group, and sets that are not linked with the centre.
 
-    ``rows`` has grp, is_centre, set_id and text, all rows of a group in one task, the centre first. ``kind`` is
+    ``rows`` has grp, set_id and packed, all rows of a group in one task, the centre first. ``kind`` is
     ``link``, or ``apart`` for (centre, set).
     """
 
@@ -380,13 +396,14 @@ def compare(rows: DataFrame, words: int = WORDS, similarity=SIMILARITY) -> DataF
             return pa.RecordBatch.from_arrays(arrays, names=["kind", "a", "b"])
 
         out: list[tuple[str, int, int]] = []
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             groups = batch.column("grp").to_pylist()
-            for at, (wanted, raw) in enumerate(zip(batch.column("set_id").to_pylist(), text_bytes(batch), strict=True)):
+            for at, (wanted, raw) in enumerate(zip(batch.column("set_id").to_pylist(), batch.column("packed"), strict=True)):
                 if groups[at] != group:
                     out += finish()
                     group, names, sets = groups[at], [], []
-                members = shingles(raw.as_py(), words)
+                members = shingles(unpack(raw.as_py()), words)
                 # Another text under the same id, or the same set again
                 if set_name(members) == wanted and wanted not in names[:1] and (not names or wanted != names[-1]):
                     names.append(wanted)
@@ -398,7 +415,7 @@ def compare(rows: DataFrame, words: int = WORDS, similarity=SIMILARITY) -> DataF
         if out:
             yield batch_of(out)
 
-    return rows.select("grp", "set_id", "text").mapInArrow(work, "kind string, a bigint, b bigint")
+    return rows.select("grp", "set_id", "packed").mapInArrow(work, "kind string, a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -448,18 +465,14 @@ def linked_sets(docs: DataFrame, words: int, similarity, chunk_sets: int = CHUNK
     n_shingles = sets.agg(F.sum("n_shingles")).first()[0] or 0
     pairs = stored(gathered(docs, light, words, similarity, n_shingles), "pairs")
 
-    # A large group is dealt into chunks of about chunk_sets; its centre goes to each
-    sizes = pairs.groupBy("centre").agg(F.ceil(F.count("*") / chunk_sets).cast("int").alias("chunks"))
-    dealt = pairs.join(stored(sizes, "group-sizes"), "centre").select(
-        "centre", "chunks", F.pmod(F.xxhash64("set_id"), F.col("chunks")).cast("int").alias("chunk"), "set_id"
-    )
-    dealt = stored(dealt, "chunks")
-    centres = dealt.select("centre", "chunks", "chunk").distinct()
-    wanted = dealt.select(F.struct("centre", "chunk").alias("grp"), F.lit(1).alias("place"), "set_id").unionByName(
-        centres.select(F.struct("centre", "chunk").alias("grp"), F.lit(0).alias("place"), F.col("centre").alias("set_id"))
-    )
-    texts = stored(texts_of(docs, nodes, wanted.select("set_id").distinct()), "texts")
-    found = stored(compare(deliver(wanted, texts), words, similarity), "found")
+    # First each set meets one centre only. Groups that this puts into one component have no more to tell
+    texts = stored(texts_of(docs, nodes, ends_of(pairs)), "texts")
+    once = pairs.groupBy("set_id").agg(F.min("centre").alias("centre"))
+    nearest = stored(compare(deliver(in_groups(dealt_out(once, chunk_sets)), texts), words, similarity), "nearest")
+    early = stored(nearest.where("kind = 'link'").select("a", "b").distinct(), "early-links")
+    pairs = stored(open_pairs(pairs, components(early)), "open-pairs")
+    dealt = dealt_out(pairs, chunk_sets)
+    found = stored(compare(deliver(in_groups(dealt), texts), words, similarity), "found")
 
     # Chunks of one group meet where a set is not linked with the centre
     apart = found.where("kind = 'apart'").select(F.col("a").alias("centre"), F.col("b").alias("set_id"))
@@ -470,23 +483,65 @@ def linked_sets(docs: DataFrame, words: int, similarity, chunk_sets: int = CHUNK
     meets = meets.select("centre", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")).distinct()
     sides = meets.select("centre", F.struct("centre", "low", "high").alias("grp"), F.explode(F.array("low", "high")).alias("chunk"))
     across = sides.join(dealt, ["centre", "chunk"]).select("grp", F.lit(1).alias("place"), "set_id")
-    links = found.where("kind = 'link'").select("a", "b")
+    links = early.unionByName(found.where("kind = 'link'").select("a", "b"))
     if not open_chunks.isEmpty():
         more = stored(compare(deliver(across, texts), words, similarity), "across")
         links = links.unionByName(more.where("kind = 'link'").select("a", "b"))
     return sets, nodes, components(links.distinct())
 
 
+def ends_of(pairs: DataFrame) -> DataFrame:
+    """(set_id): all sets of (centre, set_id) pairs."""
+    both = pairs.select("set_id").unionByName(pairs.select(F.col("centre").alias("set_id")))
+    return stored(both.distinct(), "wanted")
+
+
+def dealt_out(pairs: DataFrame, chunk_sets: int) -> DataFrame:
+    """(centre, chunks, chunk, set_id): a large group is dealt into chunks of about ``chunk_sets``."""
+    sizes = stored(pairs.groupBy("centre").agg(F.ceil(F.count("*") / chunk_sets).cast("int").alias("chunks")), "group-sizes")
+    chunk = F.pmod(F.xxhash64("set_id"), F.col("chunks")).cast("int").alias("chunk")
+    return stored(pairs.join(sizes, "centre").select("centre", "chunks", chunk, "set_id"), "chunks")
+
+
+def in_groups(dealt: DataFrame) -> DataFrame:
+    """(grp, place, set_id): the sets of each chunk, and in front of them its centre."""
+    group = F.struct("centre", "chunk").alias("grp")
+    centres = dealt.select("centre", "chunk").distinct().select(group, F.lit(0).alias("place"), F.col("centre").alias("set_id"))
+    return stored(dealt.select(group, F.lit(1).alias("place"), "set_id").unionByName(centres), "members")
+
+
+def open_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of the groups whose sets are not all in one known component; a set without one is its own."""
+    names = known.select("set_id", F.col("component").alias("_component"))
+    sides = pairs.select("centre", "set_id").unionByName(pairs.select("centre", F.col("centre").alias("set_id")).distinct())
+    component = F.coalesce("_component", "set_id")
+    spans = sides.join(names, "set_id", "left").groupBy("centre").agg(F.min(component).alias("_low"), F.max(component).alias("_high"))
+    return pairs.join(spans.where("_low != _high").select("centre"), "centre", "left_semi")
+
+
+def joined(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows with texts joined to a table of short columns. If that is small, it goes to all tasks and no text is shuffled."""
+    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on)
+
+
 def texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set_id, text): the text of the first document of each wanted set."""
+    """(set_id, packed): the compressed text of the first document of each wanted set."""
     firsts = nodes.join(wanted, "set_id").select("set_id", F.col("first_doc").alias("doc_id"))
-    return docs.join(firsts, "doc_id").select("set_id", "text")
+
+    def work():
+        pack = zstandard.ZstdCompressor().compress
+
+        def step(batch: pa.RecordBatch) -> list[pa.Array]:
+            return [pa.array([pack(raw.as_py()) for raw in text_bytes(batch)], pa.binary())]
+
+        return step
+
+    return map_batches(joined(docs, firsts, "doc_id"), ["text"], ["set_id"], "packed binary", work)
 
 
 def deliver(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     """Rows of ``wanted`` (grp, place, set_id) with their text, the rows of a group together and in order."""
-    rows = wanted.join(texts, "set_id")
-    return rows.repartition("grp").sortWithinPartitions("grp", "place", "set_id")
+    return joined(texts, wanted, "set_id").repartition("grp").sortWithinPartitions("grp", "place", "set_id")
 
 
 def labelled(sets: DataFrame, nodes: DataFrame, found: DataFrame, spark) -> DataFrame:

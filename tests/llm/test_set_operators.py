@@ -54,6 +54,24 @@ def near_copies(seed, families, copies, low, high):
     return rows
 
 
+@pytest.mark.parametrize("similarity", [(80, 100), (90, 100)])
+def test_linked_sets_share_a_list(similarity):
+    """Also where only parts without shingles agree, and hardly any unlike sets share one."""
+    draw, linked, met = np.random.default_rng(similarity[0]), 0, 0
+    part, whole = similarity
+    for _ in range(1500):
+        one = np.unique(draw.integers(0, 2**63, int(draw.integers(1, 300))).astype(np.uint64))
+        fresh = draw.integers(0, 2**63, int(draw.integers(0, len(one) // 8 + 1))).astype(np.uint64)
+        other = np.unique(np.concatenate([one[: len(one) - int(draw.integers(0, len(one) // 8 + 1))], fresh]))
+        common = len(np.intersect1d(one, other))
+        if whole * common >= part * (len(one) + len(other) - common):
+            linked += 1
+            assert len(np.intersect1d(jaccard_join.list_keys(one, 5, similarity), jaccard_join.list_keys(other, 5, similarity)))
+        unlike = np.unique(draw.integers(0, 2**63, len(one)).astype(np.uint64))
+        met += len(one) > 20 and len(np.intersect1d(jaccard_join.list_keys(one, 5, similarity), jaccard_join.list_keys(unlike, 5, similarity))) > 0
+    assert linked > 500 and met < 15
+
+
 @pytest.mark.parametrize(("low", "high", "chunk"), [(1, 30, 1024), (15, 60, 1024), (60, 200, 4), (20, 120, 2)])
 def test_components_equal_all_pairs(frame, low, high, chunk):
     rows = near_copies(low, 12, 14, low, high)
