@@ -24,7 +24,7 @@ from replyscope.operators.similarity import (
     build_cells,
     collapse_copies,
     matrix,
-    query_block_count,
+    query_part_count,
     radius_of,
     scaled_similarity,
 )
@@ -42,11 +42,11 @@ def neighbour_weights(points: DataFrame, similarity: float, block_rows: int, que
     key_type = points.schema["_key"].dataType
     out = pa.schema([("_key", to_arrow_type(key_type)), ("_part_degree", pa.int64())])
 
-    def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows == 0 or right.num_rows == 0:
-            return out.empty_table()
-        ours, theirs = matrix(left.column("_vector")), matrix(right.column("_vector"))
-        weights = right.column("_copies").to_numpy()
+    def load(right: pa.Table):
+        return matrix(right.column("_vector")), right.column("_copies").to_numpy()
+
+    def count(left: pa.Table, block) -> pa.Table:
+        ours, (theirs, weights) = matrix(left.column("_vector")), block
         totals = [
             (scaled_similarity(ours[start : start + CHUNK_ROWS], theirs) >= limit) @ weights
             for start in range(0, len(ours), CHUNK_ROWS)
@@ -60,11 +60,13 @@ def neighbour_weights(points: DataFrame, similarity: float, block_rows: int, que
         "_key",
         "_vector",
         cells,
-        query_block_count(points, cells, query_rows),
+        query_part_count(points, cells),
         radius_of(similarity),
         1,
+        load,
         count,
         f"_key {key_type.simpleString()}, _part_degree bigint",
+        query_rows,
     )
     return parts.groupBy("_key").agg(F.sum("_part_degree").alias("_degree"))
 
@@ -93,10 +95,12 @@ def core_links(core: DataFrame, similarity: float, block_rows: int, query_rows:
     arrow_key = to_arrow_type(key_type)
     out = pa.schema([("_key", arrow_key), ("_other", arrow_key)])
 
-    def link(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows == 0 or right.num_rows == 0:
-            return out.empty_table()
-        ours, theirs = matrix(left.column("_vector")), matrix(right.column("_vector"))
+    def load(right: pa.Table):
+        return right.column("_key"), matrix(right.column("_vector"))
+
+    def link(left: pa.Table, block) -> pa.Table:
+        right_keys, theirs = block
+        ours = matrix(left.column("_vector"))
         adjacent = np.vstack(
             [
                 scaled_similarity(ours[start : start + CHUNK_ROWS], theirs) >= limit
@@ -105,7 +109,7 @@ def core_links(core: DataFrame, similarity: float, block_rows: int, query_rows:
         )
         rows, columns = block_components(adjacent)
         tables = []
-        for keys, component in ((left.column("_key"), rows), (right.column("_key"), columns)):
+        for keys, component in ((left.column("_key"), rows), (right_keys, columns)):
             at = np.flatnonzero(component >= 0)
             center = left.column("_key").take(pa.array(component[at]))
             tables.append(pa.Table.from_arrays([keys.take(pa.array(at)), center], schema=out))
@@ -119,11 +123,13 @@ def core_links(core: DataFrame, similarity: float, block_rows: int, query_rows:
         "_key",
         "_vector",
         cells,
-        query_block_count(core, cells, query_rows),
+        query_part_count(core, cells),
         radius_of(similarity),
         1,
+        load,
         link,
         f"_key {name}, _other {name}",
+        query_rows,
     )
     return links.where(F.col("_key") != F.col("_other")).distinct()
 
@@ -182,8 +188,9 @@ def cluster_density(
     digest = F.md5(F.col("_root").cast("string"))
     numbered = bucket_rank(sizes, [], F.substring(digest, 1, PREFIX), [digest], "_number")
     clusters = labels.join(numbered, "_root").select("_key", (F.col("_number") - 1).cast("int").alias("cluster"))
+    # Clusters go to the distinct vectors first, so copies of one vector stay in place
+    known = points.select("_vector", "_key").join(clusters, "_key", "left").select("_vector", "cluster")
     return (
-        lookup_join(rows, points.select("_vector", "_key"), "_vector")
-        .join(clusters, "_key", "left")
+        lookup_join(rows, known, "_vector")
         .select(F.col("_id").alias(key), F.coalesce("cluster", F.lit(-1)).alias("cluster"))
     )

@@ -6,9 +6,10 @@ similarities are ordered by id.
 How the work is spread: the corpus is divided into cells around pivots and every cell into
 blocks of bounded size; queries are divided into blocks too. A query row is sent, by an equi
 join on (cell, block), only to the cells that can hold a result, which the triangle inequality
-decides. One task handles one (cell, corpus block, query block): a matrix product in memory,
-of which only the best k rows per query (or one row per query) leave the task. So neither pairs
-nor whole cells are ever materialised, and a cell with a third of the corpus is just many blocks.
+decides. A task loads one corpus block and lets its queries stream past, some thousand at a
+time: a matrix product in memory, of which only the best k rows per query (or one row per query)
+leave the task. So neither pairs nor whole cells are ever materialised, a cell with a third of the
+corpus is just many blocks, and the corpus is copied only once for every ``QUERY_PART_ROWS`` queries.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ from replyscope.session import cut_lineage
 DIGITS = 6
 SCALE = 10**DIGITS
 CORPUS_BLOCK_ROWS = 8192
+# Queries that meet a block at a time, and queries that a task lets past its block
 QUERY_BLOCK_ROWS = 2048
+QUERY_PART_ROWS = 1 << 18
 MAX_PIVOTS = 256
 CHUNK_ROWS = 256
 SLACK = 1e-5
@@ -207,42 +210,102 @@ def block_tasks(
     corpus_key: str,
     vector: str,
     cells: Cells,
-    query_blocks: int,
+    query_parts: int,
     radius: float | None,
     k: int,
+    prepare,
     work,
     schema: str,
+    query_rows: int = QUERY_BLOCK_ROWS,
 ) -> DataFrame:
-    """Run ``work(query table, corpus table)`` for every (cell, corpus block, query block)."""
+    """Run ``work(query table, prepare(corpus table))`` for every corpus block and all queries that must see it.
+
+    The rows of a block come first in its task, then its queries, at most ``query_rows`` at a time, so
+    a task holds one block however many queries visit it.
+    """
     blocks = F.array(*[F.lit(int(n)) for n in cells.blocks])
     in_cell = F.get(blocks, F.col("_cell"))
     left = (
         with_visits(queries, vector, cells, radius, k)
         .withColumn("_block", F.explode(F.sequence(F.lit(0), in_cell - 1)))
-        .withColumn("_part", F.pmod(F.xxhash64(query_key), F.lit(query_blocks)).cast("int"))
+        .withColumn("_part", F.pmod(F.xxhash64(query_key), F.lit(query_parts)).cast("int"))
     )
-    right = (
-        with_home(corpus, vector, cells)
-        .drop("_gap")
-        .withColumn("_block", F.pmod(F.xxhash64(corpus_key), in_cell).cast("int"))
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    )
-    # New column identities, since both sides may come from one table
-    right = right.select(*[F.col(name).alias(name) for name in right.columns])
+    right = corpus_rows(corpus, corpus_key, vector, cells, query_parts)
     group = ["_cell", "_block", "_part"]
 
-    def run(left_table: pa.Table, right_table: pa.Table) -> pa.Table:
-        return work(left_table.drop_columns(group), right_table.drop_columns(group))
+    return stream_past(left, right, group, prepare, work, schema, query_rows)
+
+
+def stream_past(queries: DataFrame, corpus: DataFrame, group: list[str], prepare, work, schema: str, query_rows: int) -> DataFrame:
+    """Run ``work(queries, prepare(corpus rows))`` in each group, queries in slices of at most ``query_rows``.
+
+    ``group`` are whole-number columns of both sides; the other columns of both begin with an underscore. The corpus
+    rows of a group must fit in a task, its queries need not.
+    """
 
-    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(run, schema)
+    def side(rows: DataFrame, mark: str) -> DataFrame:
+        # New column identities, since both sides may come from one table
+        return rows.select(*group, F.lit(mark == "q").alias("_asks"), *[F.col(c).alias(f"{mark}{c}") for c in rows.columns if c not in group])
 
+    both = side(corpus, "c").unionByName(side(queries, "q"), allowMissingColumns=True)
+    together = both.repartition(*group).sortWithinPartitions(*group, "_asks")
 
-def query_block_count(queries: DataFrame, cells: Cells, block_rows: int) -> int:
-    """Enough blocks for bounded tasks; more only where the corpus blocks alone leave cores idle."""
+    def run(batches):
+        last, loaded, ready = None, [], None
+        for batch in batches:
+            marks = np.stack([batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in (*group, "_asks")], axis=1)
+            edges = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
+            for start, end in zip([0, *edges], [*edges, len(marks)], strict=True):
+                if end == start:
+                    continue
+                block, asks = tuple(marks[start, :-1]), bool(marks[start, -1])
+                if block != last:
+                    last, loaded, ready = block, [], None
+                rows = own_columns(batch.slice(start, end - start), "q" if asks else "c")
+                if not asks:
+                    loaded.append(rows)
+                    continue
+                if not loaded:
+                    continue
+                if ready is None:
+                    ready = prepare(pa.Table.from_batches(loaded))
+                for at in range(0, rows.num_rows, query_rows):
+                    found = work(pa.Table.from_batches([rows.slice(at, query_rows)]), ready)
+                    yield from found.combine_chunks().to_batches()
+
+    return together.mapInArrow(run, schema)
+
+
+def corpus_rows(corpus: DataFrame, key: str, vector: str, cells: Cells, query_parts: int) -> DataFrame:
+    """The corpus with cell, block and query part; one row for each query part."""
+    in_cell = F.get(F.array(*[F.lit(int(n)) for n in cells.blocks]), F.col("_cell"))
+    placed = with_home(corpus, vector, cells).drop("_gap").withColumn("_block", F.pmod(F.xxhash64(key), in_cell).cast("int"))
+    if query_parts == 1:
+        return placed.withColumn("_part", F.lit(0))
+    return placed.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))))
+
+
+def own_columns(batch: pa.RecordBatch, mark: str) -> pa.RecordBatch:
+    """The columns of one side of a block task under their own names."""
+    names = [name for name in batch.schema.names if name.startswith(f"{mark}_")]
+    return pa.RecordBatch.from_arrays([batch.column(name) for name in names], names=[name[1:] for name in names])
+
+
+def query_part_count(queries: DataFrame, cells: Cells, part_rows: int = QUERY_PART_ROWS) -> int:
+    """Enough parts for tasks of bounded time; more only where the corpus blocks alone leave cores idle."""
     size = queries.count()
-    cores = queries.sparkSession.sparkContext.defaultParallelism
-    spread = -(-cores // int(cells.blocks.sum()))
-    return max(1, -(-size // block_rows), min(spread, size // 64))
+    return part_count(size, int(cells.blocks.sum()), queries.sparkSession.sparkContext.defaultParallelism, part_rows)
+
+
+def part_count(queries: int, blocks: int, cores: int, part_rows: int = QUERY_PART_ROWS) -> int:
+    return max(1, -(-queries // part_rows), min(-(-cores // blocks), queries // 64))
+
+
+def ranks(*columns: pa.ChunkedArray) -> list[np.ndarray]:
+    """Ids of several columns as places in their common order, so that pairs are compared as numbers."""
+    values = [np.asarray(column.to_pylist(), dtype=object) for column in columns]
+    _, places = np.unique(np.concatenate(values), return_inverse=True)
+    return np.split(places, np.cumsum([len(v) for v in values])[:-1])
 
 
 def scaled_similarity(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -282,13 +345,14 @@ def knn(
         [(left_key, to_arrow_type(query_type)), (right_key, to_arrow_type(match_type)), ("similarity", pa.float64())]
     )
 
-    def best(query_table: pa.Table, corpus_table: pa.Table) -> pa.Table:
-        if query_table.num_rows == 0 or corpus_table.num_rows == 0:
-            return out.empty_table()
+    def load(corpus_table: pa.Table):
         corpus_table = corpus_table.sort_by(right_key)
-        ids, matches = query_table.column(left_key), corpus_table.column(right_key)
-        vectors, others = matrix(query_table.column("_vector")), matrix(corpus_table.column("_vector"))
-        own = np.asarray(matches.to_pylist(), dtype=object) if exclude_same_id else None
+        return corpus_table.column(right_key), matrix(corpus_table.column("_vector"))
+
+    def best(query_table: pa.Table, block) -> pa.Table:
+        matches, others = block
+        ids, vectors = query_table.column(left_key), matrix(query_table.column("_vector"))
+        names, own = ranks(ids, matches) if exclude_same_id else (None, None)
         width = len(others)
         take = min(k, width)
         tables = []
@@ -298,8 +362,7 @@ def knn(
             order = scaled * width + (width - 1 - np.arange(width))
             usable = np.ones(scaled.shape, dtype=bool)
             if own is not None:
-                names = np.asarray(ids.slice(start, len(scaled)).to_pylist(), dtype=object)
-                usable = names[:, None] != own[None, :]
+                usable = names[start : start + CHUNK_ROWS, None] != own[None, :]
                 order[~usable] = -np.iinfo(np.int64).max
             columns = np.argpartition(-order, take - 1, axis=1)[:, :take] if take < width else None
             if columns is None:
@@ -327,11 +390,13 @@ def knn(
         right_key,
         "_vector",
         cells,
-        query_block_count(left, cells, query_block_rows),
+        query_part_count(left, cells),
         None,
         reach,
+        load,
         best,
         f"{left_key} {query_type.simpleString()}, {right_key} {match_type.simpleString()}, similarity double",
+        query_block_rows,
     )
     return (
         found.withColumn("rank", similarity_rank(left_key, right_key))
@@ -383,13 +448,14 @@ def near_duplicates(
     arrow_key = to_arrow_type(key_type)
     out = pa.schema([("_key", arrow_key), ("_lower", arrow_key)])
 
-    def lowest(query_table: pa.Table, corpus_table: pa.Table) -> pa.Table:
-        if query_table.num_rows == 0 or corpus_table.num_rows == 0:
-            return out.empty_table()
+    def load(corpus_table: pa.Table):
         corpus_table = corpus_table.sort_by("_key")
-        ids, others = query_table.column("_key"), corpus_table.column("_key")
-        left, right = matrix(query_table.column("_vector")), matrix(corpus_table.column("_vector"))
-        names, lower = np.asarray(ids.to_pylist(), dtype=object), np.asarray(others.to_pylist(), dtype=object)
+        return corpus_table.column("_key"), matrix(corpus_table.column("_vector"))
+
+    def lowest(query_table: pa.Table, block) -> pa.Table:
+        others, right = block
+        ids, left = query_table.column("_key"), matrix(query_table.column("_vector"))
+        names, lower = ranks(ids, others)
         at, to = [], []
         for start in range(0, len(left), CHUNK_ROWS):
             close = scaled_similarity(left[start : start + CHUNK_ROWS], right) > limit
@@ -409,19 +475,22 @@ def near_duplicates(
         "_key",
         "_vector",
         cells,
-        query_block_count(slim, cells, query_block_rows),
+        query_part_count(slim, cells),
         radius_of(threshold),
         1,
+        load,
         lowest,
         f"_key {name}, _lower {name}",
+        query_block_rows,
     )
     lower = found.groupBy("_key").agg(F.min("_lower").alias("_lower"))
     nonzero = F.exists("_vector", lambda x: x != 0).alias("_nonzero")
-    members = lookup_join(rows, distinct.select("_vector", "_key"), "_vector").select("_id", "_key", nonzero)
+    # Results go to the distinct vectors first, so copies of one vector are met only in the join that keeps them in place
+    known = distinct.select("_vector", "_key").join(lower, "_key", "left")
+    members = lookup_join(rows, known, "_vector").select("_id", "_key", "_lower", nonzero)
     copy_of = F.when((F.col("_id") > F.col("_key")) & F.col("_nonzero") & F.lit(threshold < 1.0), F.col("_key"))
     return (
-        members.join(lower, "_key", "left")
-        .select(F.col("_id").alias(key), F.least(copy_of, "_lower").alias("duplicate_of"))
+        members.select(F.col("_id").alias(key), F.least(copy_of, "_lower").alias("duplicate_of"))
         .where(F.col("duplicate_of").isNotNull())
     )
 

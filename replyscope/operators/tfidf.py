@@ -21,14 +21,14 @@ from pyspark.sql.types import StructType
 from replyscope import fixed_values as fixed
 from replyscope.functions.text import let
 from replyscope.operators.ranking import highest_rows
-from replyscope.operators.similarity import SCALE
+from replyscope.operators.similarity import QUERY_PART_ROWS, SCALE, part_count, stream_past
 from replyscope.session import cut_lineage
 
 WORD = r"[\p{L}\p{N}_]{2,}"
-CORPUS_BLOCK_ROWS = 4096
+CORPUS_BLOCK_ROWS = 65_536
 QUERY_BLOCK_ROWS = 512
-QUERY_CHUNK_ROWS = 16
-CHUNK_WEIGHTS = 500_000
+# Similarities are rounded to SCALE, and sums may differ in their last bits
+MARGIN = 2.0 / SCALE
 
 
 def words(text: Column) -> Column:
@@ -146,6 +146,66 @@ def tfidf(df: DataFrame, key: str, text: str, vocabulary: Vocabulary) -> DataFra
     return each.join(names, "term_id").select(key, "term", "term_id", "weight")
 
 
+@dataclass(frozen=True)
+class Lists:
+    """Inverted lists of a block of texts: for each term the texts that have it, ascending, its weights and the largest of them."""
+
+    starts: np.ndarray
+    texts: np.ndarray
+    weights: np.ndarray
+    largest: np.ndarray
+    n_texts: int
+
+    @classmethod
+    def of(cls, terms_: pa.ListArray, weights: np.ndarray, width: int) -> Lists:
+        numbers = terms_.flatten().to_numpy()
+        owner = np.repeat(np.arange(len(terms_)), terms_.value_lengths().to_numpy(zero_copy_only=False))
+        order = np.argsort(numbers, kind="stable")
+        numbers, owner, weights = numbers[order], owner[order], weights[order]
+        starts = np.searchsorted(numbers, np.arange(width + 1))
+        largest = np.zeros(width)
+        used = np.flatnonzero(starts[1:] > starts[:-1])
+        if len(used):
+            largest[used] = np.maximum.reduceat(weights, starts[used])
+        return cls(starts, owner, weights, largest, len(terms_))
+
+    def winner(self, terms_: np.ndarray, weights: np.ndarray, totals: np.ndarray) -> tuple[int, float]:
+        """(place, similarity) of the most similar text, the first of equal ones.
+
+        Lists are read from the rarest term on, until no text outside them can reach the best one found; the
+        terms left over are looked up only for texts that still can win. ``totals`` is zero work space and is left so.
+        """
+        sizes = self.starts[terms_ + 1] - self.starts[terms_]
+        order = np.argsort(sizes, kind="stable")
+        terms_, weights, sizes = terms_[order], weights[order], sizes[order]
+        # What all terms from here on can add to a text
+        rest = np.append(np.cumsum((weights * self.largest[terms_])[::-1])[::-1], 0.0)
+        best, seen, read = 0.0, [], 0
+        while read < len(terms_) and rest[read] >= best - MARGIN:
+            if sizes[read]:
+                span = slice(self.starts[terms_[read]], self.starts[terms_[read] + 1])
+                at = self.texts[span]
+                totals[at] += weights[read] * self.weights[span]
+                best = max(best, totals[at].max())
+                seen.append(at)
+            read += 1
+        if not seen:
+            return 0, 0.0
+        touched = np.unique(np.concatenate(seen))
+        scores = totals[touched]
+        totals[touched] = 0.0
+        open_ = scores + rest[read] >= best - MARGIN
+        touched, scores = touched[open_], scores[open_]
+        for term, weight in zip(terms_[read:], weights[read:], strict=True):
+            lo, hi = self.starts[term], self.starts[term + 1]
+            if hi > lo:
+                at = np.minimum(np.searchsorted(self.texts[lo:hi], touched), hi - lo - 1)
+                scores += np.where(self.texts[lo:hi][at] == touched, weight * self.weights[lo:hi][at], 0.0)
+        scaled = np.rint(scores * SCALE)
+        top = int(scaled.argmax())
+        return (int(touched[top]), scaled[top] / SCALE) if scaled[top] > 0 else (0, 0.0)
+
+
 def nearest_text(
     queries: DataFrame,
     corpus: DataFrame,
@@ -153,87 +213,53 @@ def nearest_text(
     corpus_key: str,
     width: int = fixed.MAX_FEATURES,
     corpus_block_rows: int = CORPUS_BLOCK_ROWS,
-    query_block_rows: int = QUERY_BLOCK_ROWS,
+    query_part_rows: int = QUERY_PART_ROWS,
 ) -> DataFrame:
     """(query_key, corpus_key, similarity): the most similar corpus row of each query.
 
-    Both inputs come from ``sparse_texts``. Exact: every query block meets every corpus block in
-    a task of bounded size, which returns one row per query; equal similarities go to the lower
-    id. Common terms cost no more than rare ones, as no join on terms is made.
+    Both inputs come from ``sparse_texts``. Exact: a task holds the inverted lists of one block of the corpus, so no
+    list is longer than a block, and queries stream past it, each giving one row; equal similarities go
+    to the lower id. The corpus is copied once for every ``query_part_rows`` queries. Without a common term
+    the similarity is 0 and the row that of the lowest id; an empty corpus gives no rows.
     """
-    parts = max(1, -(-corpus.count() // corpus_block_rows))
-    cores = corpus.sparkSession.sparkContext.defaultParallelism
-    size = queries.count()
-    query_parts = max(1, -(-size // query_block_rows), min(-(-cores // parts), size // 64))
+    blocks = max(1, -(-corpus.count() // corpus_block_rows))
+    parts = part_count(queries.count(), blocks, corpus.sparkSession.sparkContext.defaultParallelism, query_part_rows)
     left = (
-        queries.select(F.col(query_key).alias("_query"), "terms", "weights")
-        .withColumn("_part", F.pmod(F.xxhash64("_query"), F.lit(query_parts)).cast("int"))
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        queries.select(F.col(query_key).alias("_query"), F.col("terms").alias("_terms"), F.col("weights").alias("_weights"))
+        .withColumn("_part", F.pmod(F.xxhash64("_query"), F.lit(parts)).cast("int"))
+        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     )
     right = (
-        corpus.select(F.col(corpus_key).alias("_match"), F.col("terms").alias("terms"), F.col("weights").alias("weights"))
-        .withColumn("_block", F.pmod(F.xxhash64("_match"), F.lit(parts)).cast("int"))
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))))
+        corpus.select(F.col(corpus_key).alias("_match"), F.col("terms").alias("_terms"), F.col("weights").alias("_weights"))
+        .withColumn("_block", F.pmod(F.xxhash64("_match"), F.lit(blocks)).cast("int"))
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     )
     query_type, match_type = left.schema["_query"].dataType, right.schema["_match"].dataType
     out = pa.schema(
         [("_query", to_arrow_type(query_type)), ("_match", to_arrow_type(match_type)), ("similarity", pa.float64())]
     )
 
-    def flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        lists = table.column("terms").combine_chunks()
-        lengths = lists.value_lengths().to_numpy()
-        values = table.column("weights").combine_chunks().flatten().to_numpy()
-        return lists.flatten().to_numpy(), values, lengths
-
-    def best(query_table: pa.Table, corpus_table: pa.Table) -> pa.Table:
-        if query_table.num_rows == 0 or corpus_table.num_rows == 0:
-            return out.empty_table()
-        corpus_table = corpus_table.sort_by("_match")
-        query_terms, query_weights, query_lengths = flat(query_table)
-        terms_, weights, lengths = flat(corpus_table)
-        starts = np.concatenate([[0], np.cumsum(query_lengths)])
-        ends = np.cumsum(lengths)
-        cuts = np.unique(np.searchsorted(ends, np.arange(CHUNK_WEIGHTS, ends[-1], CHUNK_WEIGHTS)))
-        pieces = [piece for piece in np.split(np.arange(len(lengths)), cuts) if len(piece)]
-        winners, values = [], []
-        for start in range(0, query_table.num_rows, QUERY_CHUNK_ROWS):
-            stop = min(start + QUERY_CHUNK_ROWS, query_table.num_rows)
-            dense = np.zeros((stop - start, width))
-            rows = np.repeat(np.arange(stop - start), query_lengths[start:stop])
-            span = slice(starts[start], starts[stop])
-            dense[rows, query_terms[span]] = query_weights[span]
-            scores = np.zeros((stop - start, len(lengths)))
-            for piece in pieces:
-                filled = piece[lengths[piece] > 0]
-                if len(filled):
-                    first = ends[filled[0]] - lengths[filled[0]]
-                    part = slice(first, ends[filled[-1]])
-                    offsets = ends[filled] - lengths[filled] - first
-                    scores[:, filled] = np.add.reduceat(dense[:, terms_[part]] * weights[part], offsets, axis=1)
-            scaled = np.rint(scores * SCALE)
-            winner = scaled.argmax(axis=1)
-            winners.append(winner)
-            values.append(scaled[np.arange(len(winner)), winner] / SCALE)
-        matches = corpus_table.column("_match").take(pa.array(np.concatenate(winners)))
-        return pa.Table.from_arrays(
-            [query_table.column("_query"), matches, pa.array(np.concatenate(values))], schema=out
-        )
-
-    found = (
-        left.groupBy("_block", "_part")
-        .cogroup(right.groupBy("_block", "_part"))
-        .applyInArrow(
-            best,
-            f"_query {query_type.simpleString()}, _match {match_type.simpleString()}, similarity double",
-        )
-    )
-    order = Window.partitionBy("_query").orderBy(F.desc("similarity"), "_match")
-    return (
-        found.withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") == 1)
-        .select(F.col("_query").alias(query_key), F.col("_match").alias(corpus_key), "similarity")
-    )
+    def load(table: pa.Table) -> tuple[pa.ChunkedArray, Lists]:
+        table = table.sort_by("_match")
+        weights = table.column("_weights").combine_chunks().flatten().to_numpy()
+        return table.column("_match"), Lists.of(table.column("_terms").combine_chunks(), weights, width)
+
+    def best(table: pa.Table, block: tuple[pa.ChunkedArray, Lists]) -> pa.Table:
+        matches, lists = block
+        asked = table.column("_terms").combine_chunks()
+        ends = np.cumsum(asked.value_lengths().to_numpy(zero_copy_only=False))
+        numbers, weights = asked.flatten().to_numpy(), table.column("_weights").combine_chunks().flatten().to_numpy()
+        totals = np.zeros(lists.n_texts)
+        found = [lists.winner(numbers[a:b], weights[a:b], totals) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        places, values = zip(*found, strict=True)
+        return pa.Table.from_arrays([table.column("_query"), matches.take(pa.array(places)), pa.array(values, pa.float64())], schema=out)
+
+    kinds = f"_query {query_type.simpleString()}, _match {match_type.simpleString()}, similarity double"
+    found = stream_past(left, right, ["_block", "_part"], load, best, kinds, QUERY_BLOCK_ROWS)
+    if blocks > 1:
+        order = Window.partitionBy("_query").orderBy(F.desc("similarity"), "_match")
+        found = found.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") == 1)
+    return found.select(F.col("_query").alias(query_key), F.col("_match").alias(corpus_key), "similarity")
 
 
 def template_replies(

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,7 +113,7 @@ def test_nearest_text_blocks(spark):
     rows = tfidf.sparse_texts(docs, "thread_id", "text", vocabulary)
     dense = {r.thread_id: dict(zip(r.terms, r.weights)) for r in rows.collect()}
     asked = rows.withColumnRenamed("thread_id", "q")
-    found = tfidf.nearest_text(asked, rows, "q", "thread_id", width=50, corpus_block_rows=16, query_block_rows=16).collect()
+    found = tfidf.nearest_text(asked, rows, "q", "thread_id", width=50, corpus_block_rows=16, query_part_rows=16).collect()
     assert len(found) == 120
     for row in found:
         scores = {d: round(sum(w * other.get(t, 0.0) for t, w in dense[row.q].items()), 6) for d, other in dense.items()}
@@ -124,3 +125,56 @@ def test_nearest_text_blocks(spark):
 def test_template_without_index(spark):
     rows = spark.createDataFrame([("1", "x")], "q string, text string")
     assert tfidf.template_replies(rows, "q", "text", None, None).first().draft_reply.startswith("Please DM us")
+
+
+@pytest.mark.parametrize(("words", "long"), [(40, 12), (300, 40), (8, 3)])
+def test_inverted_lists_find_what_all_products_find(words, long):
+    """Frequent terms, ties, texts without terms: lists left over by the bound change no result."""
+    draw = np.random.default_rng(words)
+    dense = np.zeros((400, words))
+    for row in dense:
+        # Low numbers are frequent
+        at = np.unique((draw.random(draw.integers(0, long + 1)) ** 3 * words).astype(int))
+        row[at] = draw.integers(1, 4, len(at))
+    dense[200:220] = dense[100:120]
+    norms = np.linalg.norm(dense, axis=1, keepdims=True)
+    dense = np.divide(dense, norms, out=np.zeros_like(dense), where=norms > 0)
+    texts, asked = dense[:300], dense[250:]
+    filled = [np.flatnonzero(row) for row in texts]
+    lists = tfidf.Lists.of(pa.array(filled, pa.list_(pa.int32())), np.concatenate([row[at] for row, at in zip(texts, filled)]), words)
+    totals = np.zeros(300)
+    for query in asked:
+        at = np.flatnonzero(query)
+        scaled = np.rint(texts @ query * similarity.SCALE)
+        assert lists.winner(at, query[at], totals) == (scaled.argmax(), scaled.max() / similarity.SCALE)
+        assert not totals.any()
+
+
+def test_rare_terms_spare_the_long_lists():
+    """The long list comes last and is not added up: only its texts that can still win are looked up."""
+    rows = [[0, 1 + i % 5] for i in range(1000)]
+    weights = np.tile([0.1, 0.995], 1000)
+    lists = tfidf.Lists.of(pa.array(rows, pa.list_(pa.int32())), weights, 6)
+
+    class Counted(np.ndarray):
+        reads = 0
+
+        def __getitem__(self, key):
+            if isinstance(key, slice):
+                Counted.reads += key.stop - key.start
+            return super().__getitem__(key)
+
+    counted = tfidf.Lists(lists.starts, lists.texts, lists.weights.view(Counted), lists.largest, 1000)
+    place, found = counted.winner(np.array([0, 3]), np.array([0.1, 0.995]), np.zeros(1000))
+    assert (place, found) == (2, pytest.approx(1.000025, abs=1e-6)) and Counted.reads == 200 + 2 * 1000 - 1000
+
+
+def test_corpus_is_copied_once_for_very_many_queries(spark):
+    vectors = np.random.default_rng(4).normal(size=(900, 6))
+    corpus = make(spark, vectors).select(F.col("id").alias("_match"), F.col("embedding").alias("_vector"))
+    cells = similarity.build_cells(corpus, "_match", "_vector", 1, 64)
+    assert similarity.part_count(200_000, int(cells.blocks.sum()), 8) == 1
+    assert similarity.corpus_rows(corpus, "_match", "_vector", cells, 1).count() == 900
+    # Few blocks on many cores, and more queries than a task lets past
+    assert similarity.part_count(10_000, 1, 8) == 8 and similarity.part_count(similarity.QUERY_PART_ROWS * 3, 100, 8) == 3
+    assert similarity.corpus_rows(corpus, "_match", "_vector", cells, 3).count() == 2700
