@@ -235,10 +235,10 @@ def triage_decisions(spark, sf_dir):
 {THREAD_NEIGHBOURS},
 {PREDICTIONS},
 candidates AS (
-  SELECT c.thread_id, c.customer_text, p.intent, p.confidence, coalesce(n.similarity, 0) AS top_similarity,
+  SELECT c.thread_id, c.customer_text, p.intent, coalesce(p.confidence, 0) AS confidence, coalesce(n.similarity, 0) AS top_similarity,
          CAST(len(regexp_extract_all(c.customer_text, '\\S+')) AS BIGINT) AS word_count,
-         len(regexp_extract_all(c.customer_text, '\\S+')) < 10 OR p.top2_gap < 0.15 OR coalesce(n.similarity, 0) < 0.5 AS is_edge
-  FROM clean c JOIN predictions p ON p.vec_id = c.vec_id LEFT JOIN thread_neighbours n ON n.thread_id = c.thread_id AND n.rank = 1),
+         len(regexp_extract_all(c.customer_text, '\\S+')) < 10 OR coalesce(p.top2_gap, 0) < 0.15 OR coalesce(n.similarity, 0) < 0.5 AS is_edge
+  FROM clean c LEFT JOIN predictions p ON p.vec_id = c.vec_id LEFT JOIN thread_neighbours n ON n.thread_id = c.thread_id AND n.rank = 1),
 edges AS (SELECT * FROM candidates WHERE is_edge ORDER BY md5('42:' || thread_id), thread_id LIMIT 10),
 classes AS (
   SELECT * FROM candidates WHERE thread_id NOT IN (SELECT thread_id FROM edges)
@@ -251,8 +251,6 @@ SELECT thread_id, md5(customer_text) AS digest, intent AS predicted_intent, conf
 def golden_set(spark, sf_dir):
     """Candidates scored, flagged and sampled for labelling; target 50, four per intent."""
     rows = common.clean_threads(spark, sf_dir).withColumn("vec_id", common.vector_id())
-    # The SQL of this query is about predicted threads only
-    rows = rows.join(common.predictions(spark, sf_dir).select("vec_id"), "vec_id", "left_semi")
     scores = rows.select("thread_id", "vec_id").join(common.scores(spark, sf_dir), "vec_id")
     best = common.thread_neighbours(spark, sf_dir).where("rank = 1")
     candidates = jobs.golden_candidates(rows, scores, best)
@@ -270,33 +268,43 @@ def golden_set(spark, sf_dir):
     )
 
 
+def labelled(spark, sf_dir):
+    """(vec_id, human_intent) of every label: that of the vector of the same number, else one by number."""
+    kinds = common.vectors(spark, sf_dir).select("vec_id", "label")
+    golden = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("vec_id")).join(kinds, "vec_id", "left")
+    kind = F.coalesce("label", (F.col("vec_id") % len(common.INTENT_NAMES)).cast("int"))
+    return golden.select("vec_id", common.intent_of(kind).alias("human_intent"))
+
+
 def report(spark, sf_dir):
     number = F.col("vec_id")
-    rows = common.predictions(spark, sf_dir)
-    seen = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("vec_id"), F.lit(True).alias("labelled"))
-    golden = rows.join(seen, "vec_id", "left").select("vec_id", F.when(F.col("labelled"), F.col("truth")).alias("human_intent"))
+    golden = labelled(spark, sf_dir)
     docs = common.documents(spark, sf_dir, "doc_id", "text")
     replies = docs.select(F.col("doc_id").alias("match_id"), F.col("text").alias("brand_reply"))
     retrieved = common.spread(common.neighbours(spark, sf_dir)).join(replies, "match_id")
-    drafts = rows.select("vec_id", "intent", "confidence").join(
-        docs.select(F.col("doc_id").alias("vec_id"), F.col("text").alias("draft_reply")), "vec_id"
+    drafts = common.predictions(spark, sf_dir).select("vec_id", "intent", "confidence").join(
+        docs.select(F.col("doc_id").alias("vec_id"), F.col("text").alias("draft_reply")), "vec_id", "left"
     )
     scores = [(number % step + 1).cast("int").alias(name) for step, name in zip((5, 4, 3, 2), fixed.JUDGE_DIMENSIONS)]
     total = sum((F.col(name) for name in fixed.JUDGE_DIMENSIONS[1:]), F.col(fixed.JUDGE_DIMENSIONS[0]))
-    judged = rows.select("vec_id", *scores).withColumns(
+    judged = golden.select("vec_id", *scores).withColumns(
         {
             "average": F.bround(total / F.lit(4.0), 2),
             "human_judge_score": F.when(number % 3 == 0, (number % 4 + 1).cast("int")),
         }
     )
-    labelled = golden.where(F.col("human_intent").isNotNull())
-    trivial = classify.majority_baseline(labelled, "human_intent", labelled.select("vec_id"))
+    trivial = classify.majority_baseline(golden, "human_intent", golden.select("vec_id"))
     return jobs.evaluation_report(golden, drafts, retrieved, judged, key="vec_id", baselines={"trivial": trivial})
 
 
 EVALUATED = f"""{PREDICTIONS},
-kept AS (SELECT p.* FROM predictions p JOIN documents d ON d.doc_id = p.vec_id WHERE p.vec_id IN (SELECT doc_id FROM labels)),
-seen AS (SELECT truth AS label FROM kept UNION SELECT intent FROM kept),
+truths AS (
+  SELECT l.doc_id AS vec_id, {common.NAMES}[coalesce(e.label, l.doc_id % {len(common.INTENT_NAMES)}) + 1] AS truth
+  FROM labels l LEFT JOIN embeddings e ON e.vec_id = l.doc_id),
+kept AS (
+  SELECT t.vec_id, t.truth, p.intent, coalesce(p.confidence, 0) AS confidence, coalesce(t.truth = p.intent, false) AS correct
+  FROM truths t LEFT JOIN predictions p ON p.vec_id = t.vec_id),
+seen AS (SELECT truth AS label FROM kept UNION SELECT intent FROM kept WHERE intent IS NOT NULL),
 report AS (
   SELECT s.label, count(*) FILTER (WHERE x.truth = s.label AND x.intent = s.label) AS tp,
          count(*) FILTER (WHERE x.intent = s.label) AS predicted, count(*) FILTER (WHERE x.truth = s.label) AS support
