@@ -2,7 +2,8 @@
 
 Each layer is scanned like the text itself. Percent escapes, backslash-u escapes, base64 and
 compressed data inside a layer make further layers, until no new one appears; a layer whose
-content was seen on the way down is not opened again. Every layer maps its characters to spans
+content was seen on the way down is not opened again. An escape that was itself escaped three times or more
+is opened to its end at once, so layers stay few. Every layer maps its characters to spans
 of the text, so a finding deep inside is reported at the place that holds it. Decoded bytes need
 not be text: bytes outside UTF-8 become lone surrogates, which no pattern holds.
 """
@@ -10,7 +11,6 @@ not be text: bytes outside UTF-8 become lone surrogates, which no pattern holds.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -34,8 +34,11 @@ ACCESS_RE = re.compile(ACCESS)
 # Runs are maximal either way, so the length can stand in the pattern
 HEX_RE = re.compile(r"[0-9a-f]{%d,}" % HEX_LEAST)
 KEYWORD = "(?i)passw(or)?d|secret|token|api_?key"
-PERCENT_RE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE_RE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+")
+# One escape; an escape of an escape, three deep or deeper, is one too, so that depth costs no layers
+PERCENT_ONE = re.compile(r"%(?:(?:25){3,}(?=[0-9A-Fa-f]{2}))?([0-9A-Fa-f]{2})")
+UNICODE_ONE = re.compile(r"\\u(?:(?:005[cC]u){3,}(?=[0-9A-Fa-f]{4}))?([0-9A-Fa-f]{4})")
+PERCENT_RE = re.compile(r"(?:%(?:(?:25){3,}(?=[0-9A-Fa-f]{2}))?[0-9A-Fa-f]{2})+")
+UNICODE_RE = re.compile(r"(?:\\u(?:(?:005[cC]u){3,}(?=[0-9A-Fa-f]{4}))?[0-9A-Fa-f]{4})+")
 LEAST_BASE64 = 20
 LINE_RE = re.compile("[A-Za-z0-9+/_-]+")
 # Long lines and the line after them, whatever its length
@@ -117,21 +120,23 @@ def unescape(layer: Layer, pattern: re.Pattern, decoded) -> Layer | None:
 
 def percent_pieces(run: str) -> list[tuple[str, int, int]]:
     """Characters of a run of percent escapes with their places; a byte outside UTF-8 stays one character."""
-    raw, out, at = binascii.unhexlify(run.replace("%", "")), [], 0
+    escapes = list(PERCENT_ONE.finditer(run))
+    raw, out, at = bytes(int(escape[1], 16) for escape in escapes), [], 0
     for char in raw.decode("utf-8", "surrogateescape"):
         size = 1 if "\udc80" <= char <= "\udcff" else len(char.encode())
-        out.append((char, at * 3, (at + size) * 3))
+        out.append((char, escapes[at].start(), escapes[at + size - 1].end()))
         at += size
     return out
 
 
 def unicode_pieces(run: str) -> list[tuple[str, int, int]]:
     """Characters of a run of backslash-u escapes; a surrogate pair is one character."""
-    units, out, at = [int(part, 16) for part in run.split("\\u")[1:]], [], 0
+    escapes = list(UNICODE_ONE.finditer(run))
+    units, out, at = [int(escape[1], 16) for escape in escapes], [], 0
     while at < len(units):
         pair = 0xD800 <= units[at] < 0xDC00 and at + 1 < len(units) and 0xDC00 <= units[at + 1] < 0xE000
         code = 0x10000 + ((units[at] - 0xD800) << 10) + units[at + 1] - 0xDC00 if pair else units[at]
-        out.append((chr(code), at * 6, (at + 1 + pair) * 6))
+        out.append((chr(code), escapes[at].start(), escapes[at + pair].end()))
         at += 1 + pair
     return out
 

@@ -326,3 +326,25 @@ def test_arrow_passes_keep_every_row_of_a_batch_larger_than_a_slice(spark, monke
     found = rows_module.map_batches(numbered, ["id"], ["id"], "n bigint", work).collect()
     assert sorted(row.id for row in found) == list(range(100))
     assert max(row.n for row in found) <= 7
+
+
+@pytest.mark.parametrize(("head", "again", "tail"), [("%", "25", "41"), ("\\u", "005cu", "0041"), ("%", "25", "zz"), ("\\u", "005Cu", "zzzz")])
+def test_escapes_of_escapes_take_linear_work(monkeypatch, head, again, tail):
+    """However deep, few layers are made, each no longer than the text."""
+    made = []
+    layer = secret_scan.Layer.__init__
+    monkeypatch.setattr(secret_scan.Layer, "__init__", lambda self, text, *rest: (made.append(len(text)), layer(self, text, *rest))[1])
+    text = f"{head}{again * 50_000}{tail} password=Abcdef1234567890"
+    _, spans = secret_scan.scan_text(text, 1 << 24)
+    assert (len(text) - 25, 0, len(text)) in spans
+    assert len(made) < 10 and sum(made) < 3 * len(text)
+
+
+@pytest.mark.parametrize("depth", range(9))
+def test_deeply_escaped_secrets_are_found(depth):
+    secret = "password=Abcdef1234567890"
+    percent = "".join("%" + "25" * depth + f"{ord(c):02X}" for c in secret)
+    uni = "".join("\\u" + "005cu" * depth + f"{ord(c):04x}" for c in secret)
+    for text in (percent, uni):
+        _, spans = secret_scan.scan_text(f"see {text} there", 1 << 24)
+        assert (4, 0, 4 + len(text)) in spans
