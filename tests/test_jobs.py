@@ -111,3 +111,14 @@ def test_session_helpers(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 4
     assert spread(spark.range(10).repartition(9)).rdd.getNumPartitions() == 9
+
+
+def test_csv_keeps_line_breaks_quotes_and_nulls(spark, tmp_path):
+    from replyscope.sources.sinks import read_csv, write_csv
+
+    rows = [("1", 'a "quoted" line\nand, another\r\nend'), ("2", ""), ("3", None), ("4", " plain ")]
+    schema = "thread_id string, text string"
+    write_csv(spark.createDataFrame(rows, schema), f"{tmp_path}/t")
+    back = {row["thread_id"]: row["text"] for row in read_csv(spark, f"{tmp_path}/t", schema).collect()}
+    assert len(back) == 4 and back["2"] == "" and back["3"] is None
+    assert back["1"].split() == rows[0][1].split() and "\n" in back["1"]
