@@ -212,24 +212,33 @@ def labelled_projection(spark, sf_dir):
     )
 
 
-LANGUAGE = """grams AS (
+def sql_profiles(taught: str = "true") -> str:
+    """Trigrams of all documents and the language profiles of those that are ``taught``."""
+    return f"""grams AS (
   SELECT doc_id, lang, substring(t, CAST(i AS BIGINT), 3) AS gram
   FROM (SELECT doc_id, lang, lower(text) AS t, unnest(range(1, length(text) - 1)) AS i FROM documents)),
-counted AS (SELECT lang, gram, count(*) AS n FROM grams GROUP BY 1, 2),
+counted AS (SELECT lang, gram, count(*) AS n FROM grams WHERE {taught} GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS r FROM counted),
 profile AS (SELECT lang, gram, n, sum(n) OVER (PARTITION BY lang) AS total FROM ranked WHERE r <= 1000),
-floors AS (SELECT lang, ln(1.0 / (max(total) + 1000)) AS low FROM profile GROUP BY 1),
-found AS (
-  SELECT g.doc_id, p.lang, sum(ln((p.n + 1.0) / (p.total + 1000)) - f.low) AS gain
-  FROM (SELECT doc_id, gram FROM grams) g JOIN profile p ON p.gram = g.gram JOIN floors f ON f.lang = p.lang GROUP BY 1, 2),
-sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
+floors AS (SELECT lang, ln(1.0 / (max(total) + 1000)) AS low FROM profile GROUP BY 1)"""
+
+
+def sql_detected(key: str, grams: str) -> str:
+    """``detected``: the language of each text whose trigrams are rows of the table ``grams``."""
+    return f"""found AS (
+  SELECT g.{key}, p.lang, sum(ln((p.n + 1.0) / (p.total + 1000)) - f.low) AS gain
+  FROM (SELECT {key}, gram FROM {grams}) g JOIN profile p ON p.gram = g.gram JOIN floors f ON f.lang = p.lang GROUP BY 1, 2),
+sizes AS (SELECT {key}, count(*) AS n FROM {grams} GROUP BY 1),
 totals AS (
-  SELECT s.doc_id, f.lang, s.n * f.low + coalesce(x.gain, 0) AS score
-  FROM sizes s JOIN floors f ON true LEFT JOIN found x ON x.doc_id = s.doc_id AND x.lang = f.lang
-  WHERE s.doc_id IN (SELECT doc_id FROM found)),
+  SELECT s.{key}, f.lang, s.n * f.low + coalesce(x.gain, 0) AS score
+  FROM sizes s JOIN floors f ON true LEFT JOIN found x ON x.{key} = s.{key} AND x.lang = f.lang
+  WHERE s.{key} IN (SELECT {key} FROM found)),
 detected AS (
-  SELECT doc_id, lang AS detected FROM (
-    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) AS r FROM totals) WHERE r = 1)"""
+  SELECT {key}, lang AS detected FROM (
+    SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY score DESC, lang) AS r FROM totals) WHERE r = 1)"""
+
+
+LANGUAGE = f"{sql_profiles()},\n{sql_detected('doc_id', 'grams')}"
 
 
 def detected_documents(spark, sf_dir):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from replyscope import fixed_values as fixed
 from replyscope.functions import gate, guardrails, prompts
+from replyscope.functions.language import keep_language
 from replyscope.functions.model_output import batch_labels, label_in_answer
 from replyscope.functions.overlap import groundedness
 from replyscope.functions.redaction import redact, redact_columns, redact_turns
@@ -118,13 +119,23 @@ def weak_labels(
     order: str,
     text: str = "text",
     batch_size: int = fixed.LABEL_BATCH,
+    n_samples: int | None = None,
+    key: str = "tweet_id",
+    detect: Callable[[Column], Column] | None = None,
+    seed: int = fixed.RANDOM_SEED,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(labelled rows, statistics, distribution) of messages labelled in batches by a model.
 
-    ``answer`` maps (batch, texts, prompt) to (batch, raw), the raw model answers. Texts are redacted
-    before they enter a prompt; the labelled rows keep their own.
+    ``n_samples`` draws a seeded sample first; ``detect`` then gives the language of a text, and only
+    English messages and those of unknown language are asked about. ``answer`` maps (batch, texts,
+    prompt) to (batch, raw), the raw model answers. Texts are redacted before they enter a prompt; the
+    labelled rows keep their own.
     """
-    batched = cut_lineage(in_batches(messages, order, batch_size))
+    chosen = hash_sample(messages, key, n_samples, seed)
+    if detect is not None:
+        filled = F.coalesce(F.col(text), F.lit(""))
+        chosen = cut_lineage(keep_language(chosen.withColumn("_language", detect(filled)), "_language").drop("_language"))
+    batched = cut_lineage(in_batches(chosen, order, batch_size))
     asked = batch_texts(batched.withColumn(text, redact(F.col(text))), text).withColumn("prompt", prompts.labelling_prompt(F.col("texts")))
     labelled = cut_lineage(batch_labels(answer(asked), batched))
     valid = known_intents(labelled)
