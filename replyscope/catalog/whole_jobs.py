@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from replyscope import fixed_values as fixed
-from replyscope.catalog import common
+from replyscope.catalog import common, models  # noqa: F401  (models registers the SQL of density_clusters)
 from replyscope.catalog.aggregates import STATS
 from replyscope.catalog.common import CLEAN, PREDICTIONS, THREAD_NEIGHBOURS, THREADS, query, sql_redact, sql_text, table
 from replyscope.catalog.texts import BATCHED, CONFIGURED, FIRST_NAME, label_answers
 from replyscope.operators import classify, similarity, threads
 from replyscope.operators.encoder import encode, fit_encoder
 from replyscope.operators.ranking import hash_sample
+from replyscope.operators.sampling import stratified_split
 from replyscope.plans import jobs
 from replyscope.session import scratch_path
 from replyscope.sources.messages import conversations_to_messages
@@ -75,6 +76,20 @@ def prepared_threads(spark, sf_dir):
     )
 
 
+DENSITY = dict(similarity=0.38, min_samples=3, min_cluster_size=4)
+
+
+@query(
+    "discovered_density_clusters",
+    f"""SELECT x.vec_id, x.cluster, e.label FROM ({common.ORACLES["density_clusters"]}) x JOIN embeddings e ON e.vec_id = x.vec_id
+QUALIFY row_number() OVER (PARTITION BY x.cluster ORDER BY md5('42:' || x.vec_id), x.vec_id) <= 10""",
+)
+def discovered_density_clusters(spark, sf_dir):
+    """Up to ten sample rows of each dense region, and of the noise."""
+    _, _, samples = jobs.discover_clusters(common.vectors(spark, sf_dir), "vec_id", method="density", **DENSITY)
+    return samples.select("vec_id", "cluster", "label")
+
+
 @query("discovered_clusters")
 def discovered_clusters(spark, sf_dir):
     """Seeded sample, KMeans and up to ten sample rows per cluster."""
@@ -276,7 +291,18 @@ def labelled(spark, sf_dir):
     return golden.select("vec_id", common.intent_of(kind).alias("human_intent"))
 
 
-def report(spark, sf_dir):
+def simple_answers(spark, sf_dir, golden):
+    """The simple baseline for all labels: a classifier taught by the larger part of them, and template replies."""
+    docs = common.documents(spark, sf_dir, "doc_id", "text").withColumnRenamed("doc_id", "vec_id")
+    rows = golden.join(docs, "vec_id")
+    train, _ = stratified_split(rows, "vec_id", "human_intent")
+    model = classify.fit_text_classifier(train, "vec_id", "text", "human_intent")
+    replies = rows.select("vec_id", F.lit(fixed.CANNED_REPLY).alias("draft_reply"))
+    return classify.simple_baseline(model, rows, "vec_id", "text", replies)
+
+
+def report(spark, sf_dir, simple=False):
+    """The report of all labels, next to the majority class and, if wanted, the simple baseline."""
     number = F.col("vec_id")
     golden = labelled(spark, sf_dir)
     docs = common.documents(spark, sf_dir, "doc_id", "text")
@@ -294,7 +320,10 @@ def report(spark, sf_dir):
         }
     )
     trivial = classify.majority_baseline(golden, "human_intent", golden.select("vec_id"))
-    return jobs.evaluation_report(golden, drafts, retrieved, judged, key="vec_id", baselines={"trivial": trivial})
+    baselines = {"trivial": trivial}
+    if simple:
+        baselines["simple"] = simple_answers(spark, sf_dir, golden)
+    return jobs.evaluation_report(golden, drafts, retrieved, judged, key="vec_id", baselines=baselines)
 
 
 EVALUATED = f"""{PREDICTIONS},
@@ -371,8 +400,8 @@ def evaluation_report(spark, sf_dir):
 
 @query("evaluation_report_nested")
 def evaluation_report_nested(spark, sf_dir):
-    """The whole report as one nested row."""
-    return jobs.nested_report(report(spark, sf_dir)).select(F.to_json("report").alias("report"))
+    """The whole report with both baselines as one nested row."""
+    return jobs.nested_report(report(spark, sf_dir, simple=True)).select(F.to_json("report").alias("report"))
 
 
 @query(

@@ -1,4 +1,4 @@
-"""ROUGE-L overlap of reply pairs: longest common subsequence of word tokens, without stemming."""
+"""ROUGE-L overlap of reply pairs: longest common subsequence of stemmed word tokens."""
 
 from __future__ import annotations
 
@@ -9,7 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from replyscope.functions.stemming import stem
+
 TOKEN = re.compile(r"[a-z0-9]+")
+# Fixed value: shorter words are compared as they are
+LONGEST_UNSTEMMED = 3
+
+
+def tokens(text: str | None) -> list[str]:
+    """Lower-case words of a text, the longer ones as stems."""
+    return [stem(word) if len(word) > LONGEST_UNSTEMMED else word for word in TOKEN.findall((text or "").lower())]
 
 
 def common_subsequence(left: list[str], right: list[str]) -> int:
@@ -30,8 +39,7 @@ def rouge_l(references: pd.Series, drafts: pd.Series) -> pd.Series:
     """F-measure of the common subsequence of reference and draft."""
 
     def score(reference: str, draft: str) -> float:
-        wanted = TOKEN.findall((reference or "").lower())
-        given = TOKEN.findall((draft or "").lower())
+        wanted, given = tokens(reference), tokens(draft)
         if not wanted or not given:
             return 0.0
         shared = common_subsequence(wanted, given)

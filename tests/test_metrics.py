@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from replyscope.functions.overlap import common_subsequence, groundedness
+from replyscope.functions.stemming import stem
 from replyscope.operators import calibration, metrics
 
 
@@ -56,6 +57,32 @@ def test_groundedness(spark):
     assert found[1] == 1.0 and found[2] == 0.0 and found[3] == pytest.approx((4 / 7 + 1.0) / 2)
 
 
+# Examples that come with the published rules
+STEMS = """caresses caress ponies poni cats cat feed feed agreed agre plastered plaster bled bled motoring motor sing sing conflated conflat
+troubled troubl sized size hopping hop tanned tan falling fall hissing hiss fizzed fizz failing fail filing file happy happi relational relat
+conditional condit rational ration valenci valenc hesitanci hesit digitizer digit conformabli conform radicalli radic differentli differ
+vileli vile analogousli analog vietnamization vietnam predication predic operator oper feudalism feudal decisiveness decis hopefulness hope
+callousness callous formaliti formal sensitiviti sensit sensibiliti sensibl triplicate triplic formative form formalize formal electriciti electr
+electrical electr hopeful hope goodness good revival reviv allowance allow inference infer airliner airlin gyroscopic gyroscop adjustable adjust
+defensible defens irritant irrit replacement replac adjustment adjust dependent depend adoption adopt homologou homolog communism commun
+activate activ angulariti angular homologous homolog effective effect bowdlerize bowdler probate probat rate rate cease ceas controll control
+roll roll dies die died die flies fli enjoy enjoy skies sky using use as as"""
+
+
+def test_stems():
+    words = STEMS.split()
+    assert [(word, stem(word)) for word in words[::2]] == list(zip(words[::2], words[1::2]))
+    assert stem("") == "" and stem("ion") == "ion" and stem("12345") == "12345"
+
+
+def test_groundedness_compares_stems(spark):
+    drafts = spark.createDataFrame([(1, "we refunded your returns"), (2, "the sees")], "id int, draft_reply string")
+    known = spark.createDataFrame([(1, "We refund your return"), (2, "the see")], "id int, brand_reply string")
+    found = {r.id: r.groundedness for r in groundedness(drafts, known, "id").collect()}
+    # Words of three letters stay: see is the stem of sees all the same
+    assert found == {1: 1.0, 2: 1.0}
+
+
 def test_common_subsequence_against_table():
     rng = np.random.default_rng(1)
     for _ in range(60):
