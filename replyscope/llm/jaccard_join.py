@@ -39,6 +39,8 @@ SLAB_SHINGLES = 4096
 BROADCAST_ROWS = 500_000
 # Buckets of lists hold the entries of about this many shingles each
 BUCKET_SHINGLES = 1 << 20
+# List entries that a task makes at a time
+ENTRIES_AT_ONCE = 1 << 19
 # The bitmap of shared lists has 2^MOST_BITS bits (16 MB) at most
 MOST_BITS = 27
 # Texts are hashed in stretches of about this many bytes
@@ -266,10 +268,13 @@ def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def task_sets(batches: Iterator[pa.RecordBatch], light: int, words: int, similarity) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(lists, set ids) of the texts of each batch. A set that the task has met before is left out."""
+    """(lists, set ids) of the texts of a task, some ``ENTRIES_AT_ONCE`` at a time. A set that the task has met before is left out.
+
+    A batch of texts has many more entries than bytes, so it is never turned into entries as a whole.
+    """
     met: set[int] = set()
+    lists, names, waiting = [], [], 0
     for batch in batches:
-        lists, names = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for raw in text_bytes(batch):
             members = shingles(raw.as_py(), words)
             name = set_name(members) if len(members) else None
@@ -280,6 +285,11 @@ def task_sets(batches: Iterator[pa.RecordBatch], light: int, words: int, similar
             met.add(name)
             lists.append(list_keys(members, light, similarity))
             names.append(np.full(len(lists[-1]), name, dtype=np.int64))
+            waiting += len(lists[-1])
+            if waiting >= ENTRIES_AT_ONCE:
+                yield np.concatenate(lists), np.concatenate(names)
+                lists, names, waiting = [], [], 0
+    if lists:
         yield np.concatenate(lists), np.concatenate(names)
 
 
