@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.llm.rows import map_batches, stored, text_bytes
+from replyscope.llm.rows import ROWS_AT_ONCE, map_batches, stored, text_bytes
 from replyscope.session import cut_lineage
 
 WORDS = 3
@@ -39,8 +39,9 @@ SLAB_SHINGLES = 4096
 BROADCAST_ROWS = 500_000
 # Buckets of lists hold the entries of about this many shingles each
 BUCKET_SHINGLES = 1 << 20
-# List entries that a task makes at a time
-ENTRIES_AT_ONCE = 1 << 19
+# List entries that a task makes at a time, and entries of a bucket that it gathers before it drops the inner ones of long lists
+ENTRIES_AT_ONCE = 1 << 17
+BUCKET_ENTRIES = 1 << 20
 # The bitmap of shared lists has 2^MOST_BITS bits (16 MB) at most
 MOST_BITS = 27
 # Texts are hashed in stretches of about this many bytes
@@ -267,6 +268,14 @@ def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), ["text"], ["doc_id"], "n_shingles bigint, set_id bigint", work)
 
 
+def task_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+    """The texts of a task, of which few are copied at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            for raw in text_bytes(batch.slice(start, ROWS_AT_ONCE)):
+                yield raw.as_py()
+
+
 def task_sets(batches: Iterator[pa.RecordBatch], light: int, words: int, similarity) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(lists, set ids) of the texts of a task, some ``ENTRIES_AT_ONCE`` at a time. A set that the task has met before is left out.
 
@@ -274,21 +283,20 @@ def task_sets(batches: Iterator[pa.RecordBatch], light: int, words: int, similar
     """
     met: set[int] = set()
     lists, names, waiting = [], [], 0
-    for batch in batches:
-        for raw in text_bytes(batch):
-            members = shingles(raw.as_py(), words)
-            name = set_name(members) if len(members) else None
-            if name is None or name in met:
-                continue
-            if len(met) >= 1_000_000:
-                met.clear()
-            met.add(name)
-            lists.append(list_keys(members, light, similarity))
-            names.append(np.full(len(lists[-1]), name, dtype=np.int64))
-            waiting += len(lists[-1])
-            if waiting >= ENTRIES_AT_ONCE:
-                yield np.concatenate(lists), np.concatenate(names)
-                lists, names, waiting = [], [], 0
+    for raw in task_texts(batches):
+        members = shingles(raw, words)
+        name = set_name(members) if len(members) else None
+        if name is None or name in met:
+            continue
+        if len(met) >= 1_000_000:
+            met.clear()
+        met.add(name)
+        lists.append(list_keys(members, light, similarity))
+        names.append(np.full(len(lists[-1]), name, dtype=np.int64))
+        waiting += len(lists[-1])
+        if waiting >= ENTRIES_AT_ONCE:
+            yield np.concatenate(lists), np.concatenate(names)
+            lists, names, waiting = [], [], 0
     if lists:
         yield np.concatenate(lists), np.concatenate(names)
 
@@ -328,21 +336,31 @@ def shared_lists(docs: DataFrame, light: int, words: int, similarity, n_shingles
             yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "lists", "names"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, []
+        last, held, waiting, most = None, [], 0, BUCKET_ENTRIES
+
+        def ends() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return lowest_and_highest(*(np.frombuffer(b"".join(part), dtype=np.int64) for part in zip(*held, strict=True)))
 
         def shared() -> pa.RecordBatch:
-            lists, names = (np.frombuffer(b"".join(part), dtype=np.int64) for part in zip(*held, strict=True))
-            lists, low, high = lowest_and_highest(lists, names)
+            lists, low, high = ends()
             more = low != high
             return pa.RecordBatch.from_arrays([pa.array(lists[more]), pa.array(low[more])], names=["list", "centre"])
 
         for batch in batches:
-            for bucket, *packed in zip(*(batch.column(n).to_pylist() for n in ("bucket", "lists", "names")), strict=True):
+            for bucket, *packed in zip(*(batch.column(n) for n in ("bucket", "lists", "names")), strict=True):
+                bucket, packed = bucket.as_py(), [part.as_py() for part in packed]
                 if bucket != last and held:
                     yield shared()
-                    held = []
+                    held, waiting, most = [], 0, BUCKET_ENTRIES
                 last = bucket
                 held.append(packed)
+                waiting += len(packed[0]) // 8
+                if waiting > most:
+                    lists, low, high = ends()
+                    more = low != high
+                    held = [[np.concatenate(pair).tobytes() for pair in ((lists, lists[more]), (low, high[more]))]]
+                    waiting = len(held[0][0]) // 8
+                    most = max(BUCKET_ENTRIES, 2 * waiting)
         if held:
             yield shared()
 

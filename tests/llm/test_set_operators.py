@@ -85,7 +85,17 @@ def test_components_of_the_documents(spark):
     assert sorted(tuple(r) for r in found) == plain_components(rows)
 
 
-def test_linked_sets_share_a_list():
+@pytest.mark.parametrize("pieces", [1, 50])
+def test_components_from_small_pieces(spark, monkeypatch, pieces):
+    """Buckets that drop the inner entries of long lists again and again lose no link."""
+    monkeypatch.setattr(jaccard_join, "BUCKET_ENTRIES", pieces)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    found = jaccard_join.near_duplicates(docs.repartition(7)).collect()
+    assert sorted(tuple(r) for r in found) == plain_components(rows)
+
+
+def test_sets_at_the_limit_share_a_list():
     """For every pair of sizes and every boundary: sets as different as links allow still meet in one list."""
     draw = np.random.default_rng(3)
     for light in (0, 8, 19, 30):
