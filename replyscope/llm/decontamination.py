@@ -2,7 +2,8 @@
 
 The windows of all benchmark items are hashed into a bitmap of bounded size. Every window of a
 document is looked up there inside its row; the few that meet a set bit are then compared, word by
-word, with the windows themselves. All of it is built-in column expressions.
+word, with the windows themselves. What a text holds depends on the text alone, so the result is kept
+per digest of a text and looked up by each row. All of it is built-in column expressions.
 """
 
 from __future__ import annotations
@@ -14,10 +15,14 @@ from replyscope.llm import fixed_values as fixed
 from replyscope.llm.rows import sha256_of, stored
 
 WINDOW = 13
-# The bitmap has 2^12 bits at least and 2^24 (2 MB) at most; a fuller one only lets more windows through to the comparison
-LEAST_BITS, MOST_BITS = 1 << 12, 1 << 24
+# A bitmap has 2^12 bits at least, and 32 for each window; all together have 2^26 (8 MB) at most. Fuller ones only let more
+# windows through to the comparison
+LEAST_BITS, MOST_BITS = 1 << 12, 1 << 26
 # Windows up to this number are broadcast for the comparison: at most some 100 MB
 BROADCAST_WINDOWS = 500_000
+# Results of texts with benchmark windows are broadcast up to about this size
+BROADCAST_BYTES = 32 << 20
+NEW = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hits"]
 
 
 def words_of(text: Column) -> Column:
@@ -94,64 +99,102 @@ def covered_words(hits: Column) -> Column:
     return F.aggregate(hits, zero, add, lambda state: state["n"])
 
 
-def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, keep: list[str] | None = None
-) -> DataFrame:
-    """Words of every document that stand inside an occurrence of a benchmark window.
+def bits_of(counts: dict[int, int]) -> dict[int, int]:
+    """Size of the bitmap of each window length, a power of two that grows with its windows; ``MOST_BITS`` together."""
+    bits = {length: max(LEAST_BITS, 1 << (32 * n - 1).bit_length()) for length, n in counts.items()}
+    while sum(bits.values()) > MOST_BITS:
+        bits[max(bits, key=bits.get)] //= 2
+    return bits
 
-    Adds ``n_words``, ``n_hit``, ``n_items`` (items with occurring windows), ``items_sha256``,
-    ``contaminated`` (hit words are at least 1 / ``share`` of the words) and ``hits`` (at, length) to the
-    columns ``keep`` of ``docs``; a column with one of these names is replaced. Null and empty texts have
-    no words and are clean; repeated rows are judged one by one; an empty benchmark hits nothing; items
-    without an id hit words but are not counted. Only candidate windows and one small row per document
-    are shuffled, so neither a long text nor a passage that many documents share gathers anywhere.
+
+def text_key(text: Column) -> Column:
+    """Digest by which rows find the result of their text; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """key, hits, n_hit, n_items and items_sha256 of every different text with an occurrence of a benchmark window.
+
+    Candidate windows of equal texts become one before anything is gathered, so a text that very many rows repeat is
+    compared once. No text is shuffled, only digests and candidate windows.
     """
-    new = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hits"]
-    kept = [name for name in (docs.columns if keep is None else keep) if name not in new]
     windows = stored(benchmark_windows(benchmark, window), "windows")
     counts = {row["length"]: row["n"] for row in windows.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    total = sum(counts.values())
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (32 * total).bit_length()))
+    bits = bits_of(counts)
     words = F.col("_words")
-    tokens = docs.select(*kept, F.monotonically_increasing_id().alias("_row"), words_of(F.col("text")).alias("_words"))
-    if not counts:
-        none = F.array().cast("array<struct<at:int,length:int,gram:string>>")
-    found = [hit_places(words, bitmap_of(windows, length, bits), length, bits) for length in sorted(counts)]
-    candidates = F.concat(*found) if found else none
-    scanned = tokens.select(*kept, "_row", F.size("_words").cast("long").alias("n_words"), candidates.alias("_found"))
-    # One row per document, and one per candidate window; what the row carries is not repeated
-    facts = scanned.select("_row", F.struct(*kept, "n_words").alias("_doc"), "_found")
-    each = facts.select("_row", F.posexplode_outer("_found").alias("_n", "_hit"), F.col("_doc"))
-    each = each.select("_row", F.when(F.coalesce("_n", F.lit(0)) == 0, F.col("_doc")).alias("_doc"), "_hit")
+    found = [hit_places(words, bitmap_of(windows, length, bits[length]), length, bits[length]) for length in sorted(counts)]
+    candidates = F.concat(*found) if found else F.array().cast("array<struct<at:int,length:int,gram:string>>")
+    tokens = docs.select(text_key(F.col("text")).alias("key"), words_of(F.col("text")).alias("_words"))
+    scanned = tokens.select("key", candidates.alias("found"))
+    # An outer explode, as from an inner one a filter is inferred that computes the candidates a second time
+    each = scanned.select("key", F.explode_outer("found").alias("hit")).where(F.col("hit").isNotNull()).distinct()
     known = windows.select("gram", "item_ids")
-    known = F.broadcast(known) if total <= BROADCAST_WINDOWS else known
-    checked = each.withColumn("gram", F.col("_hit.gram")).join(known, "gram", "left")
-    spans = F.collect_list(F.when(F.col("item_ids").isNotNull(), F.struct("_hit.at", "_hit.length")))
-    ids = F.array_distinct(F.flatten(F.collect_list("item_ids")))
-    merged = checked.groupBy("_row").agg(
-        F.max_by("_doc", F.col("_doc").isNotNull()).alias("_doc"), F.array_sort(spans).alias("hits"), F.array_sort(ids).alias("_ids")
+    known = F.broadcast(known) if sum(counts.values()) <= BROADCAST_WINDOWS else known
+    checked = each.select("key", "hit", F.col("hit.gram").alias("gram")).join(known, "gram")
+    merged = checked.groupBy("key").agg(
+        F.array_sort(F.collect_set(F.struct("hit.at", "hit.length"))).alias("hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("_ids"),
     )
-    counted = merged.select(
-        *(F.col("_doc")[name].alias(name) for name in [*kept, "n_words"]),
+    return merged.select(
+        "key",
+        "hits",
         covered_words(F.col("hits")).cast("long").alias("n_hit"),
         F.size("_ids").cast("long").alias("n_items"),
         sha256_of(F.array_join("_ids", ",")).alias("items_sha256"),
-        "hits",
     )
-    contaminated = (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))
-    return counted.withColumn("contaminated", contaminated).select(*kept, *new)
+
+
+def find_contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, keep: list[str] | None = None
+) -> DataFrame:
+    """Words of every document that stand inside an occurrence of a benchmark window.
+
+    Adds ``n_words``, ``n_hit``, ``n_items`` (items with occurring windows), ``items_sha256``,
+    ``contaminated`` (hit words are at least 1 / ``share`` of the words) and ``hits`` (at, length) to the
+    columns ``keep`` of ``docs``; a column with one of these names, in either case, is replaced. Null and
+    empty texts have no words and are clean; repeated rows are judged one by one; an empty benchmark hits
+    nothing; items without an id hit words but are not counted; texts are read whole, however long, and an
+    empty table stays empty. The documents are read twice, once for the windows and once to attach the
+    results. These go to all tasks while they are small, and rows keep their place; beyond
+    ``BROADCAST_BYTES`` the rows are joined to them by the digest of their text.
+    """
+    kept = [name for name in (docs.columns if keep is None else keep) if name.lower() not in NEW]
+    inner = [f"_in{number}" for number in range(len(kept))]
+    found = stored(contaminated_texts(docs.select("text"), benchmark, window), "contaminated")
+    size = found.agg(F.coalesce(F.sum(F.size("hits") * 16 + 300), F.lit(0))).first()[0]
+    columns = [F.col(f"`{name.replace('`', '``')}`").alias(alias) for name, alias in zip(kept, inner, strict=True)]
+    rows = docs.select(*columns, F.size(words_of(F.col("text"))).cast("long").alias("n_words"), text_key(F.col("text")).alias("key"))
+    merged = rows.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "key", "left")
+    n_hit, n_items = (F.coalesce(name, F.lit(0).cast("long")) for name in ("n_hit", "n_items"))
+    return merged.select(
+        *(F.col(alias).alias(name) for name, alias in zip(kept, inner, strict=True)),
+        "n_words",
+        n_hit.alias("n_hit"),
+        n_items.alias("n_items"),
+        F.coalesce("items_sha256", sha256_of(F.lit(""))).alias("items_sha256"),
+        ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
+        F.coalesce("hits", F.array().cast("array<struct<at:int,length:int>>")).alias("hits"),
+    )
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with their columns."""
-    names = [f"_in_{name}" if name != "text" else name for name in docs.columns]
+    """The rows of ``docs`` that are not contaminated, with their columns.
+
+    Null and empty texts stay, repeated rows are judged one by one, and columns named as a result are kept as they
+    are. An empty table or benchmark gives back what came; long texts are judged whole.
+    """
+    names = [f"_in{number}" if name != "text" else name for number, name in enumerate(docs.columns)]
     found = find_contamination(docs.toDF(*names), benchmark, window, share)
     return found.where(~F.col("contaminated")).select(*names).toDF(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """All rows and columns of ``docs``; hit words and what stands between them are cut out of ``text``."""
-    names = [f"_in_{name}" if name != "text" else name for name in docs.columns]
+    """All rows and columns of ``docs``; hit words and what stands between them are cut out of ``text``.
+
+    A null, empty or clean text stays as it is, one that is all benchmark keeps what stands before its first word;
+    repeated rows are cut alike, and other columns are kept whatever their names. An empty table stays empty.
+    """
+    names = [f"_in{number}" if name != "text" else name for number, name in enumerate(docs.columns)]
     found = find_contamination(docs.toDF(*names), benchmark, window)
     word, other = fixed.WORD_ANY_CASE, fixed.WORD_ANY_CASE.replace("[^", "[", 1).replace("]+", "]*", 1)
     # The text before the first word, then each word with what follows it

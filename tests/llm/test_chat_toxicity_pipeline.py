@@ -86,6 +86,52 @@ def test_chain_finds_toxic_texts(spark):
     assert all(r["toxic"] == (r["doc_id"] % 5 == 0) for r in found) and len(found) == 400
 
 
+def test_chain_equals_dense_version(spark):
+    """Every model, out-of-fold probability and score again in dense numpy, by Newton steps."""
+    draw = np.random.default_rng(4)
+    names = [f"w{i}" for i in range(12)]
+    texts = [" ".join(draw.choice(names, 6)) for _ in range(150)]
+    quality = np.array([float("w1" in t.split() or i % 9 == 0) for i, t in enumerate(texts)])
+    toxic = np.array([float("w3" in t.split() or (q > 0 and i % 4 == 0)) for i, (t, q) in enumerate(zip(texts, quality, strict=True))])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(q), int(t)) for i, (q, t) in enumerate(zip(quality, toxic, strict=True))], "doc_id bigint, quality int, toxic int")
+    penalty = 0.05
+    folds = {r["doc_id"]: r["f"] for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(3)).alias("f")).collect()}
+    fold = np.array([folds[i] for i in range(150)])
+    words = np.array([[float(name in t.split()) for name in names] for t in texts])
+
+    def fit(x, y):
+        x = np.column_stack([x, np.ones(len(x))])
+        ridge, w = np.full(x.shape[1], penalty), np.zeros(x.shape[1])
+        ridge[-1] = 0
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-x @ w))
+            w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / len(y) + np.diag(ridge), x.T @ (p - y) / len(y) + ridge * w)
+        return w
+
+    score = lambda x, w: 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+    first = fit(words, quality)
+    outside = np.zeros(150)
+    for f in range(3):
+        outside[fold == f] = score(words[fold == f], fit(words[fold != f], quality[fold != f]))
+    second = fit(np.column_stack([words, outside]), toxic)
+    p_quality = score(words, first)
+    p_toxic = score(np.column_stack([words, p_quality]), second)
+    chain = toxicity.fit_chain(docs, labels, penalty=penalty, iterations=300)
+    found = {r["doc_id"]: (r["p_quality"], r["p_toxic"]) for r in toxicity.classify(docs, chain).collect()}
+    assert np.allclose([found[i] for i in range(150)], np.column_stack([p_quality, p_toxic]), atol=0.01)
+
+
+def test_one_row_for_each_labelled_id_reaches_the_fit(spark):
+    """A labelled id with very many rows counts once, with the same text in every order of rows."""
+    rows = [(i, f"calm word{i % 5}") for i in range(30)] + [(i, f"vile word{i % 5}") for i in range(30, 60)]
+    many = rows + [(3, f"calm word{3}")] * 400
+    labels = spark.createDataFrame([(i, 1, int(i >= 30)) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    fits = [toxicity.fit_chain(spark.createDataFrame(r, "doc_id bigint, text string").repartition(4), labels) for r in (rows, many)]
+    for one, other in zip(fits[0].weights, fits[1].weights, strict=True):
+        assert np.allclose(one, other)
+
+
 @pytest.mark.parametrize("rows", [ODD_TEXTS, []])
 def test_chain_on_odd_tables(spark, frame, rows):
     docs = frame(*rows)

@@ -141,12 +141,18 @@ def plain_contamination(text, items, window=13):
     return len(words), len(hit), len(met), bool(hit) and 20 * len(hit) >= len(words)
 
 
-def test_contamination_equals_plain_search(spark, frame):
+@pytest.mark.parametrize("broadcasts", [True, False])
+def test_contamination_equals_plain_search(spark, frame, monkeypatch, broadcasts):
+    if not broadcasts:
+        monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+        monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 0)
     draw = random.Random(4)
     word = lambda: draw.choice(["Aa", "bb", "cc", "É", "9"])
     items = [(n, " ".join(word() for _ in range(draw.choice([1, 4, 12, 13, 20])))) for n in range(6)] + [(7, None), (8, "--")]
     rows = [(n, " ,".join(word() for _ in range(draw.randint(0, 90)))) for n in range(40)]
     rows += [(100 + n, f"{word()} {item[1]} {word()}") for n, item in enumerate(items)] + ODD_TEXTS
+    items += [(20 + n, " ".join(f"own{n}" for _ in range(n))) for n in range(1, 15)]
+    rows += [(200 + n, f"bb {text} own{n}") for n, text in items] + [(300, rows[45][1])] * 3
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     found = decontamination.find_contamination(frame(*rows), benchmark)
     results = [(r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in found.collect()]
@@ -156,6 +162,27 @@ def test_contamination_equals_plain_search(spark, frame):
     assert found.where("contaminated").count() > 5
 
 
+def test_bitmaps_grow_and_have_a_bound():
+    assert decontamination.bits_of({13: 1}) == {13: decontamination.LEAST_BITS}
+    assert decontamination.bits_of({13: 100_000, 3: 4}) == {13: 1 << 22, 3: decontamination.LEAST_BITS}
+    assert sum(decontamination.bits_of({n: 10**8 for n in range(1, 14)}).values()) <= decontamination.MOST_BITS
+
+
+def test_contamination_moves_no_text_and_keeps_clashing_names(spark, frame):
+    passage = " ".join(f"word{n}" for n in range(15))
+    benchmark = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
+    odd = {name: F.lit(name) for name in ("_row", "_words", "_text", "key", "_key", "hit", "found", "_in0", "a.b", "N_HIT")}
+    docs = frame((1, passage), (2, "clean"), (2, None), (1, passage)).withColumns(odd)
+    found = decontamination.find_contamination(docs, benchmark)
+    assert sorted((r["doc_id"], r["n_hit"], r["_row"], r["a.b"]) for r in found.collect()) == [(1, 15, "_row", "a.b")] * 2 + [(2, 0, "_row", "a.b")] * 2
+    kept = decontamination.remove_documents(docs, benchmark)
+    assert kept.columns == docs.columns and kept.where("N_HIT = 'N_HIT'").count() == 2
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SinglePartition" not in plan
+    cut = decontamination.remove_spans(docs, benchmark)
+    assert sorted(r["text"] or "" for r in cut.collect()) == ["", "", "", "clean"]
+
+
 def test_decontamination_removes_documents_or_spans(spark, frame):
     passage = " ".join(f"word{n}" for n in range(15))
     docs = frame((1, f"Start, {passage}! The end."), (2, "clean text"), (3, None))
@@ -220,6 +247,17 @@ def plain_top_k(rows, k=5):
     return out
 
 
+@pytest.mark.parametrize("held", [64, 1 << 19])
+def test_pairs_of_sets_equal_plain_intersections(monkeypatch, held):
+    monkeypatch.setattr(jaccard_join, "RANGE_SHINGLES", held)
+    draw = np.random.default_rng(2)
+    pool = np.unique(draw.integers(0, (1 << 64) - 1, 60, dtype=np.uint64, endpoint=True))
+    sets = [np.sort(draw.choice(pool, n, replace=False)) for n in draw.integers(40, 60, 30)] + [pool[:0], pool, pool[:1]]
+    left, right = jaccard_join.linked_pairs(sets, (80, 100))
+    plain = {(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if len(a) and 10 * len(np.intersect1d(a, b)) >= 8 * len(np.union1d(a, b))}
+    assert set(zip(left.tolist(), right.tolist(), strict=True)) == plain and len(plain) > 20
+
+
 @pytest.mark.parametrize("kind", ["clusters", "spread", "odd"])
 def test_top_k_equals_all_pairs(spark, kind):
     draw = np.random.default_rng(1)
