@@ -138,7 +138,7 @@ def fit_chain(
     """Learn the chain from a sample of at most ``max_rows`` labelled documents, those whose ids hash lowest.
 
     Rows with a null id or label, and ids that ``labels`` holds with different values, are left out; of
-    documents with one id the first text counts. None if no labelled document is left. The sample is
+    documents with one id the text whose word places come first counts. None if no labelled document is left. The sample is
     bounded, so one task fits all models; the driver gets their weights.
     """
     categories = list(categories)
@@ -159,6 +159,8 @@ def fit_chain(
 
     names = ["doc_id", *(f"_y{number}" for number in range(len(categories)))]
     rows = stored(map_batches(texts, ["text"], names, "places array<bigint>", work), "labelled-words")
+    # One row per id before anything meets in one task, whatever share of the table an id holds
+    rows = rows.groupBy(*names).agg(F.min("places").alias("places"))
     rows = rows.withColumn("_fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(folds)))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,8 +168,6 @@ def fit_chain(
         if not read:
             return
         table = pa.Table.from_batches(read)
-        _, first = np.unique(table.column("doc_id").to_numpy(), return_index=True)
-        table = table.take(pa.array(first))
         places = [np.array(row.as_py(), dtype=np.int64) for row in table.column("places")]
         truth = np.column_stack([table.column(f"_y{number}").to_numpy() for number in range(len(categories))])
         models = fit_rows(places, truth, table.column("_fold").to_numpy(), penalty, iterations)
@@ -176,7 +176,7 @@ def fit_chain(
             arrays = [pa.array(np.full(len(used), number), pa.int32()), pa.array(used), pa.array(model[used])]
             yield pa.RecordBatch.from_arrays(arrays, names=["category", "place", "weight"])
 
-    together = rows.repartition(1).sortWithinPartitions("doc_id", "places")
+    together = rows.repartition(1).sortWithinPartitions("doc_id")
     found = together.mapInArrow(fit, "category int, place bigint, weight double").toPandas()
     if found.empty:
         return None
