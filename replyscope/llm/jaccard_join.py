@@ -35,6 +35,7 @@ SIMILARITY = (90, 100)
 MOST_LIGHT = 40
 CHUNK_SETS = 1024
 SLAB_SHINGLES = 4096
+RANGE_SHINGLES = 1 << 19
 # Ids of texts go to all tasks up to this many rows (some 50 MB)
 BROADCAST_ROWS = 500_000
 # Buckets of lists hold the entries of about this many shingles each
@@ -215,24 +216,33 @@ def list_keys(members: np.ndarray, light: int, similarity=SIMILARITY) -> np.ndar
 
 
 def linked_pairs(sets: list[np.ndarray], similarity=SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j), i < j, of linked sets: exact intersections as matrix products over the shared shingles."""
+    """Pairs (i, j), i < j, of linked sets: exact intersections as matrix products over the shared shingles.
+
+    Shingles are taken by ranges of their values, so that beside the sets themselves only ``RANGE_SHINGLES`` of them
+    or so are in work, however long the texts are.
+    """
     part, whole = similarity
     sizes = np.array([len(members) for members in sets], dtype=np.int64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count[place] > 1
-    renamed = np.cumsum(count > 1) - 1
-    owner, place = owner[shared], renamed[place[shared]]
-    order = np.argsort(place, kind="stable")
-    owner, place = owner[order], place[order]
-    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    for start in range(0, int(place[-1]) + 1 if len(place) else 0, SLAB_SHINGLES):
-        a, b = np.searchsorted(place, [start, start + SLAB_SHINGLES])
-        slab = np.zeros((len(sets), SLAB_SHINGLES), dtype=np.float32)
-        slab[owner[a:b], place[a:b] - start] = 1
-        common += slab @ slab.T
-    union = sizes[:, None] + sizes - common.astype(np.int64)
-    return np.nonzero(np.triu(whole * common.astype(np.int64) >= part * union, 1) & (sizes > 0)[:, None])
+    common = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    ranges = max(1, -(-int(sizes.sum()) // RANGE_SHINGLES))
+    bounds = np.array([at * (1 << 64) // ranges for at in range(1, ranges)], dtype=np.uint64)
+    cuts = [[0, *np.searchsorted(members, bounds).tolist(), len(members)] for members in sets]
+    for at in range(ranges):
+        parts = [members[cut[at] : cut[at + 1]] for members, cut in zip(sets, cuts, strict=True)]
+        owner = np.repeat(np.arange(len(sets)), [len(members) for members in parts])
+        _, place, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        shared = count[place] > 1
+        renamed = np.cumsum(count > 1) - 1
+        owner, place = owner[shared], renamed[place[shared]]
+        order = np.argsort(place, kind="stable")
+        owner, place = owner[order], place[order]
+        for start in range(0, int(place[-1]) + 1 if len(place) else 0, SLAB_SHINGLES):
+            a, b = np.searchsorted(place, [start, start + SLAB_SHINGLES])
+            slab = np.zeros((len(sets), min(SLAB_SHINGLES, int(place[b - 1]) + 1 - start)), dtype=np.float32)
+            slab[owner[a:b], place[a:b] - start] = 1
+            common += (slab @ slab.T).astype(np.int64)
+    union = sizes[:, None] + sizes - common
+    return np.nonzero(np.triu(whole * common >= part * union, 1) & (sizes > 0)[:, None])
 
 
 def spanning(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,6 +13,14 @@ from replyscope.session import scratch_path
 
 # Rows handled at a time, so that results and work space stay small beside the batch Spark sends
 ROWS_AT_ONCE = 1024
+# Spark sends texts to Python in batches of about this many bytes, as batches by rows alone have no bound
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch in this session, unless the session has a bound of its own."""
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def map_batches(
@@ -28,6 +36,7 @@ def map_batches(
     ``reads`` to one array per field of ``fields`` (a DDL string); it gets ``ROWS_AT_ONCE`` rows at
     most. ``keep`` are the input columns of the result; one that has the name of a new field is replaced.
     """
+    bound_batches(df.sparkSession)
     new = StructType.fromDDL(fields)
     kept = [name for name in keep if name not in new.names]
     source = df.select(*kept, *[name for name in reads if name not in kept])
