@@ -32,17 +32,30 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates."""
+    """Keep the document with the smallest id of each group of near duplicates.
+
+    Null and empty texts and texts without words are no duplicates of other ids: one row of each such text and id stays.
+    Of texts under one id the first in order stays for its group, repeated rows become one, rows without an id all stay. Long texts are compared
+    whole, columns keep their names whatever they are, and an empty table stays empty.
+    """
     return jaccard_join.keep_first(docs, COPY_WORDS, COPY_SIMILARITY)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of which a twentieth or more is benchmark text."""
+    """Drop documents of which a twentieth or more is benchmark text.
+
+    Null and empty texts are clean, repeated rows are judged alike, whole texts count however long they are. Other columns
+    are not looked at; an empty table or benchmark drops nothing.
+    """
     return decontamination.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mask secrets in the texts; ``n_chars``, where there is one, follows the text."""
+    """Mask secrets in the texts; ``n_chars``, where there is one, follows the text.
+
+    Every row stays, repeated ones too. A null or empty text stays as it is, long texts are scanned whole; other columns
+    are not looked at, whatever their names, and an empty table stays empty.
+    """
     masked = secret_scan.mask_secrets(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -51,7 +64,12 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the texts, kept only where they decode to the same bytes: doc_id, lang, source, n_tokens, token_ids."""
+    """doc_id, lang, source, n_tokens and token_ids of every row; other columns are left out.
+
+    Encoding loses nothing, so the check that the ids decode to the bytes of the text drops no row: one that failed it would
+    show a damaged rank file. A null or empty text has no tokens, long texts are encoded whole, repeated rows repeat, and an empty
+    table stays empty.
+    """
     path = public_tokenizers.path(RANKS)
     keep = ["doc_id", "lang", "source"]
     encoded = byte_bpe.encode(docs.select(*keep, "text"), path, public_tokenizers.PATTERN, at_spaces=True)
