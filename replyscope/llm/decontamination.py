@@ -31,6 +31,12 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(f"({fixed.WORD})"), F.lit(1))
 
 
+def count_of_words(text: Column) -> Column:
+    """Number of words of a whole text; none for null. Letters of both cases are in words, so nothing is lower-cased."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({fixed.WORD_ANY_CASE})"), F.lit(1))
+    return F.size(found).cast("long")
+
+
 def windows_of(words: Column, length: int) -> Column:
     """First places (from 0) of all windows of ``length`` words; empty for shorter texts."""
     last = F.size(words) - length
@@ -163,7 +169,7 @@ def find_contamination(
     found = stored(contaminated_texts(docs.select("text"), benchmark, window), "contaminated")
     size = found.agg(F.coalesce(F.sum(F.size("hits") * 16 + 300), F.lit(0))).first()[0]
     columns = [F.col(f"`{name.replace('`', '``')}`").alias(alias) for name, alias in zip(kept, inner, strict=True)]
-    rows = docs.select(*columns, F.size(words_of(F.col("text"))).cast("long").alias("n_words"), text_key(F.col("text")).alias("key"))
+    rows = docs.select(*columns, count_of_words(F.col("text")).alias("n_words"), text_key(F.col("text")).alias("key"))
     merged = rows.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "key", "left")
     n_hit, n_items = (F.coalesce(name, F.lit(0).cast("long")) for name in ("n_hit", "n_items"))
     return merged.select(
