@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from replyscope.functions.stemming import stem
+from replyscope.session import bound_batches
 
 TOKEN = re.compile(r"[a-z0-9]+")
 # Fixed value: shorter words are compared as they are
@@ -58,6 +59,7 @@ def groundedness(
 
     ``drafts`` holds one row per message, ``pairs`` one row per (message, precedent).
     """
+    bound_batches(drafts.sparkSession)
     usable = pairs.where(F.coalesce(F.col(reply), F.lit("")) != "").select(key, reply)
     scored = drafts.select(key, draft).join(usable, key).withColumn("_score", rouge_l(F.col(reply), F.col(draft)))
     means = scored.groupBy(key).agg(F.avg("_score").alias("groundedness"))

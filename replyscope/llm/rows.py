@@ -9,18 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from replyscope.session import scratch_path
+from replyscope.session import bound_batches, scratch_path
 
 # Rows handled at a time, so that results and work space stay small beside the batch Spark sends
 ROWS_AT_ONCE = 1024
-# Spark sends texts to Python in batches of about this many bytes, as batches by rows alone have no bound
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
-
-
-def bound_batches(spark: SparkSession) -> None:
-    """Bound the bytes of an Arrow batch in this session, unless the session has a bound of its own."""
-    if BATCH_SETTING not in spark.conf.getAll:
-        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def map_batches(

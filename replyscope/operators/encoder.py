@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from replyscope.session import bound_batches
+
 DIMENSIONS = 384
 BATCH = 256
 
@@ -50,6 +52,7 @@ def encode_with(
 
     Vectors are normalised to unit length.
     """
+    bound_batches(df.sparkSession)
 
     def run(frames):
         model = load()

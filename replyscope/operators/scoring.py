@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from replyscope.session import bound_batches
+
 
 def score_batches(
     df: DataFrame,
@@ -27,6 +29,7 @@ def score_batches(
     still fails after ``attempts`` calls gets the default for each of its rows. Rows are spread
     over tasks as they come, so batches form inside partitions and nothing is shuffled.
     """
+    bound_batches(df.sparkSession)
     names = [inputs] if isinstance(inputs, str) else list(inputs)
 
     def results(function, values: list) -> list:

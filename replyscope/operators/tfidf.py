@@ -22,7 +22,7 @@ from replyscope import fixed_values as fixed
 from replyscope.functions.text import let
 from replyscope.operators.ranking import highest_rows
 from replyscope.operators.similarity import QUERY_PART_ROWS, SCALE, part_count, stream_past
-from replyscope.session import cut_lineage
+from replyscope.session import bound_batches, cut_lineage
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 CORPUS_BLOCK_ROWS = 65_536
@@ -67,6 +67,7 @@ def lists_of(rows: np.ndarray, values: pa.Array, n_rows: int) -> pa.ListArray:
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf) of each text, one text per row. Terms are counted inside the row, so no text is shuffled."""
+    bound_batches(df.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,6 +116,7 @@ def sparse_texts(df: DataFrame, key: str, text: str, vocabulary: Vocabulary, kee
     Nothing is shuffled: the vocabulary has at most ``max_features`` rows and goes to every task. A
     text without a known term gets empty arrays.
     """
+    bound_batches(df.sparkSession)
     table = vocabulary.table.select("term", "term_id", "idf").orderBy("term_id").toPandas()
     known, idf = pa.array(table["term"], pa.string()), table["idf"].to_numpy()
     numbers = table["term_id"].to_numpy().astype(np.int32)
