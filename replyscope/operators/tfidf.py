@@ -257,7 +257,8 @@ def nearest_text(
         return pa.Table.from_arrays([table.column("_query"), matches.take(pa.array(places)), pa.array(values, pa.float64())], schema=out)
 
     kinds = f"_query {query_type.simpleString()}, _match {match_type.simpleString()}, similarity double"
-    found = stream_past(left, right, ["_block", "_part"], load, best, kinds, QUERY_BLOCK_ROWS)
+    number = F.col("_block") * parts + F.col("_part")
+    found = stream_past(left, right, ["_block", "_part"], number, blocks * parts, load, best, kinds, QUERY_BLOCK_ROWS)
     if blocks > 1:
         order = Window.partitionBy("_query").orderBy(F.desc("similarity"), "_match")
         found = found.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") == 1)

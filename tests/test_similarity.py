@@ -178,3 +178,31 @@ def test_corpus_is_copied_once_for_very_many_queries(spark):
     # Few blocks on many cores, and more queries than a task lets past
     assert similarity.part_count(10_000, 1, 8) == 8 and similarity.part_count(similarity.QUERY_PART_ROWS * 3, 100, 8) == 3
     assert similarity.corpus_rows(corpus, "_match", "_vector", cells, 3).count() == 2700
+
+
+@pytest.mark.parametrize("copies", [0, 3000])
+def test_single_precision_only_leaves_out(copies):
+    rng = np.random.default_rng(9)
+    right = rng.normal(size=(4000, 16))
+    right[rng.choice(4000, copies, replace=False)] = right[5]
+    right[17] = 0
+    right /= np.maximum(np.linalg.norm(right, axis=1, keepdims=True), 1e-300)
+    left, slim = right[::40], similarity.narrow(right).T.copy()
+    scaled = similarity.scaled_similarity(left, right)
+    rows, columns, values = similarity.nearest_rows(left, right, slim, 6)
+    for row in range(len(left)):
+        order = np.lexsort((np.arange(4000), -scaled[row]))[:6]
+        assert columns[rows == row].tolist() == order.tolist() and values[rows == row].tolist() == scaled[row][order].tolist()
+    limit = int(np.sort(scaled.ravel())[-900])
+    assert (similarity.close_pairs(left, right, slim, limit) == (scaled >= limit)).all()
+
+
+def test_each_block_is_a_task(spark):
+    """Blocks are few bytes and much work, so they must not be put together by their bytes."""
+    vectors = make(spark, np.random.default_rng(6).normal(size=(400, 6))).select(F.col("id").alias("_match"), F.col("embedding").alias("_vector"))
+    queries = vectors.withColumnRenamed("_match", "_query")
+    cells = similarity.Cells(None, np.zeros(1), np.zeros(1), np.array([400]), np.zeros((1, 1)), 50)
+    count = lambda asked, block: pa.table({"n": pa.array([block.num_rows])})
+    found = similarity.block_tasks(queries, vectors, "_query", "_match", "_vector", cells, 2, None, 1, lambda rows: rows, count, "n long")
+    per_task = found.groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("n").alias("blocks")).collect()
+    assert len(per_task) == 16 and all(row.blocks == 1 for row in per_task)
