@@ -16,22 +16,28 @@ from pyspark.sql.pandas.types import to_arrow_type
 from replyscope import fixed_values as fixed
 from replyscope.operators.ranking import PREFIX, bucket_rank
 from replyscope.operators.similarity import (
-    CHUNK_ROWS,
     CORPUS_BLOCK_ROWS,
     QUERY_BLOCK_ROWS,
     SCALE,
     block_tasks,
     build_cells,
+    chunk_rows,
+    close_pairs,
     collapse_copies,
     matrix,
+    narrow,
     query_part_count,
     radius_of,
-    scaled_similarity,
 )
 from replyscope.operators.skew import lookup_join
 from replyscope.session import cut_lineage
 
 
+# Cells of an adjacency matrix held at a time, and the cells for each link from which on links are listed
+DENSE_CELLS = 1 << 24
+SPARSE = 64
+
+
 def neighbour_weights(points: DataFrame, similarity: float, block_rows: int, query_rows: int) -> DataFrame:
     """(_key, _degree): copies-weighted number of points at or above the cut, per point.
 
@@ -43,14 +49,14 @@ def neighbour_weights(points: DataFrame, similarity: float, block_rows: int, que
     out = pa.schema([("_key", to_arrow_type(key_type)), ("_part_degree", pa.int64())])
 
     def load(right: pa.Table):
-        return matrix(right.column("_vector")), right.column("_copies").to_numpy()
+        theirs, weights = matrix(right.column("_vector")), right.column("_copies").to_numpy()
+        return theirs, narrow(theirs).T.copy(), np.flatnonzero(weights > 1), weights[weights > 1] - 1
 
     def count(left: pa.Table, block) -> pa.Table:
-        ours, (theirs, weights) = matrix(left.column("_vector")), block
-        totals = [
-            (scaled_similarity(ours[start : start + CHUNK_ROWS], theirs) >= limit) @ weights
-            for start in range(0, len(ours), CHUNK_ROWS)
-        ]
+        ours, (theirs, slim, several, more) = matrix(left.column("_vector")), block
+        rows = chunk_rows(len(theirs))
+        near = (close_pairs(ours[start : start + rows], theirs, slim, limit) for start in range(0, len(ours), rows))
+        totals = [np.count_nonzero(close, axis=1) + close[:, several] @ more for close in near]
         return pa.Table.from_arrays([left.column("_key"), pa.array(np.concatenate(totals), pa.int64())], schema=out)
 
     parts = block_tasks(
@@ -75,6 +81,8 @@ def block_components(adjacent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Component number of each row and column of a bipartite adjacency matrix; -1 if isolated."""
     rows, columns = adjacent.shape
     none = np.int32(rows)
+    if np.count_nonzero(adjacent) * SPARSE <= adjacent.size:
+        return few_links(*np.divmod(np.flatnonzero(adjacent), max(1, columns)), rows, columns)
     left = np.where(adjacent.any(axis=1), np.arange(rows, dtype=np.int32), none)
     while True:
         right = np.where(adjacent, left[:, None], none).min(axis=0)
@@ -84,6 +92,20 @@ def block_components(adjacent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left = lowered
 
 
+def few_links(at: np.ndarray, to: np.ndarray, rows: int, columns: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same from the places of the links, for few of them."""
+    none = np.int32(rows)
+    left, right = np.full(rows, none), np.full(columns, none)
+    left[at] = at
+    while True:
+        np.minimum.at(right, to, left[at])
+        lowered = left.copy()
+        np.minimum.at(lowered, at, right[to])
+        if (lowered == left).all():
+            return np.where(left < none, left, -1), np.where(right < none, right, -1)
+        left = lowered
+
+
 def core_links(core: DataFrame, similarity: float, block_rows: int, query_rows: int) -> DataFrame:
     """(_key, _other): links that keep exactly the connections between core points.
 
@@ -96,23 +118,24 @@ def core_links(core: DataFrame, similarity: float, block_rows: int, query_rows:
     out = pa.schema([("_key", arrow_key), ("_other", arrow_key)])
 
     def load(right: pa.Table):
-        return right.column("_key"), matrix(right.column("_vector"))
+        theirs = matrix(right.column("_vector"))
+        return right.column("_key"), theirs, narrow(theirs).T.copy()
 
     def link(left: pa.Table, block) -> pa.Table:
-        right_keys, theirs = block
+        right_keys, theirs, slim = block
         ours = matrix(left.column("_vector"))
-        adjacent = np.vstack(
-            [
-                scaled_similarity(ours[start : start + CHUNK_ROWS], theirs) >= limit
-                for start in range(0, len(ours), CHUNK_ROWS)
-            ]
-        )
-        rows, columns = block_components(adjacent)
-        tables = []
-        for keys, component in ((left.column("_key"), rows), (right_keys, columns)):
-            at = np.flatnonzero(component >= 0)
-            center = left.column("_key").take(pa.array(component[at]))
-            tables.append(pa.Table.from_arrays([keys.take(pa.array(at)), center], schema=out))
+        tables, at_once = [], max(1, DENSE_CELLS // max(1, len(theirs)))
+        # Each slice is linked by itself, through the rows of the block
+        for first in range(0, len(ours), at_once):
+            piece = ours[first : first + at_once]
+            rows = chunk_rows(len(theirs))
+            close = [close_pairs(piece[start : start + rows], theirs, slim, limit) for start in range(0, len(piece), rows)]
+            components = block_components(np.vstack(close))
+            keys = left.column("_key").slice(first, len(piece))
+            for side, component in zip((keys, right_keys), components, strict=True):
+                at = np.flatnonzero(component >= 0)
+                center = keys.take(pa.array(component[at]))
+                tables.append(pa.Table.from_arrays([side.take(pa.array(at)), center], schema=out))
         return pa.concat_tables(tables)
 
     name = key_type.simpleString()

@@ -197,6 +197,14 @@ def test_single_precision_only_leaves_out(copies):
     assert (similarity.close_pairs(left, right, slim, limit) == (scaled >= limit)).all()
 
 
+def test_few_links_give_the_components_of_all_cells(monkeypatch):
+    adjacent = np.random.default_rng(2).random((60, 90)) < 0.012
+    listed = density.block_components(adjacent)
+    monkeypatch.setattr(density, "SPARSE", adjacent.size + 1)
+    for ours, theirs in zip(listed, density.block_components(adjacent), strict=True):
+        assert (ours == theirs).all()
+
+
 def test_each_block_is_a_task(spark):
     """Blocks are few bytes and much work, so they must not be put together by their bytes."""
     vectors = make(spark, np.random.default_rng(6).normal(size=(400, 6))).select(F.col("id").alias("_match"), F.col("embedding").alias("_vector"))
