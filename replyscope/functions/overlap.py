@@ -15,23 +15,42 @@ from replyscope.session import bound_batches
 TOKEN = re.compile(r"[a-z0-9]+")
 # Fixed value: shorter words are compared as they are
 LONGEST_UNSTEMMED = 3
+KNOWN_WORDS = 1 << 16
+
+
+class Stems(dict):
+    """Stems by word, of at most ``KNOWN_WORDS`` words."""
+
+    def __missing__(self, word: str) -> str:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        found = self[word] = stem(word) if len(word) > LONGEST_UNSTEMMED else word
+        return found
+
+
+STEMS = Stems()
 
 
 def tokens(text: str | None) -> list[str]:
     """Lower-case words of a text, the longer ones as stems."""
-    return [stem(word) if len(word) > LONGEST_UNSTEMMED else word for word in TOKEN.findall((text or "").lower())]
+    return list(map(STEMS.__getitem__, TOKEN.findall((text or "").lower())))
 
 
 def common_subsequence(left: list[str], right: list[str]) -> int:
-    """Length of the longest common subsequence, one machine-word operation per 64 cells."""
-    places: dict[str, int] = {}
+    """Length of the longest common subsequence, one machine-word operation per 64 cells of the words both have."""
+    both = set(left).intersection(right)
+    left, right = [token for token in left if token in both], [token for token in right if token in both]
+    if len(left) > len(right):
+        left, right = right, left
+    places = dict.fromkeys(both, 0)
     for position, token in enumerate(left):
-        places[token] = places.get(token, 0) | (1 << position)
+        places[token] |= 1 << position
     full = (1 << len(left)) - 1
     row = full
     for token in right:
-        matches = row & places.get(token, 0)
-        row = ((row + matches) | (row - matches)) & full
+        matches = row & places[token]
+        if matches:
+            row = ((row + matches) | (row - matches)) & full
     return len(left) - row.bit_count()
 
 
@@ -39,8 +58,11 @@ def common_subsequence(left: list[str], right: list[str]) -> int:
 def rouge_l(references: pd.Series, drafts: pd.Series) -> pd.Series:
     """F-measure of the common subsequence of reference and draft."""
 
+    # A draft is compared with several references, so a text of the batch is cut once
+    cut = {text: tokens(text) for text in {*references, *drafts}}
+
     def score(reference: str, draft: str) -> float:
-        wanted, given = tokens(reference), tokens(draft)
+        wanted, given = cut[reference], cut[draft]
         if not wanted or not given:
             return 0.0
         shared = common_subsequence(wanted, given)

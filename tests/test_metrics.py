@@ -1,7 +1,9 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from replyscope.functions import overlap
 from replyscope.functions.overlap import common_subsequence, groundedness
 from replyscope.functions.stemming import stem
 from replyscope.operators import calibration, metrics
@@ -148,3 +150,18 @@ def test_missing_predictions_are_wrong(spark):
     rows = spark.createDataFrame([("a", "a"), ("a", None), (None, "a")], "truth string, predicted string")
     found = metrics.accuracy(rows, "truth", "predicted").first()
     assert found["n"] == 3 and abs(found["accuracy"] - 1 / 3) < 1e-9
+
+
+def test_a_text_of_a_batch_is_cut_once(monkeypatch):
+    seen = []
+    monkeypatch.setattr(overlap, "tokens", lambda text: seen.append(text) or (text or "").split())
+    references, drafts = pd.Series(["a b", "b c", None, "a b"]), pd.Series(["a b c", "a b c", "a b c", None])
+    assert overlap.rouge_l.func(references, drafts).round(3).tolist() == [0.8, 0.8, 0.0, 0.0]
+    assert sorted(seen, key=str) == [None, "a b", "a b c", "b c"]
+
+
+def test_known_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(overlap, "KNOWN_WORDS", 3)
+    monkeypatch.setattr(overlap, "STEMS", overlap.Stems())
+    words = "running cats the running walked talked cats"
+    assert overlap.tokens(words) == ["run", "cat", "the", "run", "walk", "talk", "cat"] and len(overlap.STEMS) <= 3
