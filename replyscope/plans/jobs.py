@@ -387,7 +387,8 @@ def evaluation_report(
         if "human_judge_score" in judged.columns:
             parts.append(long_form(metrics.cohens_kappa(scored, "human_judge_score", "average"), "agreement"))
     for name, other in (baselines or {}).items():
-        compared = rows.select(key, truth).join(other.select(key, "intent"), key, "left")
+        # Two metrics read the answers, which may come from a model over whole texts
+        compared = cut_lineage(rows.select(key, truth).join(other.select(key, "intent"), key, "left"))
         parts.append(long_form(metrics.accuracy(compared, truth, "intent"), name))
         parts.append(long_form(metrics.macro_averages(compared, truth, "intent").select("macro_f1"), name))
     return reduce(DataFrame.unionByName, parts)

@@ -122,3 +122,19 @@ def test_csv_keeps_line_breaks_quotes_and_nulls(spark, tmp_path):
     back = {row["thread_id"]: row["text"] for row in read_csv(spark, f"{tmp_path}/t", schema).collect()}
     assert len(back) == 4 and back["2"] == "" and back["3"] is None
     assert back["1"].split() == rows[0][1].split() and "\n" in back["1"]
+
+
+def test_baseline_answers_are_made_once(spark):
+    asked = spark.sparkContext.accumulator(0)
+
+    def answer(batches):
+        for batch in batches:
+            asked.add(batch.num_rows)
+            yield batch
+
+    golden = spark.createDataFrame([(i, "a") for i in "1234"], "thread_id string, human_intent string")
+    predictions = golden.select("thread_id", F.lit("a").alias("intent"), F.lit(0.5).alias("confidence"), F.lit("x").alias("draft_reply"))
+    retrieved = spark.createDataFrame([("1", 1, 0.5, "x")], "thread_id string, rank int, similarity double, brand_reply string")
+    other = predictions.select("thread_id", "intent").mapInArrow(answer, "thread_id string, intent string")
+    found = {(r.section, r.metric): r.value for r in jobs.evaluation_report(golden, predictions, retrieved, baselines={"other": other}).collect()}
+    assert asked.value == 4 and found["other", "accuracy"] == 1.0 and found["other", "macro_f1"] == 1.0

@@ -208,3 +208,21 @@ def test_highest_rows(spark):
     for n in (1, 50, 700, 2999, 4000):
         found = sorted((-r.total, r.term) for r in ranking.highest_rows(df, n, "total", "term").collect())
         assert found == ordered[:n]
+
+
+def test_pieces_of_a_fit_follow_the_cores(spark, monkeypatch):
+    """Each piece sends a gradient of classes x terms in each step, so many texts must not make many pieces."""
+    seen = []
+
+    class Fit(classify.LogisticRegression):
+        def fit(self, training):
+            seen.append(training.rdd.getNumPartitions())
+            return super().fit(training)
+
+    monkeypatch.setattr(classify, "LogisticRegression", Fit)
+    df = spark.range(90).select(
+        "id", F.when(F.col("id") % 2 == 0, "some plain words").otherwise("other long words").alias("text"), (F.col("id") % 2).cast("string").alias("label")
+    )
+    model = classify.fit_text_classifier(df.repartition(40), "id", "text", "label", max_features=20)
+    assert seen == [classify.FIT_PIECES_PER_CORE * spark.sparkContext.defaultParallelism]
+    assert model.predict(df, "id", "text").where(F.col("intent") == (F.col("id") % 2).cast("string")).count() == 90
