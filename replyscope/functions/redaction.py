@@ -59,6 +59,8 @@ def redaction_audit(df: DataFrame, original: str, redacted: str) -> DataFrame:
     for name, (pattern, _) in RULES.items():
         for side, column in (("before", original), ("after", redacted)):
             matches = F.regexp_count(F.coalesce(F.col(column), F.lit("")), F.lit(pattern))
+            if name in NEEDED:
+                matches = F.when(F.contains(F.col(column), F.lit(NEEDED[name])), matches)
             totals.append(F.coalesce(F.sum(matches), F.lit(0)).cast("long").alias(f"{side}_{name}"))
     rows = F.array(
         *[

@@ -67,3 +67,13 @@ def test_columns_and_audit(spark):
     both = rows.select(F.col("a").alias("text"), redact(F.col("a")).alias("clean"))
     audit = {row.pattern: row.replaced for row in redaction_audit(both, "text", "clean").collect()}
     assert audit["handle"] == 1 and audit["order_id_amazon"] == 1
+
+
+def test_audit_runs_costly_rules_only_where_they_can_match(spark):
+    texts = ["HTTPS://x.y and a@b.co", "plain", None, "@one @two", "mail a@b.co, c@d.org"]
+    rows = spark.createDataFrame([(text, text) for text in texts], "text string, clean string")
+    audit = redaction_audit(rows, "text", "clean")
+    found = {row.pattern: (row.matches_before, row.matches_after) for row in audit.collect()}
+    assert found["email"] == (3, 3) and found["url"] == (1, 1) and found["handle"] == (5, 5) and found["phone"] == (0, 0)
+    # Three rules on two columns
+    assert audit._jdf.queryExecution().optimizedPlan().toString().lower().count("contains(") == 6
