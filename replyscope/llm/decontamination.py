@@ -1,9 +1,9 @@
 """Benchmark passages in documents, by hashed token windows.
 
-The windows of all benchmark items are hashed into a bitmap of bounded size. Every window of a
-document is looked up there inside its row; the few that meet a set bit are then compared, word by
-word, with the windows themselves. What a text holds depends on the text alone, so the result is kept
-per digest of a text and looked up by each row. All of it is built-in column expressions.
+The windows of all benchmark items are hashed into a bitmap of bounded size, and so are three words of
+each. Every window of a document is looked up there inside its row, by the three words first; the few that meet
+set bits are then compared, word by word, with the windows themselves. What a text holds depends on the
+text alone, so the result is kept per digest of a text and looked up by each row. All of it is built-in column expressions.
 """
 
 from __future__ import annotations
@@ -11,30 +11,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from replyscope.functions.text import let
 from replyscope.llm import fixed_values as fixed
 from replyscope.llm.rows import sha256_of, stored
 
 WINDOW = 13
-# A bitmap has 2^12 bits at least, and 32 for each window; all together have 2^26 (8 MB) at most. Fuller ones only let more
-# windows through to the comparison
+# A bitmap has 2^12 bits at least, and 32 for the two hashes of each window; all together have 2^26 (8 MB) at most. Fuller
+# ones only let more windows through to the comparison
 LEAST_BITS, MOST_BITS = 1 << 12, 1 << 26
 # Windows up to this number are broadcast for the comparison: at most some 100 MB
 BROADCAST_WINDOWS = 500_000
 # Results of texts with benchmark windows are broadcast up to about this size
 BROADCAST_BYTES = 32 << 20
+# ASCII that no word has
+BETWEEN_WORDS = "".join(chr(code) for code in range(128) if not chr(code).isalnum())
 NEW = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hits"]
 
 
 def words_of(text: Column) -> Column:
-    """Words of a whole text, A-Z lower-cased; none for null."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), fixed.UPPER, fixed.LOWER)
-    return F.regexp_extract_all(lowered, F.lit(f"({fixed.WORD})"), F.lit(1))
+    """Words of a whole text, A-Z lower-cased; none for null.
+
+    All of ASCII but digits and letters becomes a space, at which a plain split needs no pattern.
+    """
+    spaced = F.translate(F.coalesce(text, F.lit("")), fixed.UPPER + BETWEEN_WORDS, fixed.LOWER + " " * len(BETWEEN_WORDS))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def count_of_words(text: Column) -> Column:
-    """Number of words of a whole text; none for null. Letters of both cases are in words, so nothing is lower-cased."""
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({fixed.WORD_ANY_CASE})"), F.lit(1))
-    return F.size(found).cast("long")
+    """Number of words of a whole text; none for null."""
+    return F.size(words_of(text)).cast("long")
 
 
 def windows_of(words: Column, length: int) -> Column:
@@ -43,8 +48,14 @@ def windows_of(words: Column, length: int) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
+def probe_of(words: Column, at: Column, length: Column) -> Column:
+    """Hash of the first, middle and last word of a window."""
+    middle = (length / 2).cast("int")
+    return F.xxhash64(F.get(words, at), F.get(words, at + middle), F.get(words, at + length - 1))
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(gram, length, hash, item_ids): the distinct windows of all items, words joined by spaces.
+    """(gram, length, hash, probe, item_ids): the distinct windows of all items, words joined by spaces.
 
     An item with fewer words than a window is one window; an item without words has none.
     """
@@ -53,18 +64,22 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     starts = F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.size("_w") - length)).otherwise(F.array().cast("array<int>"))
     each = items.select("item_id", "_w", length.alias("length"), F.explode(starts).alias("_at"))
     cut = each.withColumn("_gram", F.slice("_w", F.col("_at") + 1, F.col("length")))
-    grams = cut.select("item_id", "length", F.array_join("_gram", " ").alias("gram"), F.xxhash64("_gram").alias("hash"))
-    return grams.groupBy("gram", "length", "hash").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+    probe = probe_of(F.col("_gram"), F.lit(0), F.col("length"))
+    grams = cut.select(
+        "item_id", "length", F.array_join("_gram", " ").alias("gram"), F.xxhash64("_gram").alias("hash"), probe.alias("probe")
+    )
+    return grams.groupBy("gram", "length", "hash", "probe").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
 
 
 def bitmap_of(windows: DataFrame, length: int, bits: int) -> Column:
-    """The hash set of the windows of one length, as a constant array of 64-bit words.
+    """The set of both hashes of the windows of one length, as a constant array of 64-bit words.
 
     The driver gets the words that are not 0, at most ``bits`` / 64 numbers.
     """
     place = F.pmod(F.col("hash"), F.lit(bits))
     rows = (
         windows.where(F.col("length") == length)
+        .select(F.explode(F.array("hash", "probe")).alias("hash"))
         .select(F.shiftright(place, 6).cast("int").alias("word"), (place % 64).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("value"))
@@ -78,14 +93,20 @@ def bitmap_of(windows: DataFrame, length: int, bits: int) -> Column:
 
 
 def hit_places(words: Column, bitmap: Column, length: int, bits: int) -> Column:
-    """(at, gram) of the windows of a text that meet a set bit."""
+    """(at, length, gram) of the windows of a text whose two hashes both meet a set bit.
+
+    The hash of three words is computed once for each window, that of all words only where the first meets a set bit.
+    """
 
-    def is_set(at: Column) -> Column:
-        place = F.pmod(F.xxhash64(F.slice(words, at + 1, length)), F.lit(bits))
+    def is_set(hashed: Column) -> Column:
+        place = F.pmod(hashed, F.lit(bits))
         word = F.get(bitmap, F.shiftright(place, 6).cast("int"))
         return F.call_function("getbit", word, (place % 64).cast("int")) == 1
 
-    found = F.filter(windows_of(words, length), is_set)
+    starts = windows_of(words, length)
+    probes = F.transform(starts, lambda at: probe_of(words, at, F.lit(length)))
+    probed = let(probes, lambda hashes: F.filter(starts, lambda at: is_set(F.get(hashes, at))))
+    found = F.filter(probed, lambda at: is_set(F.xxhash64(F.slice(words, at + 1, length))))
     return F.transform(
         found,
         lambda at: F.struct(
