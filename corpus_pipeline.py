@@ -72,8 +72,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     path = public_tokenizers.path(RANKS)
     keep = ["doc_id", "lang", "source"]
-    encoded = byte_bpe.encode(docs.select(*keep, "text"), path, public_tokenizers.PATTERN, at_spaces=True)
-    whole = byte_bpe.decode(encoded, path).where(F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary"))
+    encoded = byte_bpe.encode_and_decode(docs.select(*keep, "text"), path, public_tokenizers.PATTERN, at_spaces=True)
+    whole = encoded.where(F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary"))
     return whole.select(*keep, F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 
 

@@ -11,7 +11,7 @@ import gc
 import re
 import struct
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -138,6 +138,39 @@ class PieceEncoder:
             known[part] = b"".join([whole[token] if token in whole else packed[token] for token in row])
 
 
+def encoding(ranks: dict[bytes, int], pattern: str, text: str, at_spaces: bool) -> Callable[[pa.RecordBatch], pa.ListArray]:
+    """A function from a batch with texts to the ids of each."""
+    encoder = PieceEncoder(model_proto(ranks), ranks, pattern, at_spaces)
+
+    def step(batch: pa.RecordBatch) -> pa.ListArray:
+        column, packed = batch.column(text), []
+        # Millions of small lists and no cycles: the cyclic collector would only cost time
+        gc.disable()
+        try:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                packed += encoder.encode([row or "" for row in column.slice(start, ROWS_AT_ONCE).to_pylist()])
+        finally:
+            gc.enable()
+        offsets = np.concatenate([[0], np.cumsum([len(row) // 4 for row in packed])])
+        if offsets[-1] > np.iinfo(np.int32).max:
+            raise ValueError("a batch has more than 2^31 ids; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+        ids = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)
+
+    return step
+
+
+def decoding(ranks: dict[bytes, int]) -> Callable[[pa.ListArray], pa.Array]:
+    """A function from lists of ids to the bytes of each."""
+    token_of = {rank: token for token, rank in ranks.items()}.__getitem__
+
+    def step(lists: pa.ListArray) -> pa.Array:
+        rows = (lists.slice(at, 1).flatten().to_numpy(zero_copy_only=False) for at in range(len(lists)))
+        return pa.array([b"".join(map(token_of, row.tolist())) for row in rows], pa.binary())
+
+    return step
+
+
 def encode(
     docs: DataFrame,
     ranks_path: str,
@@ -155,25 +188,8 @@ def encode(
     """
 
     def work():
-        ranks = read_ranks(ranks_path)
-        encoder = PieceEncoder(model_proto(ranks), ranks, pattern, at_spaces)
-
-        def step(batch: pa.RecordBatch) -> list[pa.Array]:
-            column, packed = batch.column(text), []
-            # Millions of small lists and no cycles: the cyclic collector would only cost time
-            gc.disable()
-            try:
-                for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-                    packed += encoder.encode([row or "" for row in column.slice(start, ROWS_AT_ONCE).to_pylist()])
-            finally:
-                gc.enable()
-            offsets = np.concatenate([[0], np.cumsum([len(row) // 4 for row in packed])])
-            if offsets[-1] > np.iinfo(np.int32).max:
-                raise ValueError("a batch has more than 2^31 ids; lower spark.sql.execution.arrow.maxRecordsPerBatch")
-            ids = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
-            return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)]
-
-        return step
+        ids = encoding(read_ranks(ranks_path), pattern, text, at_spaces)
+        return lambda batch: [ids(batch)]
 
     return map_batches(docs, [text], docs.columns if keep is None else keep, "token_ids array<int>", work)
 
@@ -184,14 +200,26 @@ def decode(tokens: DataFrame, ranks_path: str, ids: str = "token_ids", keep: Ite
     Null or no ids give no bytes; an id outside the vocabulary raises an error.
     """
 
+    def work():
+        raw = decoding(read_ranks(ranks_path))
+        return lambda batch: [raw(batch.column(ids))]
+
+    return map_batches(tokens, [ids], tokens.columns if keep is None else keep, "decoded binary", work)
+
+
+def encode_and_decode(
+    docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", at_spaces: bool = False, keep: Iterable[str] | None = None
+) -> DataFrame:
+    """Add ``token_ids`` as ``encode`` and ``decoded`` as ``decode``, in one pass, so that a task has one Python worker and one vocabulary."""
+
     def work():
         ranks = read_ranks(ranks_path)
-        token_of = {rank: token for token, rank in ranks.items()}.__getitem__
+        ids, raw = encoding(ranks, pattern, text, at_spaces), decoding(ranks)
 
         def step(batch: pa.RecordBatch) -> list[pa.Array]:
-            rows = (batch.column(ids).slice(at, 1).flatten().to_numpy(zero_copy_only=False) for at in range(batch.num_rows))
-            return [pa.array([b"".join(map(token_of, row.tolist())) for row in rows], pa.binary())]
+            found = ids(batch)
+            return [found, raw(found)]
 
         return step
 
-    return map_batches(tokens, [ids], tokens.columns if keep is None else keep, "decoded binary", work)
+    return map_batches(docs, [text], docs.columns if keep is None else keep, "token_ids array<int>, decoded binary", work)

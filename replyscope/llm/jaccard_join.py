@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from replyscope.llm.rows import ROWS_AT_ONCE, map_batches, stored, text_bytes
-from replyscope.session import cut_lineage
+from replyscope.session import cut_lineage, tidy
 
 WORDS = 3
 # Similarity as a fraction, so that all bounds are whole numbers
@@ -375,8 +375,8 @@ def shared_lists(docs: DataFrame, light: int, words: int, similarity, n_shingles
             yield shared()
 
     texts = docs.where(F.col("doc_id").isNotNull()).select("text")
-    packed = texts.mapInArrow(pack, "bucket bigint, lists binary, names binary")
-    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "list bigint, centre bigint")
+    packed = texts.mapInArrow(tidy(pack), "bucket bigint, lists binary, names binary")
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(meet), "list bigint, centre bigint")
 
 
 def list_bits(lists: DataFrame) -> np.ndarray:
@@ -406,7 +406,7 @@ def gathered(docs: DataFrame, light: int, words: int, similarity, n_shingles: in
             kept = (bits[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
             yield pa.RecordBatch.from_arrays([pa.array(lists[kept]), pa.array(names[kept])], names=["list", "set_id"])
 
-    found = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(entries, "list bigint, set_id bigint")
+    found = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(tidy(entries), "list bigint, set_id bigint")
     return found.join(shared, "list").where("centre != set_id").select("centre", "set_id").distinct()
 
 
@@ -453,7 +453,7 @@ def compare(rows: DataFrame, words: int = WORDS, similarity=SIMILARITY) -> DataF
         if out:
             yield batch_of(out)
 
-    return rows.select("grp", "set_id", "packed").mapInArrow(work, "kind string, a bigint, b bigint")
+    return rows.select("grp", "set_id", "packed").mapInArrow(tidy(work), "kind string, a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:

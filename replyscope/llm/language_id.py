@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyscope.llm.rows import map_batches
+from replyscope.session import tidy
 
 DIMENSIONS = 1024
 # Symbols: 0 for everything that is no letter, one for each code point below DIRECT, the rest shared by hash
@@ -105,7 +106,7 @@ def learned_counts(texts: DataFrame) -> DataFrame:
                     waiting = 0
         yield from given_out()
 
-    parts = texts.select("lang", "text").mapInArrow(count, "lang string, trigram bigint, n bigint")
+    parts = texts.select("lang", "text").mapInArrow(tidy(count), "lang string, trigram bigint, n bigint")
     return parts.groupBy("lang", "trigram").agg(F.sum("n").alias("n"))
 
 
@@ -130,7 +131,7 @@ def prototypes(texts: DataFrame) -> list[tuple[str, np.ndarray]]:
         for lang, vector in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([vector.tolist()])], names=["lang", "vector"])
 
-    parts = learned_counts(texts).mapInArrow(bundle, "lang string, vector array<double>")
+    parts = learned_counts(texts).mapInArrow(tidy(bundle), "lang string, vector array<double>")
     places = F.posexplode("vector").alias("place", "x")
     sums = parts.select("lang", places).groupBy("lang", "place").agg(F.sum("x").alias("x"))
     rows = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "x"))).alias("v")).limit(MAX_LANGUAGES + 1).collect()

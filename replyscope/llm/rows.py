@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from replyscope.session import bound_batches, scratch_path
+from replyscope.session import bound_batches, scratch_path, tidy
 
 # Rows handled at a time, so that results and work space stay small beside the batch Spark sends
 ROWS_AT_ONCE = 1024
@@ -42,7 +42,7 @@ def map_batches(
                 columns = [batch.column(name) for name in kept]
                 yield pa.RecordBatch.from_arrays([*columns, *step(batch)], names=[*kept, *new.names])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
