@@ -22,7 +22,7 @@ from replyscope import fixed_values as fixed
 from replyscope.functions.text import let
 from replyscope.operators.ranking import highest_rows
 from replyscope.operators.similarity import QUERY_PART_ROWS, SCALE, part_count, stream_past
-from replyscope.session import bound_batches, cut_lineage
+from replyscope.session import bound_batches, cut_lineage, tidy
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 CORPUS_BLOCK_ROWS = 65_536
@@ -78,7 +78,7 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
 
     read = df.select(key, terms(F.col(text)).alias("_terms"))
     fields = StructType([df.schema[key], *StructType.fromDDL("terms array<string>, tf array<bigint>").fields])
-    return read.mapInArrow(count, fields).select(key, F.inline(F.arrays_zip("terms", "tf")).alias("term", "tf"))
+    return read.mapInArrow(tidy(count), fields).select(key, F.inline(F.arrays_zip("terms", "tf")).alias("term", "tf"))
 
 
 @dataclass(frozen=True)
@@ -137,7 +137,7 @@ def sparse_texts(df: DataFrame, key: str, text: str, vocabulary: Vocabulary, kee
 
     read = df.select(*names, terms(F.col(text)).alias("_terms"))
     fields = StructType.fromDDL("terms array<int>, weights array<double>").fields
-    return read.mapInArrow(weigh, StructType([*(df.schema[name] for name in names), *fields]))
+    return read.mapInArrow(tidy(weigh), StructType([*(df.schema[name] for name in names), *fields]))
 
 
 def tfidf(df: DataFrame, key: str, text: str, vocabulary: Vocabulary) -> DataFrame:
