@@ -214,3 +214,53 @@ def test_each_block_is_a_task(spark):
     found = similarity.block_tasks(queries, vectors, "_query", "_match", "_vector", cells, 2, None, 1, lambda rows: rows, count, "n long")
     per_task = found.groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("n").alias("blocks")).collect()
     assert len(per_task) == 16 and all(row.blocks == 1 for row in per_task)
+
+
+def counted_products(monkeypatch):
+    """Cells of the products that are computed in double precision, as the list of their sizes."""
+    cells, exact = [], similarity.scaled_similarity
+    monkeypatch.setattr(similarity, "scaled_similarity", lambda left, right: cells.append(len(left) * len(right)) or exact(left, right))
+    return cells
+
+
+def test_one_query_with_many_ties_leaves_the_others_alone(monkeypatch):
+    """A text without known words ties with the whole corpus; only its own products are computed again."""
+    rng = np.random.default_rng(3)
+    right = rng.normal(size=(4500, 16))
+    right /= np.linalg.norm(right, axis=1, keepdims=True)
+    left = right[:64].copy()
+    left[9] = 0
+    scaled = similarity.scaled_similarity(left, right)
+    cells = counted_products(monkeypatch)
+    rows, columns, values = similarity.nearest_rows(left, right, similarity.narrow(right).T.copy(), 6)
+    for row in range(len(left)):
+        order = np.lexsort((np.arange(len(right)), -scaled[row]))[:6]
+        assert columns[rows == row].tolist() == order.tolist() and values[rows == row].tolist() == scaled[row][order].tolist()
+    assert sum(cells) <= len(right)
+
+
+@pytest.mark.parametrize(("width", "k"), [(1, 6), (50, 6), (1300, 40), (2100, 1), (2100, 1100), (70, 100)])
+def test_tiles_give_the_best_of_all_products(width, k):
+    """Narrow and cut-off tiles, more results than a tile has rows, better rows in later tiles, equal ones in several."""
+    rng = np.random.default_rng(width + k)
+    right = np.sort(rng.integers(0, 5, size=(width, 3)), axis=0).astype(float)
+    right = np.divide(right, norms := np.linalg.norm(right, axis=1, keepdims=True), out=np.zeros_like(right), where=norms > 0)
+    left = right[:: max(1, width // 30)]
+    scaled = similarity.scaled_similarity(left, right)
+    rows, columns, values = similarity.nearest_rows(left, right, similarity.narrow(right).T.copy(), k)
+    for row in range(len(left)):
+        order = np.lexsort((np.arange(width), -scaled[row]))[:k]
+        assert columns[rows == row].tolist() == order.tolist() and values[rows == row].tolist() == scaled[row][order].tolist()
+
+
+def test_vectors_that_are_not_finite_change_no_other_result(spark):
+    """They count as zero vectors, as those with missing numbers do."""
+    vectors = np.random.default_rng(8).normal(size=(60, 4))
+    vectors[7, 2], vectors[30, 0] = np.inf, np.nan
+    found = similarity.knn(make(spark, vectors, "query_id"), make(spark, vectors, "thread_id"), 3).collect()
+    vectors[[7, 30]] = 0
+    scaled = cosines(vectors.astype(np.float32), vectors.astype(np.float32))
+    for q in range(len(vectors)):
+        expected = sorted((-scaled[q, c], c) for c in range(len(vectors)))[:3]
+        rows = sorted((r["rank"], r.thread_id) for r in found if r.query_id == q)
+        assert [c for _, c in expected] == [c for _, c in rows]
